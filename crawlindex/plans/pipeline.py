@@ -1,0 +1,51 @@
+"""The jobs: domain ranks, ranked index, unranked index."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.keywords import term_counts
+from ..operators.links import edges_of, host_counts, links_long, vertices_of
+from ..operators.postings import postings, ranked_pages
+from ..operators.rank import page_rank
+from ..sources.index_store import read_index, write_index
+from ..sources.warc import read_records, wat_pages, wet_pages
+from ..storage import new_folder, stored
+
+
+def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
+    """`domain, pageRank` from WAT records.
+
+    The crawl is read once, into the counted host links, which are orders of
+    magnitude smaller. Options are those of `page_rank`.
+    """
+    folder = new_folder(wat_records.sparkSession, "link_graph")
+    counts = stored(host_counts(links_long(wat_pages(wat_records))), f"{folder}/host_counts")
+    vertices = stored(vertices_of(counts), f"{folder}/vertices")
+    return page_rank(vertices, edges_of(counts, vertices), **rank_options)
+
+
+def ranked_postings(wet_records: DataFrame, ranks: DataFrame) -> DataFrame:
+    """`keyword, uri, occurences, page_rank` of the pages with a ranked domain."""
+    return postings(term_counts(ranked_pages(wet_pages(wet_records), ranks)))
+
+
+def unranked_postings(wet_records: DataFrame) -> DataFrame:
+    """`keyword, uri, occurences` of all pages."""
+    return postings(term_counts(wet_pages(wet_records).select("uri", "text")))
+
+
+def build_index(
+    spark: SparkSession,
+    wet_path: str | list[str],
+    wat_path: str | list[str],
+    index_path: str,
+    buckets: int = 256,
+    mode: str = "errorifexists",
+    **rank_options,
+) -> DataFrame:
+    """Rank the domains of a crawl, index its pages, store and open the index."""
+    ranks = domain_ranks(read_records(spark, wat_path), **rank_options)
+    index = ranked_postings(read_records(spark, wet_path), ranks)
+    write_index(index, index_path, buckets, mode)
+    return read_index(spark, index_path)
