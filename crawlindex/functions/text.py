@@ -1,71 +1,86 @@
-"""Keyword columns: cleaning, splitting and counting the words of a text.
+"""Keyword columns: splitting, cleaning and counting the words of a text.
 
 A word is cleaned in this order: delete non-ASCII characters, drop it when it
 is all punctuation, delete one trailing punctuation character, lower-case it.
-None of the steps can move a word boundary (boundaries are ASCII), so all of
-them run on the whole text in three passes instead of once per word.
+Word boundaries are ASCII, so the first and last step run on the whole text at
+once; a separator takes the punctuation character before it along; and what
+still is all punctuation was so from the start.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fixed_values import STOP_WORDS
 
-_NON_ASCII = r"[^\x00-\x7F]"
-# ASCII punctuation; the pipe is left out because it separates words.
-_PUNCTUATION = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{}~]"""
-_WORD_STARTS = r"(?<![^\s|])"
-_WORD_ENDS = r"(?![^\s|])"
-_DROPPED_PUNCTUATION = (
-    f"{_WORD_STARTS}{_PUNCTUATION}+{_WORD_ENDS}|{_PUNCTUATION}{_WORD_ENDS}"
-)
-_SEPARATORS = r"[\s|]+"
+_NON_ASCII = r"[^\x00-\x7F]+"
+# White space and the pipe separate words, so the punctuation has no pipe.
+_SEPARATOR = r"[!-/:-@\[-`{}~]?[\s|]+"
+_NOT_PUNCTUATION = r"[^!-/:-@\[-`{-~]"
 
 
-def clean_text(text: Column | str) -> Column:
-    """The text with every word cleaned, separators left in place."""
-    ascii_only = F.lower(F.regexp_replace(_col(text), _NON_ASCII, ""))
-    return F.regexp_replace(ascii_only, _DROPPED_PUNCTUATION, "")
+def words(text: Column | str) -> Column:
+    """array<string> of a text's words; select with `is_word` or `is_keyword`."""
+    ascii_only = F.lower(F.regexp_replace(text, _NON_ASCII, ""))
+    return F.split(F.concat(ascii_only, F.lit(" ")), _SEPARATOR)
 
 
-def words(text: Column | str) -> Column:
-    """array<string> of cleaned words; may hold "" at either end."""
-    return F.split(clean_text(text), _SEPARATORS)
+def is_word(word: Column) -> Column:
+    """False for what is left of blanks and of all-punctuation words."""
+    return word.rlike(_NOT_PUNCTUATION)
 
 
 def is_keyword(word: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """False for "" and for stop words."""
-    return ~word.isin("", *stop_words)
+    """True for words that are not stop words."""
+    return is_word(word) & ~word.isin(*stop_words)
+
+
+def as_keyword(query: Column | str) -> Column:
+    """A query cleaned the way texts are."""
+    return F.array_join(F.filter(words(query), is_word), " ")
 
 
-def count_sorted(sorted_words: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """array<struct<keyword, keyword_weight>> of a *sorted* array of words.
+def count_words(text: Column | str, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """array<struct<keyword, keyword_weight>> of a text, in keyword order.
 
-    Equal words are neighbours, so a run's length is the distance between two
-    run starts: linear work inside the row, and no shuffle of the words.
+    In sorted words equal ones are neighbours, so a run's length is the
+    distance between two run starts: no shuffle, and linear after the sort.
     """
-    n_words = F.size(sorted_words)
-    starts = F.filter(
-        F.sequence(F.lit(0), n_words - 1),
-        lambda i: (i == 0) | (F.get(sorted_words, i) != F.get(sorted_words, i - 1)),
-    )
-    # Binding the starts to a lambda variable keeps them from being worked out
-    # again for every element.
-    counted = F.transform(
-        F.array(starts),
-        lambda runs: F.transform(
-            runs,
+
+    def run_starts(sorted_words: Column) -> Column:
+        return F.filter(
+            F.sequence(F.lit(0), F.size(sorted_words) - 1),
+            lambda i: ~F.equal_null(F.get(sorted_words, i), F.get(sorted_words, i - 1)),
+        )
+
+    def run_lengths(sorted_words: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
             lambda start, i: F.struct(
                 F.get(sorted_words, start).alias("keyword"),
-                (F.coalesce(F.get(runs, i + 1), n_words) - start).alias("keyword_weight"),
+                (F.coalesce(F.get(starts, i + 1), F.size(sorted_words)) - start).alias(
+                    "keyword_weight"
+                ),
             ),
-        ),
+        )
+
+    counted = _let(
+        F.sort_array(words(text)),
+        lambda ws: _let(run_starts(ws), lambda starts: run_lengths(ws, starts)),
     )
-    return F.filter(F.get(counted, 0), lambda k: is_keyword(k["keyword"], stop_words))
+    return F.filter(counted, lambda k: is_keyword(k["keyword"], stop_words))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once per row.
+
+    Inside the lambdas of array functions a plain expression would be computed
+    again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def by_weight(keywords: Column) -> Column:
@@ -80,7 +95,3 @@ def by_weight(keywords: Column) -> Column:
             k["keyword"].alias("keyword"), (-k["order"]).alias("keyword_weight")
         ),
     )
-
-
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import STOP_WORDS
-from ..functions.text import by_weight, count_sorted, is_keyword, words
+from ..functions.text import by_weight, count_words, is_keyword, words
 
 
 def tokens(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -19,18 +19,11 @@ def tokens(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFram
     )
 
 
-def _counted(pages: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    kept = [c for c in pages.columns if c != "text"]
-    # The sorted words are a column of their own, so they are made once a row.
-    rows = pages.select(*kept, F.sort_array(words("text")).alias("_words"))
-    return rows.select(*kept, count_sorted(F.col("_words"), stop_words).alias("keywords"))
-
-
 def page_keywords(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """The pages' columns but `text`, and `keywords`: an array of
     struct<keyword, keyword_weight>, most frequent first, ties by keyword."""
-    counted = _counted(pages, stop_words)
-    return counted.withColumn("keywords", by_weight(F.col("keywords")))
+    kept = [c for c in pages.columns if c != "text"]
+    return pages.select(*kept, by_weight(count_words("text", stop_words)).alias("keywords"))
 
 
 def term_counts(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -39,6 +32,5 @@ def term_counts(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> Dat
     A page's words are counted inside its row, so nothing is shuffled, and two
     captures of one URI stay two sets of rows.
     """
-    counted = _counted(pages, stop_words)
-    kept = [c for c in counted.columns if c != "keywords"]
-    return counted.select(*kept, F.inline("keywords"))
+    kept = [c for c in pages.columns if c != "text"]
+    return pages.select(*kept, F.inline(count_words("text", stop_words)))

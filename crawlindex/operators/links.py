@@ -12,10 +12,10 @@ from .blocks import BLOCK_ROWS, blocked_lists
 
 def page_links(wat_pages: DataFrame) -> DataFrame:
     """`domain, links array<string>` of the pages with at least one link."""
-    return (
-        wat_pages.select("domain", links_of("metadata").alias("links"))
-        .filter(F.size("links") > 0)
-    )
+    # Exploding no or one array, instead of a filter on its size, which Spark
+    # would evaluate by parsing the JSON twice.
+    found = F.filter(F.array(links_of("metadata")), lambda links: F.size(links) > 0)
+    return wat_pages.select("domain", F.explode(found).alias("links"))
 
 
 def links_long(wat_pages: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import RESULTS_PER_PAGE, SCORE_FORMAT
-from ..functions.text import clean_text
+from ..functions.text import as_keyword
 from ..sources.index_store import bucket_count, bucket_of
+from ..storage import new_folder, stored
 
 Queries = str | Sequence[str] | DataFrame
 
@@ -38,18 +39,7 @@ def scores(index: DataFrame, queries: Queries, normalize: bool = False) -> DataF
     page_rank. Keywords are stored in lower case, so "Word" finds nothing
     unless `normalize` cleans queries the way texts were cleaned.
     """
-    score = (F.col("occurences") * F.col("page_rank")).alias("score")
-    if isinstance(queries, DataFrame):
-        hits = _join(index, _distinct(queries, normalize))
-    else:
-        asked = _asked(index, queries, normalize)
-        hits = keyword_lookup(index, [w for _, w in asked])
-        if all(q == w for q, w in asked):
-            hits = hits.withColumn("query", F.col("keyword"))
-        else:
-            pairs = index.sparkSession.createDataFrame(asked, "query string, keyword string")
-            hits = hits.join(pairs, "keyword")
-    return hits.select("query", "uri", score)
+    return _scores(index, _asked(index, queries, normalize))
 
 
 def search(
@@ -75,14 +65,10 @@ def search(
 
 def hit_counts(index: DataFrame, queries: Queries, normalize: bool = False) -> DataFrame:
     """`query, hits`: number of postings per query, 0 for a miss."""
-    found = scores(index, queries, normalize).groupBy("query").agg(
-        F.count("*").alias("_hits")
-    )
-    if isinstance(queries, DataFrame):
-        asked = queries.select("query").distinct()
-    else:
-        words = [queries] if isinstance(queries, str) else list(dict.fromkeys(queries))
-        asked = index.sparkSession.createDataFrame([(w,) for w in words], "query string")
+    asked = _asked(index, queries, normalize)
+    found = _scores(index, asked).groupBy("query").agg(F.count("*").alias("_hits"))
+    if not isinstance(asked, DataFrame):
+        asked = index.sparkSession.createDataFrame(asked, "query string, keyword string")
     return asked.join(found, "query", "left").select(
         "query", F.coalesce("_hits", F.lit(0).cast("long")).alias("hits")
     )
@@ -107,30 +93,33 @@ def search_multi(
     return pages if k is None else pages.orderBy(F.desc("score"), "uri").limit(k)
 
 
-def _normalized(query: Column) -> Column:
-    return F.trim(clean_text(query))
-
-
-def _distinct(queries: DataFrame, normalize: bool) -> DataFrame:
-    word = _normalized(F.col("query")) if normalize else F.col("query")
-    return queries.select("query").distinct().withColumn("_word", word)
-
-
-def _join(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Postings with the queries they match.
-
-    One side is as large as the index. Its size decides the strategy: few
-    queries are broadcast by Spark, many are shuffled with the postings.
-    """
-    return index.join(queries, F.col("keyword") == F.col("_word"))
-
-
 def _asked(
-    index: DataFrame, queries: str | Sequence[str], normalize: bool
-) -> list[tuple[str, str]]:
-    """(query, keyword to look up) of queries given in the call itself."""
-    words = [queries] if isinstance(queries, str) else list(dict.fromkeys(queries))
+    index: DataFrame, queries: Queries, normalize: bool
+) -> DataFrame | list[tuple[str, str]]:
+    """Distinct (query, keyword to look up): a list only if one was given."""
+    spark = index.sparkSession
+    keyword = as_keyword("query") if normalize else F.col("query")
+    if isinstance(queries, DataFrame):
+        asked = queries.select("query").distinct().withColumn("keyword", keyword)
+        # From storage Spark knows the size: few queries are broadcast, many
+        # are shuffled with the postings, where it can split a hot keyword.
+        return stored(asked, new_folder(spark, "queries"))
+    given = [queries] if isinstance(queries, str) else list(dict.fromkeys(queries))
     if not normalize:
-        return [(w, w) for w in words]
-    asked = index.sparkSession.createDataFrame([(w,) for w in words], "query string")
-    return [tuple(row) for row in asked.select("query", _normalized(F.col("query"))).collect()]
+        return [(word, word) for word in given]
+    asked = spark.createDataFrame([(word,) for word in given], "query string")
+    return [tuple(row) for row in asked.select("query", keyword).collect()]
+
+
+def _scores(index: DataFrame, asked: DataFrame | list[tuple[str, str]]) -> DataFrame:
+    if isinstance(asked, DataFrame):
+        hits = index.join(asked, "keyword")
+    else:
+        hits = keyword_lookup(index, [keyword for _, keyword in asked])
+        if all(query == keyword for query, keyword in asked):
+            hits = hits.withColumn("query", F.col("keyword"))
+        else:
+            pairs = index.sparkSession.createDataFrame(asked, "query string, keyword string")
+            hits = hits.join(pairs, "keyword")
+    score = (F.col("occurences") * F.col("page_rank")).alias("score")
+    return hits.select("query", "uri", score)

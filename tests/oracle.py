@@ -1,0 +1,32 @@
+"""Compare query results with those of the oracle SQL on the same tables."""
+
+from __future__ import annotations
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def difference(query_frame, connection, sql: str) -> str | None:
+    """What differs between the two results, None if nothing does."""
+    columns = sorted(query_frame.columns)
+    expected = connection.execute(sql)
+    names = [d[0] for d in expected.description]
+    if sorted(names) != columns:
+        return f"columns {columns} != {sorted(names)}"
+    order = [names.index(c) for c in columns]
+    want = Counter(tuple(row[i] for i in order) for row in expected.fetchall())
+    got = Counter(tuple(row) for row in query_frame.select(*columns).collect())
+    if got == want:
+        return None
+    missing = list((want - got).items())[:2]
+    extra = list((got - want).items())[:2]
+    return f"{got.total()} rows, want {want.total()}; missing {missing}; extra {extra}"
