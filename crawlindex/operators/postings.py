@@ -13,8 +13,8 @@ def ranked_pages(pages: DataFrame, ranks: DataFrame) -> DataFrame:
 
     Ranks small enough are broadcast by Spark, by their stored size. Otherwise
     both sides are shuffled, and Spark splits a domain that holds too many
-    pages. The text goes through the join as it is: it is the most compact
-    form of a page.
+    pages (see `storage.hashed` for large ranks). The text goes through the
+    join as it is: it is the most compact form of a page.
     """
     return pages.join(ranks.select("domain", "pageRank"), "domain").select(
         "uri", "domain", "pageRank", "text"

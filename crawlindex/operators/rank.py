@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import RANK_TOLERANCE, RESET_PROBABILITY
-from ..storage import new_folder, stored
+from ..storage import hashed, new_folder, stored
 
 _SPLIT_EDGES = 1_000_000
 _MAX_HOT_SOURCES = 100_000
@@ -31,17 +31,17 @@ def page_rank(
     Every `rounds_per_write` rounds form one plan, which ends in a table in
     the shared folder; within it the edges are shuffled once and reused.
     """
-    spark = vertices.sparkSession
-    folder = new_folder(spark, "page_rank")
+    folder = new_folder(vertices.sparkSession, "page_rank")
     edges = stored(edges.select("src", "dst", "n"), f"{folder}/edges")
     state = stored(_start(vertices, edges, reset, split_edges), f"{folder}/ranks-0")
     moves = stored(_moves(state, edges), f"{folder}/moves")
+    n_vertices = state.count()
 
     done = 0
     while done < max_iter:
         rounds = min(rounds_per_write, max_iter - done)
         for _ in range(rounds):
-            state = _round(state, moves, reset)
+            state = _round(hashed(state, n_vertices), moves, reset)
         done += rounds
         state = stored(state, f"{folder}/ranks-{done}")
         if tol is not None:
@@ -49,8 +49,8 @@ def page_rank(
             if moved is None or moved <= tol:
                 break
 
-    n, total = state.agg(F.count("*"), F.sum("rank")).first()
-    scale = n / total if n else 1.0
+    total = state.agg(F.sum("rank")).first()[0]
+    scale = n_vertices / total if n_vertices else 1.0
     return state.select("domain", (F.col("rank") * scale).alias("pageRank"))
 
 
@@ -131,8 +131,10 @@ def _round(state: DataFrame, moves: DataFrame, reset: float) -> DataFrame:
     # Without out-edges the share is null and only the vertex's own row, with
     # n = 0, comes along.
     inflow = F.coalesce(F.col("share") * F.col("n"), F.lit(0.0))
+    # Later rounds join on dst and so drop nulls; to say it here as well makes
+    # the edges of all rounds the same, and their shuffle is reused.
     return (
-        shares.join(moves, ["src", "part"])
+        shares.join(moves.filter("dst IS NOT NULL"), ["src", "part"])
         .groupBy(F.col("dst").alias("domain"))
         .agg(
             (reset + (1 - reset) * F.sum(inflow)).alias("rank"),

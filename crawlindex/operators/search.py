@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import RESULTS_PER_PAGE, SCORE_FORMAT
 from ..functions.text import as_keyword
 from ..sources.index_store import bucket_count, bucket_of
-from ..storage import new_folder, stored
+from ..storage import hashed, new_folder, stored
 
 Queries = str | Sequence[str] | DataFrame
 
@@ -51,7 +51,8 @@ def search(
     """`query, uri, score, score_text`: the k best pages per query.
 
     Highest score first, ties by uri. Spark keeps k rows per query and task
-    before the shuffle, so a query that hits a third of all pages is cheap.
+    before the shuffle (for k below 1,000, its window group limit), so a query
+    that hits a third of all pages is no burden on one task.
     """
     hits = scores(index, queries, normalize)
     best = [F.desc("score"), F.asc("uri")]
@@ -113,7 +114,7 @@ def _asked(
 
 def _scores(index: DataFrame, asked: DataFrame | list[tuple[str, str]]) -> DataFrame:
     if isinstance(asked, DataFrame):
-        hits = index.join(asked, "keyword")
+        hits = index.join(hashed(asked), "keyword")
     else:
         hits = keyword_lookup(index, [keyword for _, keyword in asked])
         if all(query == keyword for query, keyword in asked):

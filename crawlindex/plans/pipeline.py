@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from ..functions.urls import url_host
 from ..operators.keywords import term_counts
 from ..operators.links import edges_of, host_counts, links_long, vertices_of
 from ..operators.postings import postings, ranked_pages
 from ..operators.rank import page_rank
 from ..sources.index_store import read_index, write_index
 from ..sources.warc import read_records, wat_pages, wet_pages
-from ..storage import new_folder, stored
+from ..storage import hashed, new_folder, stored
 
 
 def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
@@ -22,12 +25,21 @@ def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
     folder = new_folder(wat_records.sparkSession, "link_graph")
     counts = stored(host_counts(links_long(wat_pages(wat_records))), f"{folder}/host_counts")
     vertices = stored(vertices_of(counts), f"{folder}/vertices")
-    return page_rank(vertices, edges_of(counts, vertices), **rank_options)
+    return page_rank(vertices, edges_of(counts, hashed(vertices)), **rank_options)
+
 
+def ranked_postings(
+    wet_records: DataFrame,
+    ranks: DataFrame,
+    domain: Callable[[Column], Column] = url_host,
+) -> DataFrame:
+    """`keyword, uri, occurences, page_rank` of the pages with a ranked domain.
 
-def ranked_postings(wet_records: DataFrame, ranks: DataFrame) -> DataFrame:
-    """`keyword, uri, occurences, page_rank` of the pages with a ranked domain."""
-    return postings(term_counts(ranked_pages(wet_pages(wet_records), ranks)))
+    Pass stored ranks, as `domain_ranks` returns them. `domain_pattern` as
+    `domain` joins by the loose pattern, which loses pages.
+    """
+    pages = ranked_pages(wet_pages(wet_records, domain), hashed(ranks))
+    return postings(term_counts(pages))
 
 
 def unranked_postings(wet_records: DataFrame) -> DataFrame:
@@ -42,10 +54,11 @@ def build_index(
     index_path: str,
     buckets: int = 256,
     mode: str = "errorifexists",
+    domain: Callable[[Column], Column] = url_host,
     **rank_options,
 ) -> DataFrame:
     """Rank the domains of a crawl, index its pages, store and open the index."""
     ranks = domain_ranks(read_records(spark, wat_path), **rank_options)
-    index = ranked_postings(read_records(spark, wet_path), ranks)
+    index = ranked_postings(read_records(spark, wet_path), ranks, domain)
     write_index(index, index_path, buckets, mode)
     return read_index(spark, index_path)

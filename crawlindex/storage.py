@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Below this many rows Spark is left to broadcast a table by its size.
+_SMALL_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,3 +40,15 @@ def stored(table: DataFrame, path: str) -> DataFrame:
     """
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def hashed(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """A table as the smaller side of a join, by its number of rows.
+
+    A small one stays as it is, for Spark to broadcast if its size allows. A
+    larger one is shuffled and hashed, so that the other side, which may be
+    all pages or all edges, need not be sorted. Counting the rows of a stored
+    table reads file footers only.
+    """
+    rows = table.count() if rows is None else rows
+    return table if rows <= _SMALL_ROWS else table.hint("shuffle_hash")
