@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def page_rank(
 
     rank(v) = reset + (1 - reset) * sum of rank(u) * n(u, v) / out_degree(u),
     iterated until no rank moves by more than `tol` (`tol=None`: for exactly
-    `max_iter` rounds), then scaled to a sum of one per vertex. The rank of a
+    `max_iter` rounds), then scaled to sum to the number of vertices. The rank of a
     vertex without out-edges is not handed on.
 
     Every `rounds_per_write` rounds form one plan, which ends in a table in
@@ -36,12 +38,13 @@ def page_rank(
     state = stored(_start(vertices, edges, reset, split_edges), f"{folder}/ranks-0")
     moves = stored(_moves(state, edges), f"{folder}/moves")
     n_vertices = state.count()
+    next_state = _round(moves, reset)
 
     done = 0
     while done < max_iter:
         rounds = min(rounds_per_write, max_iter - done)
         for _ in range(rounds):
-            state = _round(hashed(state, n_vertices), moves, reset)
+            state = next_state(hashed(state, n_vertices))
         done += rounds
         state = stored(state, f"{folder}/ranks-{done}")
         if tol is not None:
@@ -121,25 +124,30 @@ def _moves(state: DataFrame, edges: DataFrame) -> DataFrame:
     return links.unionByName(kept)
 
 
-def _round(state: DataFrame, moves: DataFrame, reset: float) -> DataFrame:
-    shares = state.select(
+def _round(moves: DataFrame, reset: float) -> Callable[[DataFrame], DataFrame]:
+    """One round, from the state of the vertices to their next state.
+
+    The columns are made once and used in all rounds: making them takes longer
+    than a round over a small graph.
+    """
+    shares = [
         F.col("domain").alias("src"),
         F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("part"),
-        "rank",
+        F.col("rank"),
         (F.col("rank") / F.col("out_degree")).alias("share"),
-    )
+    ]
     # Without out-edges the share is null and only the vertex's own row, with
     # n = 0, comes along.
     inflow = F.coalesce(F.col("share") * F.col("n"), F.lit(0.0))
+    vertex = F.col("dst").alias("domain")
+    summed = [
+        (reset + (1 - reset) * F.sum(inflow)).alias("rank"),
+        F.max(F.when(F.col("n") == 0, F.col("rank"))).alias("before"),
+        F.max("out_degree").alias("out_degree"),
+        F.max("splits").alias("splits"),
+    ]
     # Later rounds join on dst and so drop nulls; to say it here as well makes
     # the edges of all rounds the same, and their shuffle is reused.
-    return (
-        shares.join(moves.filter("dst IS NOT NULL"), ["src", "part"])
-        .groupBy(F.col("dst").alias("domain"))
-        .agg(
-            (reset + (1 - reset) * F.sum(inflow)).alias("rank"),
-            F.max(F.when(F.col("n") == 0, F.col("rank"))).alias("before"),
-            F.max("out_degree").alias("out_degree"),
-            F.max("splits").alias("splits"),
-        )
-    )
+    moves = moves.filter("dst IS NOT NULL")
+    keys = ["src", "part"]
+    return lambda state: state.select(*shares).join(moves, keys).groupBy(vertex).agg(*summed)
