@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from .fixed_values import STOP_WORDS
 
-_NON_ASCII = r"[^\x00-\x7F]+"
+_NON_ASCII = r"\P{ASCII}+"
 # White space and the pipe separate words, so the punctuation has no pipe.
-_SEPARATOR = r"[!-/:-@\[-`{}~]?[\s|]+"
-_NOT_PUNCTUATION = r"[^!-/:-@\[-`{-~]"
+# (Named classes: Java matches them several times faster than unions of ranges.)
+_SEPARATOR = r"[\p{Punct}&&[^|]]?[\s|]+"
+_NOT_PUNCTUATION = r"\P{Punct}"
 
 
 def words(text: Column | str) -> Column:

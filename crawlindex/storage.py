@@ -12,6 +12,9 @@ _SETTING = "spark.checkpoint.dir"
 _SMALL_ROWS = 100_000
 
 
+_own_folders: dict[str, str] = {}  # by application
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach, as the cluster names it.
 
@@ -19,12 +22,14 @@ def shared_folder(spark: SparkSession) -> str:
     cluster that would be a folder of one machine, so it is refused.
     """
     folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="crawlindex-")
-        spark.conf.set(_SETTING, folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {_SETTING} to a folder all executors can reach")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="crawlindex-")
+    return _own_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,33 @@
+"""The shared folder: the cluster's setting comes first."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from crawlindex.storage import new_folder, shared_folder, stored
+
+
+def session(master, setting=None):
+    conf = SimpleNamespace(get=lambda key, default: setting or default)
+    context = SimpleNamespace(master=master, applicationId="app-1")
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_the_setting_of_the_session_is_used(spark):
+    assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared/"
+    assert new_folder(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+
+
+def test_without_setting_only_local_sessions_get_a_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    own = shared_folder(session("local[2]"))
+    assert own == shared_folder(session("local[2]"))
+
+
+def test_stored_tables_keep_their_schema(spark):
+    table = spark.range(3).selectExpr("id", "array(id) AS ids", "CAST(NULL AS int) AS n")
+    again = stored(table, new_folder(spark, "table"))
+    assert [f.dataType for f in again.schema] == [f.dataType for f in table.schema]
+    assert again.count() == 3
