@@ -29,5 +29,5 @@ def test_without_setting_only_local_sessions_get_a_folder():
 def test_stored_tables_keep_their_schema(spark):
     table = spark.range(3).selectExpr("id", "array(id) AS ids", "CAST(NULL AS int) AS n")
     again = stored(table, new_folder(spark, "table"))
-    assert [f.dataType for f in again.schema] == [f.dataType for f in table.schema]
+    assert again.dtypes == table.dtypes
     assert again.count() == 3
