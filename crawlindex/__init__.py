@@ -33,7 +33,7 @@ from .operators.postings import (
 )
 from .operators.rank import page_rank, rank_names, top_domains
 from .operators.search import hit_counts, keyword_lookup, scores, search, search_multi
-from .plans.pipeline import (
+from .plans.jobs import (
     build_index,
     domain_ranks,
     ranked_postings,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions.fixed_values import RESULTS_PER_PAGE
 from .operators.search import hit_counts, search
-from .plans.pipeline import build_index
+from .plans.jobs import build_index
 from .sources.index_store import read_index
 
 
