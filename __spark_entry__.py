@@ -9,15 +9,19 @@ values to compare.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import crawlindex as ci
-from crawlindex.functions.fixed_values import STOP_WORDS
-from crawlindex.storage import new_folder, stored
-from crawlindex.testing import crawl
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import crawlindex as ci  # noqa: E402
+from crawlindex.functions.fixed_values import STOP_WORDS  # noqa: E402
+from crawlindex.storage import new_folder, stored  # noqa: E402
+from crawlindex.testing import crawl  # noqa: E402
 
 ROUNDS = 20  # of the ranks all queries but page_rank_tol use
 WORD = "en"
