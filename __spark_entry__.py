@@ -23,6 +23,14 @@ from crawlindex.functions.fixed_values import STOP_WORDS  # noqa: E402
 from crawlindex.storage import new_folder, stored  # noqa: E402
 from crawlindex.testing import crawl  # noqa: E402
 
+try:  # the training-data operators may be absent as a whole
+    import corpus_pipeline
+    from crawlindex.llm import queries as llm_queries
+except ImportError as missing:
+    if missing.name not in ("crawlindex.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 ROUNDS = 20  # of the ranks all queries but page_rank_tol use
 WORD = "en"
 WORDS = ["en", "tion", "nicht", "the", "En", "zzzz"]  # the last three miss
@@ -294,7 +302,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         query.__name__: query
         for query in (
             scan_wet, scan_wat, warc_headers, wet_pages, wat_pages,
@@ -308,6 +316,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             search_batch, search_hit_counts, search_multi,
         )
     }
+    if llm_queries is None:
+        return own
+    return own | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 # --- oracles -----------------------------------------------------------------
@@ -436,7 +447,7 @@ _SCORED = "SELECT keyword AS query, uri, occurences * page_rank AS score FROM po
 
 def oracle_sql() -> dict[str, str]:
     posting = "keyword, uri, occurences, round(page_rank, 6) AS page_rank"
-    return {
+    own = {
         "scan_wet": f"""WITH {_CAPTURES}
             SELECT {_record('conversion', 'text/plain', 'text', 'uri')} AS value
             FROM captures UNION ALL {_WARCINFO}""",
@@ -551,3 +562,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_SCORED}) WHERE query IN ({_WORD_LIST})
             GROUP BY uri ORDER BY sum(score) DESC, uri LIMIT 20""",
     }
+    if llm_queries is None:
+        return own
+    piped = corpus_pipeline.ORACLE_SQL
+    return own | llm_queries.ORACLES | ({"pipeline": piped} if piped else {})

@@ -14,10 +14,14 @@ def tables():
 
 
 def test_every_query_has_an_oracle():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    """But for those of the training-data operators that SQL cannot express."""
+    with_oracle = entry_module.oracle_sql().keys()
+    assert with_oracle <= entry_module.queries().keys()
+    for name in entry_module.queries().keys() - with_oracle:
+        assert name == "pipeline" or name.startswith("op"), name
 
 
-@pytest.mark.parametrize("name", entry_module.queries())
+@pytest.mark.parametrize("name", entry_module.oracle_sql())
 def test_query_equals_oracle(spark, tables, name):
     result = entry_module.queries()[name](spark, SF_DIR)
     assert difference(result, tables, entry_module.oracle_sql()[name]) is None
