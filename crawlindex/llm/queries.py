@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_quality_rules(spark, sf_dir):
+    return quality.quality_rules(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op10_simhash_near_dedup,)}
+QUERIES = {q.__name__: q for q in (op7_quality_rules, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
