@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash
+from . import bpe, packing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+def op4_bpe(spark, sf_dir):
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality.quality_rules(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -21,5 +29,13 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op7_quality_rules, op10_simhash_near_dedup)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_packing,
+        op4_bpe,
+        op7_quality_rules,
+        op10_simhash_near_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
