@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality, simhash, warc
+from . import bpe, html_text, packing, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op7_quality_rules(spark, sf_dir):
     )
 
 
+def op8_html_extraction(spark, sf_dir):
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -39,6 +43,7 @@ QUERIES = {
         op1_packing,
         op4_bpe,
         op7_quality_rules,
+        op8_html_extraction,
         op9_warc,
         op10_simhash_near_dedup,
     )
