@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, html_text, packing, quality, simhash, warc
+from . import bpe, html_text, inner_product, packing, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,12 @@ def op1_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op2_exact_top_k(spark, sf_dir):
+    return inner_product.top_products(
+        _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0
+    )
+
+
 def op4_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +48,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_packing,
+        op2_exact_top_k,
         op4_bpe,
         op7_quality_rules,
         op8_html_extraction,
