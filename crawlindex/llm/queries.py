@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, inner_product, packing, quality, simhash, warc
+from . import bpe, html_text, inner_product, language, packing, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_exact_top_k(spark, sf_dir):
     )
 
 
+def op3_language_id(spark, sf_dir):
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     for q in (
         op1_packing,
         op2_exact_top_k,
+        op3_language_id,
         op4_bpe,
         op7_quality_rules,
         op8_html_extraction,
