@@ -174,5 +174,11 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
     counts = text_counts(docs, row)
     ratio = likelihood_ratio(F.col("words"), weights)
-    kept = counts.where(~F.col("base_failed")).where(ratio >= THRESHOLD)
-    return kept.select("__row.*")
+    # A random number beside the verdict keeps the optimizer from moving the
+    # filter down and so working out all counts anew for each use of them.
+    judged = counts.select(
+        "__row",
+        (~F.col("base_failed") & (ratio >= THRESHOLD)).alias("kept"),
+        F.rand(0).alias("number"),
+    )
+    return judged.where("kept AND number >= 0").select("__row.*")

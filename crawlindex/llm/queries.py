@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, inner_product, language, packing, pii, quality, simhash, warc
+from . import bpe, html_text, inner_product, language, licenses, packing, pii, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.license_notices(_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark, sf_dir):
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
         op2_exact_top_k,
         op3_language_id,
         op4_bpe,
+        op5_license_scan,
         op6_pii,
         op7_quality_rules,
         op8_html_extraction,
