@@ -23,7 +23,7 @@ from .shipping import ship
 
 BLOCK_WORDS = 400  # longer stretches are cut into overlapping blocks
 BEFORE, AFTER = 60, 200  # words around a trigger that belong to its block
-MIN_SHARE = 0.3  # of the template's own size that it has to spare
+MIN_SHARE = 0.1  # of the template's own size that it has to spare
 MIN_MATCHED = 0.8  # of the template's words, in order
 MAX_ADDED = 0.25  # words put in, as a share of the template's
 
@@ -209,7 +209,7 @@ def scan(text: str) -> list[Finding]:
                 places, missing, added = aligned
                 n = len(template.words)
                 if (
-                    len(missing) <= (1 - MIN_MATCHED) * n
+                    n - len(missing) >= MIN_MATCHED * n
                     and len(added) <= MAX_ADDED * n
                     and not template.needed & set(missing)
                 ):
