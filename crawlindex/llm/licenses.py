@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from .shipping import ship
 
 BLOCK_WORDS = 400  # longer stretches are cut into overlapping blocks
-BEFORE, AFTER = 60, 200  # words around a trigger that belong to its block
+# Words around a trigger that belong to its block: short notices stand out in
+# narrow blocks, long ones need wide ones.
+AROUND = ((12, 16), (60, 200))
 MIN_SHARE = 0.1  # of the template's own size that it has to spare
 MIN_MATCHED = 0.8  # of the template's words, in order
 MAX_ADDED = 0.25  # words put in, as a share of the template's
@@ -134,7 +136,7 @@ def _alone() -> zstandard.ZstdCompressor:
     return _compressor(None)
 
 
-def blocks_of(text: str) -> Iterator[list[Word]]:
+def blocks_of(text: str, before: int, after: int) -> Iterator[list[Word]]:
     """Runs of words around triggers; long runs in overlapping blocks."""
     if not _TRIGGER.search(text):
         return
@@ -144,13 +146,13 @@ def blocks_of(text: str) -> Iterator[list[Word]]:
     for m in _TRIGGER.finditer(text):
         while at < len(words) and words[at].end <= m.start():
             at += 1
-        low, high = max(0, at - BEFORE), min(len(words), at + AFTER)
+        low, high = max(0, at - before), min(len(words), at + after)
         if runs and low <= runs[-1][1]:
             runs[-1][1] = high
         else:
             runs.append([low, high])
     for low, high in runs:
-        for start in range(low, high, BLOCK_WORDS - AFTER):
+        for start in range(low, high, BLOCK_WORDS - after):
             yield words[start : min(high, start + BLOCK_WORDS)]
             if start + BLOCK_WORDS >= high:
                 break
@@ -192,7 +194,7 @@ def scan(text: str) -> list[Finding]:
     """Confirmed notices in order of their places."""
     found: dict[tuple[str, int], Finding] = {}
     used: set[int] = set()
-    for block in blocks_of(text):
+    for block in (b for around in AROUND for b in blocks_of(text, *around)):
         while True:
             data = " ".join(w.plain for w in block if w.start not in used).encode()
             size = len(_alone().compress(data))
