@@ -1,0 +1,105 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+from llm_data import documents, texts
+
+from crawlindex.llm import pii
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def brute(text):
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    spans = [(0, *m.span()) for m in re.finditer(email, text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            spans.append((1, *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and luhn(digits):
+            spans.append((2, *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append((3, *m.span()))
+    return sorted(spans)
+
+
+PARTS = ["a", "1", "2", "@", ".", "-", " ", "+", "(", ")", "é", "a.b", "@x.y", "12.3.4.5", "0255.1.1.1", "411111111111111 1", "+1 555 123", "4111-1111-1111-1111"]
+
+
+def test_base_spans_against_the_patterns():
+    rng = random.Random(5)
+    for _ in range(5000):
+        text = "".join(rng.choices(PARTS, k=rng.randint(1, 14)))
+        assert sorted(pii.base_spans(text)) == brute(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 300_000, "1." * 100_000, "a" * 300_000 + "@", "+1" + " (" * 100_000, "@" * 100_000):
+        pii.nodes_of(text, pii.base_spans(text))
+
+
+TEXT = (
+    "Call +1 (743) 555-3824 now. Later: 1 743 555 3824. Mail jan.k34@mail7.example.com,"
+    " or jan.k34 (at) mail7.example.com. Order 9807915762804491."
+)
+
+
+def rows():
+    out = [(i, t, None) for i, t, _ in texts()] + [(500, TEXT, None)]
+    for i in range(40):
+        out.append((600 + i, f"mail u{i}@x{i}.org tel +49 30 90{i:02} 1234 ip 10.0.{i}.7 no. 77{i:05}9", None))
+    return out
+
+
+def test_every_row(spark):
+    got = pii.personal_data(documents(spark, rows())).collect()
+    assert len(got) == len(rows())
+    text = dict((i, t or "") for i, t, _ in rows())
+    for r in got:
+        base = brute(text[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for k, *_ in base) for j in range(4)]
+        assert r.base_sha256 == hashlib.sha256(pii.joined(base).encode()).hexdigest()
+        spans = set(filter(None, r.spans.split(",")))
+        assert spans >= set(filter(None, pii.joined(base).split(",")))
+        assert len(spans) == len(base) + r.n_added
+    mine = next(r for r in got if r.doc_id == 500)
+    found = {TEXT[int(a) : int(b)]: k for k, a, b in (s.split(":") for s in mine.spans.split(","))}
+    assert found["1 743 555 3824"] == "phone"
+    assert found["jan.k34 (at) mail7.example.com"] == "email"
+    assert "9807915762804491" not in found
+
+
+def test_marginals_of_a_tree_are_exact():
+    rng = np.random.default_rng(0)
+    local = rng.normal(size=(4, 3))
+    links = [(0, 1, rng.normal(size=(3, 3))), (1, 2, rng.normal(size=(3, 3))), (1, 3, rng.normal(size=(3, 3)))]
+    want = np.zeros((4, 3))
+    for x in np.ndindex(3, 3, 3, 3):
+        p = np.exp(sum(local[i, x[i]] for i in range(4)) + sum(t[x[i], x[j]] for i, j, t in links))
+        for i in range(4):
+            want[i, x[i]] += p
+    assert np.allclose(pii.marginals(local, links), want / want.sum(1, keepdims=True), atol=1e-3)
+
+
+def test_redaction(spark):
+    docs = documents(spark, rows())
+    clean = pii.without_personal_data(docs)
+    assert clean.columns == docs.columns
+    by_id = {r.doc_id: r for r in clean.collect()}
+    assert "<PHONE>" in by_id[500].text and "jan.k34" not in by_id[500].text
+    assert by_id[1].text is None and by_id[4].text == dict((i, t) for i, t, _ in texts())[4]
+    assert all(r.text is None or r.n_chars == len(r.text) for r in by_id.values())
+
+
+def test_overlapping_spans_leave_nothing():
+    assert pii.redacted("ab12cd", [(0, 0, 4), (1, 2, 5)]) == "<EMAIL>d"
+
+
+def test_empty_table(spark):
+    assert pii.personal_data(documents(spark, [])).collect() == []
