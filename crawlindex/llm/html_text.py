@@ -176,6 +176,8 @@ def scan(page: str) -> Iterator[tuple[str, object, int]]:
             continue
         if breaks and open_elements and open_elements[-1] in _CLOSED_BY_BLOCK:
             open_elements.pop()
+            if skipped_from is not None and len(open_elements) <= skipped_from:
+                skipped_from = None
         if name == "a" and links:  # links do not nest
             at = len(open_elements) - 1 - open_elements[::-1].index("a")
             del open_elements[at]

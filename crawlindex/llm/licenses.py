@@ -90,11 +90,13 @@ class Word:
 
 def words_of(text: str, start: int = 0) -> list[Word]:
     """Words with their places, lower-cased and without marks around them."""
-    found = (
-        Word(start + m.start(), start + m.end(), m[0].strip(_MARKS).lower())
-        for m in _WORD.finditer(text)
-    )
-    return [w for w in found if w.plain]
+    out = []
+    for m in _WORD.finditer(text):
+        plain = m[0].strip(_MARKS)
+        if plain:
+            first = start + m.start() + m[0].index(plain)
+            out.append(Word(first, first + len(plain), plain.lower()))
+    return out
 
 
 @dataclass
@@ -190,40 +192,44 @@ def _align(template: Template, block: list[Word], used: set[int]) -> tuple | Non
     return [free[low + i] for i in range(first, last)], missing, added
 
 
+def _best(block: list[Word], used: set[int], exact: bool) -> Finding | None:
+    """The confirmed template that spares the block's unused words most."""
+    data = " ".join(w.plain for w in block if w.start not in used).encode()
+    size = len(_alone().compress(data))
+    spared = [(size - len(t.compressor.compress(data)), t) for t in _templates()]
+    for saving, template in sorted(spared, key=lambda x: (-x[0], x[1].name)):
+        aligned = None
+        if saving >= MIN_SHARE * template.size:
+            aligned = _align(template, block, used)
+        if aligned is None:
+            continue
+        places, missing, added = aligned
+        n = len(template.words)
+        if exact and (missing or added):
+            continue
+        if (
+            n - len(missing) >= MIN_MATCHED * n
+            and len(added) <= MAX_ADDED * n
+            and not template.needed & set(missing)
+        ):
+            first, last = block[places[0]], block[places[-1]]
+            return Finding(
+                template.name, first.start, last.end, " ".join(missing), " ".join(added), saving
+            )
+    return None
+
+
 def scan(text: str) -> list[Finding]:
     """Confirmed notices in order of their places."""
     found: dict[tuple[str, int], Finding] = {}
     used: set[int] = set()
-    for block in (b for around in AROUND for b in blocks_of(text, *around)):
-        while True:
-            data = " ".join(w.plain for w in block if w.start not in used).encode()
-            size = len(_alone().compress(data))
-            spared = sorted(
-                ((size - len(t.compressor.compress(data)), t) for t in _templates()),
-                key=lambda x: (-x[0], x[1].name),
-            )
-            for saving, template in spared:
-                if saving < MIN_SHARE * template.size:
-                    continue
-                aligned = _align(template, block, used)
-                if aligned is None:
-                    continue
-                places, missing, added = aligned
-                n = len(template.words)
-                if (
-                    n - len(missing) >= MIN_MATCHED * n
-                    and len(added) <= MAX_ADDED * n
-                    and not template.needed & set(missing)
-                ):
-                    own = [block[i] for i in places]
-                    found[template.name, own[0].start] = Finding(
-                        template.name, own[0].start, own[-1].end,
-                        " ".join(missing), " ".join(added), saving,
-                    )
-                    used |= {w.start for w in own}
-                    break
-            else:
-                break
+    # Exact wordings first, so that no other template takes a part of them.
+    for exact in (True, False):
+        for around in AROUND:
+            for block in blocks_of(text, *around):
+                while (finding := _best(block, used, exact)) is not None:
+                    found[finding.name, finding.start] = finding
+                    used |= {w.start for w in block if finding.start <= w.start < finding.end}
     return sorted(found.values(), key=lambda f: (f.start, f.name))
 
 

@@ -37,6 +37,7 @@ SAME_DIGITS = 7  # numbers with so many equal digits, at least, are similar
 ROUNDS = 20  # of messages, at most
 CONVERGED = 1e-4
 PRIOR = 1.0  # count of each label assumed in advance
+PRIOR_OTHER = 10.0  # the same of other than personal data, for each shape
 
 # The base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -52,7 +53,7 @@ _NOT_DIGIT = re.compile("[^0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[ ().\-/_:]{0,2}[0-9])*+")
 _SPELLED = re.compile(
     r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\(@\)|\[@\]) ?[A-Za-z0-9-]{1,64}"
-    r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,64}){1,8}",
+    r"(?:(?:\.| ?(?:\(dot\)|\[dot\]) ?)[A-Za-z0-9-]{1,64}){1,8}",
     re.I,
 )
 _WORD = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -284,6 +285,7 @@ def fit(docs: DataFrame) -> Potentials:
         .limit(5_000)  # shapes are few; this bounds them in any text
         .collect()
     )
+    prior = np.array([PRIOR] * len(KINDS) + [PRIOR_OTHER])
     local: dict[str, np.ndarray] = {}
     pairs = {kind: np.full((len(LABELS), len(LABELS)), 0.0) for kind in ("chain", "skip")}
     for row in rows:
@@ -291,32 +293,32 @@ def fit(docs: DataFrame) -> Potentials:
             pairs[row["what"]][row["a"], row["b"]] += row["n"]
             pairs[row["what"]][row["b"], row["a"]] += row["n"]
         else:
-            seen = local.setdefault(
-                row["what"].removeprefix("local "), np.full(len(LABELS), PRIOR)
-            )
+            seen = local.setdefault(row["what"].removeprefix("local "), prior.copy())
             seen[row["a"]] += row["n"]
     return Potentials(
         {k: np.log(n / n.sum()) for k, n in local.items()},
-        np.log(np.full(len(LABELS), 1 / len(LABELS))),
-        _ratios(pairs["chain"], 1.0),
-        _ratios(pairs["skip"], 1.0 + pairs["skip"].trace()),
+        np.log(prior / prior.sum()),
+        _chain(pairs["chain"]),
+        _skip(pairs["skip"]),
     )
 
 
-def _ratios(pairs: np.ndarray, agreeing: float) -> np.ndarray:
-    """Log ratio of a pair's frequency to that of its labels on their own, a
-    little evidence for agreement assumed in advance.
+def _chain(pairs: np.ndarray) -> np.ndarray:
+    """Log ratio of a pair's frequency to that of its labels on their own. Weak
+    by its bounds, as neighbours in the text tell little."""
+    joint = (pairs + PRIOR) / (pairs + PRIOR).sum()
+    own = joint.sum(1)
+    return np.clip(np.log(joint / np.outer(own, own)), -0.5, 0.5)
+
 
-    Labels of similar tokens that differ do so because patterns know no context,
-    which is what the field is to mend: for skip links only agreement counts.
+def _skip(pairs: np.ndarray) -> np.ndarray:
+    """Similar tokens agree, the more surely the more often base spans did.
+
+    Where they differ in the sample it is because patterns know no context,
+    which is what the field is to mend; so only agreement counts.
     """
-    if agreeing > 1.0:
-        strength = math.log((agreeing + 1) / 1.0)
-        return np.eye(len(pairs)) * max(2.0, min(strength, 8.0))
-    joint = pairs + PRIOR
-    joint /= joint.sum()
-    own = joint.sum(1)
-    return np.clip(np.log(joint / np.outer(own, own)), -1.0, 1.0)
+    agreeing = pairs.trace() - pairs[OTHER, OTHER]
+    return np.eye(len(pairs)) * min(8.0, 3.0 + math.log1p(agreeing))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

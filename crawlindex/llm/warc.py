@@ -218,7 +218,10 @@ class _Reader(DataSourceReader):
         names = sorted(f.path for f in found if f.path.endswith(".warc.gz"))
         return [_Share(name, 0, None) for name in names]
 
-    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Share | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an archive without files
+            return
+
         def wanted(headers: dict[str, str]) -> bool:
             return all(headers.get(name) in values for name, values in self._tests)
 

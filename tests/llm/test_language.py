@@ -14,7 +14,7 @@ def sentence(seed, letters):
 def corpus():
     kinds = {"xa": "abcdefg", "xb": "hijklmn", "xc": "abchijö"}
     return [
-        (1000 * k + i, sentence(1000 * k + i, letters), name)
+        (1000 * k + 100 + i, sentence(1000 * k + i, letters), name)
         for k, (name, letters) in enumerate(kinds.items())
         for i in range(60)
     ]

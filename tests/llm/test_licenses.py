@@ -1,0 +1,45 @@
+from llm_data import documents, prose, texts
+
+from crawlindex.llm import licenses
+
+NOISE = "Copyright rests with us. "
+
+
+def found(text):
+    return [(f.name, text[f.start : f.end], f.missing, f.added) for f in licenses.scan(text)]
+
+
+def test_every_template_alone_and_in_prose():
+    for name, (wording, _) in licenses.TEMPLATES.items():
+        for text in (wording, f"{prose(1, 300)}.\n{wording}. {prose(2, 300)}"):
+            hits = found(text)
+            assert [(n, m, a) for n, _, m, a in hits] == [(name, "", "")], (name, hits)
+
+
+def test_other_versions_are_not_taken():
+    assert found("Licensed under CC BY-NC 3.0") == []
+    assert found("This work is licensed under the GNU General Public License, version 4") == []
+
+
+def test_wording_differences_are_told():
+    [(name, _, missing, added)] = found("Released under an MIT License")
+    assert (name, missing, added) == ("MIT", "the", "an")
+    assert found("A fishing license is a license to fish, released yearly.") == []
+
+
+def test_several_notices_and_very_long_text():
+    text = "\n".join(w for w, _ in licenses.TEMPLATES.values()) + "\n" + NOISE * 4000 + "All rights reserved."
+    names = [n for n, *_ in found(text)]
+    assert sorted(names) == sorted([*licenses.TEMPLATES, "all rights reserved"])
+
+
+def test_every_row(spark):
+    notice = "Released under the MIT License."
+    rows = texts() + [(50, notice, None), (50, notice, None), (None, f"x {notice}", None)]
+    got = licenses.license_notices(documents(spark, rows)).collect()
+    assert sorted((r.doc_id is None, r.license, r.start, r.end, r.exact) for r in got) == [
+        (False, "MIT", 0, 30, True),
+        (False, "MIT", 0, 30, True),
+        (True, "MIT", 2, 32, True),
+    ]
+    assert licenses.license_notices(documents(spark, [])).collect() == []

@@ -1,0 +1,96 @@
+import base64
+import gzip
+import hashlib
+import io
+
+import pytest
+
+from crawlindex.llm import warc
+from crawlindex.storage import new_folder
+
+PAGES = "page_id long, url string, html string, payload int, digest string, first long, record_type int"
+EXTRA = (1, "d", 2, 3)
+
+
+def rows():
+    out = [(i, f"http://h/{i}", f"<p>{i}</p>", *EXTRA) for i in range(40)]
+    out += [(100 + i, "u", f"<p>{i}</p>", *EXTRA) for i in range(20)]
+    out += [(200, None, None, *EXTRA), (201, "x\r\nWARC-Type: revisit", "", *EXTRA), (202, "ü", "é" * 300_000, *EXTRA)]
+    out += [(None, "u", "<p>3</p>", *EXTRA), (None, "u", "alone", *EXTRA), out[5], (-3, "u", "-", *EXTRA)]
+    return out
+
+
+@pytest.mark.parametrize("min_bytes", [0, 5, 9])
+def test_round_trip(spark, min_bytes):
+    got = warc.round_trip(spark.createDataFrame(rows(), PAGES), min_bytes).collect()
+    first = {}
+    for i, _, text, *_ in rows():
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    want = []
+    for i, _, text, *_ in rows():
+        data = (text or "").encode()
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        to = first.get(text or "")
+        revisit = len(data) >= min_bytes and i != to
+        want.append(str((i, len(data), digest, "revisit" if revisit else "response", to if revisit else None)))
+    order = "page_id payload_bytes payload_digest record_type refers_to".split()
+    assert sorted(str(tuple(r[c] for c in order)) for r in got) == sorted(want)
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_members_are_gzip_and_can_be_skipped():
+    records = [warc.record_bytes({"WARC-Type": "response", "N": str(i)}, b"x" * 10**5 * i) for i in range(4)]
+    data = b"".join(map(warc.gzip_member, records))
+    assert gzip.decompress(data) == b"".join(records)
+    read = list(warc.read_members(io.BytesIO(data), 0, len(data), lambda h: h["N"] == "2"))
+    assert [(h["N"], len(b)) for h, b in read] == [("2", 2 * 10**5)]
+
+
+def test_archives_of_others_are_read_too(spark):
+    """Plain gzip members, without named lengths or a manifest."""
+    path = new_folder(spark, "foreign").removeprefix("file:")
+    import pathlib
+
+    pathlib.Path(path).mkdir(parents=True)
+    parts = [
+        gzip.compress(warc.record_bytes({"WARC-Type": kind, "WARC-Target-URI": f"u{i}"}, b"block" * 2000))
+        for i, kind in enumerate(["warcinfo", "response", "resource", "response"])
+    ]
+    pathlib.Path(path, "a.warc.gz").write_bytes(b"".join(parts))
+    found = warc.read_warc(spark, path).where("record_type = 'response'").collect()
+    assert [r.target_uri for r in found] == ["u1", "u3"]
+    assert all(r.payload == b"block" * 2000 for r in found)
+
+
+def test_filters_reach_the_reader():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    reader = warc._Reader({"path": "p"})
+    left = reader.pushFilters(
+        [EqualTo(("record_type",), "revisit"), In(("headers", "X"), ["1"]), GreaterThan(("record_id",), "a")]
+    )
+    assert [type(f).__name__ for f in left] == ["GreaterThan"]
+    assert reader._tests == [("WARC-Type", frozenset(["revisit"])), ("X", frozenset(["1"]))]
+
+
+def test_large_files_are_read_in_shares(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    path = new_folder(spark, "shares")
+    warc.write_pages(spark.createDataFrame(rows(), PAGES).coalesce(1), path)
+    plain = path.removeprefix("file:")
+    import json
+    import pathlib
+
+    manifest = pathlib.Path(plain, warc.MANIFEST)
+    [[name, [start, end]]] = [m for m in json.loads(manifest.read_text())]
+    data = pathlib.Path(plain, name).read_bytes()
+    middle = data.index(b"\x1f\x8b\x08\x04", len(data) // 2)
+    manifest.write_text(json.dumps([[name, [start, middle, end]]]))
+    read = warc.read_warc(spark, path)
+    assert read.rdd.getNumPartitions() == 2
+    assert read.agg(F.count("*")).first()[0] == len(rows())
