@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import crawlindex as ci  # noqa: E402
 from crawlindex.functions.fixed_values import STOP_WORDS  # noqa: E402
 from crawlindex.storage import new_folder, stored  # noqa: E402
-from crawlindex.testing import crawl  # noqa: E402
+from crawlindex.testing import ODD_EACH, ODD_TEXT, crawl  # noqa: E402
 
 try:  # the training-data operators may be absent as a whole
     import corpus_pipeline
@@ -33,6 +33,10 @@ except ImportError as missing:
 
 ROUNDS = 20  # of the ranks all queries but page_rank_tol use
 WORD = "en"
+BLOCK_ROWS = 400  # of the array forms, so that frequent keywords have several blocks
+LINK_BLOCK_ROWS = 50
+FIXED_POINT_ROUNDS = 200  # of the oracle; what is left then is below 1e-13
+EXACT = 1e-8  # tolerance close enough to the fixed point for six decimals
 WORDS = ["en", "tion", "nicht", "the", "En", "zzzz"]  # the last three miss
 
 _made: dict[tuple[str, str, str], object] = {}
@@ -152,7 +156,8 @@ def link_hosts(spark, sf_dir):
 def domain_link_lists(spark, sf_dir):
     # The lists are built on a stored table, as blocked lists ask for.
     links = stored(_links(spark, sf_dir), new_folder(spark, "links"))
-    return ci.domain_link_lists(links).select("domain", "block", _text("links"))
+    lists = ci.domain_link_lists(links, LINK_BLOCK_ROWS)
+    return lists.select("domain", "block", _text("links"))
 
 
 def domain_index(spark, sf_dir):
@@ -185,7 +190,8 @@ def page_rank(spark, sf_dir):
 
 
 def page_rank_tol(spark, sf_dir):
-    return ci.domain_ranks(_wat(spark, sf_dir)).select("domain", _rounded("pageRank"))
+    ranks = ci.domain_ranks(_wat(spark, sf_dir), tol=EXACT)
+    return ranks.select("domain", _rounded("pageRank"))
 
 
 def top_domains(spark, sf_dir):
@@ -226,12 +232,12 @@ def page_keywords(spark, sf_dir):
 def index_unranked(spark, sf_dir):
     path = new_folder(spark, "index")
     ci.write_index(ci.unranked_postings(_wet(spark, sf_dir)), path, buckets=16)
-    index = ci.inverted_index(ci.read_index(spark, path))
+    index = ci.inverted_index(ci.read_index(spark, path), BLOCK_ROWS)
     return index.select("keyword", "block", _text("links"), _text("occurences"))
 
 
 def index_ranked(spark, sf_dir):
-    index = ci.inverted_index(_index(spark, sf_dir))
+    index = ci.inverted_index(_index(spark, sf_dir), BLOCK_ROWS)
     ranks = F.transform("page_ranks", lambda r: F.round(r * 1e6).cast("long"))
     return index.withColumn("page_ranks", ranks).select(
         "keyword", "block", _text("links"), _text("occurences"), _text("page_ranks")
@@ -250,6 +256,16 @@ def index_roundtrip(spark, sf_dir):
     return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
 
 
+def index_table(spark, sf_dir):
+    """The stored index as a catalog table, made twice, which changes nothing."""
+    path = new_folder(spark, "index")
+    ci.write_index(ci.ranked_postings(_wet(spark, sf_dir), _ranks(spark, sf_dir)), path)
+    name = f"keywords_{path.rsplit('-', 1)[1]}"
+    ci.create_index_table(spark, name, path)
+    index = ci.create_index_table(spark, name, path)
+    return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
+
+
 def index_stats(spark, sf_dir):
     return ci.index_stats(ci.wet_pages(_wet(spark, sf_dir)), _index(spark, sf_dir))
 
@@ -295,6 +311,21 @@ def search_multi(spark, sf_dir):
     return pages.select("uri", "matched", _rounded("score"))
 
 
+def search_totals(spark, sf_dir):
+    """Top results and the number of all hits, from one pass over the index."""
+    batch = _batch(spark, sf_dir)
+    top = ci.search_with_totals(_index(spark, sf_dir), batch, normalize=True)
+    return top.select("query", "uri", _rounded("score"), "total")
+
+
+def search_multi_batch(spark, sf_dir):
+    """The benchmark passages as queries of several words."""
+    passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    queries = passages.select(F.col("text").alias("query"))
+    top = ci.search_multi_batch(_index(spark, sf_dir), queries, k=5, normalize=True)
+    return top.select("query", "uri", "matched", _rounded("score"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Crawl to ranked index to the best pages for a few words."""
     index = _index(spark, "/root/testdata/sf0.001")
@@ -311,9 +342,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             link_edges, link_vertices, edge_multiplicity, out_degree,
             page_rank, page_rank_tol, top_domains, rank_names, ranked_pages,
             tokens, term_counts, page_keywords,
-            index_unranked, index_ranked, postings_by_position, index_roundtrip, index_stats,
+            index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
+            index_stats,
             keyword_lookup, search_scores, search_top20, search_formatted,
-            search_batch, search_hit_counts, search_multi,
+            search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
         )
     }
     if llm_queries is None:
@@ -338,10 +370,19 @@ _WORD_BREAK = r"'[\t\n\x0B\f\r |]'"
 _STOP_LIST = ", ".join(f"'{word}'" for word in STOP_WORDS)
 _WORD_LIST = ", ".join(f"'{word}'" for word in WORDS)
 
+_CRLF = "chr(13) || chr(10)"
+_ODD_TEXT = f"{_CRLF} || {_CRLF} || '{ODD_TEXT}'"
+
+# The page of a document is worked out before the join, which then is hashed.
 _CAPTURES = f"""
+n_pages AS (SELECT count(*) AS n FROM pages),
+numbered AS (
+    SELECT doc_id, doc_id % n AS page_id, text || CASE WHEN doc_id % {ODD_EACH} = 0
+        THEN {_ODD_TEXT} ELSE '' END AS text
+    FROM documents, n_pages),
 captures AS (
     SELECT d.doc_id, p.url AS uri, {_host('p.url')} AS domain, d.text
-    FROM documents d JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))"""
+    FROM numbered d JOIN pages p USING (page_id))"""
 
 _TOKENS = f"""{_CAPTURES},
 raw_words AS (
@@ -405,9 +446,6 @@ batch AS (
     SELECT DISTINCT unnest(regexp_split_to_array(text, {_WORD_BREAK})) AS query
     FROM benchmark)"""
 
-_CRLF = "chr(13) || chr(10)"
-
-
 def _record(kind: str, content: str, body: str, uri: str) -> str:
     return (
         f"{_CRLF} || 'WARC-Type: {kind}' || {_CRLF} || 'WARC-Target-URI: ' || {uri} || "
@@ -433,6 +471,15 @@ metadata AS (
     GROUP BY page_id)"""
 
 
+def _blocked(rows: str, key: str, element: str, spread: str, size: int) -> str:
+    """Rows with the block each is in, by the digest of `spread` and its copy."""
+    copy = f"row_number() OVER (PARTITION BY {key}, {element}) - 1"
+    return f"""SELECT * EXCLUDE (digest, copy, blocks),
+        CASE WHEN digest IS NULL THEN 0 ELSE (digest + copy) % blocks END::INTEGER AS block
+        FROM (SELECT *, ('0x' || left(md5({spread}), 8))::BIGINT AS digest, {copy} AS copy,
+            ceil(count(*) OVER (PARTITION BY {key}) / {size})::BIGINT AS blocks FROM {rows})"""
+
+
 def _search(hits: str, k: int = 20) -> str:
     return f"""WITH RECURSIVE {_INDEX},
 hits AS ({hits}),
@@ -483,8 +530,12 @@ def oracle_sql() -> dict[str, str]:
             FROM links GROUP BY page_id, domain""",
         "link_hosts": f"WITH {_LINKS} SELECT src, dst FROM hosts WHERE dst <> ''",
         "domain_link_lists": f"""WITH {_LINKS}
-            SELECT domain, 0 AS block, coalesce(string_agg(dst, ' ' ORDER BY dst), '') AS links
-            FROM vertices LEFT JOIN hosts ON src = domain GROUP BY domain""",
+            , lists AS (
+                SELECT l.domain, nullif(regexp_extract(l.link, '^https?://([^/:?#]+)', 1), '')
+                    AS dst FROM links l),
+            blocked AS ({_blocked('lists', 'domain', 'dst', 'dst', LINK_BLOCK_ROWS)})
+            SELECT domain, block, coalesce(string_agg(dst, ' ' ORDER BY dst), '') AS links
+            FROM blocked GROUP BY domain, block""",
         "domain_index": f"""WITH {_LINKS}
             SELECT row_number() OVER (ORDER BY left(md5(domain), 3), domain) - 1 AS index, domain
             FROM vertices""",
@@ -496,15 +547,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT src, count(*) AS out_degree FROM edges GROUP BY src""",
         "page_rank": f"""WITH RECURSIVE {_RANKS}
             SELECT domain, round("pageRank", 6) AS "pageRank" FROM ranks""",
-        "page_rank_tol": f"""WITH RECURSIVE {_rank_ctes(100)},
-            moves AS (
-                SELECT b.step, max(abs(b.rank - a.rank)) AS moved
-                FROM steps a JOIN steps b ON b.domain = a.domain AND b.step = a.step + 1
-                GROUP BY b.step),
-            last AS (
-                SELECT coalesce(min(step), 100) AS step FROM moves
-                WHERE step % 5 = 0 AND moved <= 0.0001),
-            ranks AS (SELECT {_SCALED} WHERE step = (SELECT step FROM last))
+        "page_rank_tol": f"""WITH RECURSIVE {_rank_ctes(FIXED_POINT_ROUNDS)},
+            ranks AS (SELECT {_SCALED} WHERE step = {FIXED_POINT_ROUNDS})
             SELECT domain, round("pageRank", 6) AS "pageRank" FROM ranks""",
         "top_domains": f"""WITH RECURSIVE {_RANKS}
             SELECT domain, round("pageRank", 6) AS "pageRank" FROM ranks
@@ -523,20 +567,23 @@ def oracle_sql() -> dict[str, str]:
                 FROM terms GROUP BY doc_id)
             SELECT uri, coalesce(keywords, '') AS keywords
             FROM captures LEFT JOIN lists USING (doc_id)""",
-        "index_unranked": f"""WITH {_TOKENS}
-            SELECT keyword, 0 AS block,
+        "index_unranked": f"""WITH {_TOKENS},
+            blocked AS ({_blocked('terms', 'keyword', 'uri, keyword_weight', 'uri', BLOCK_ROWS)})
+            SELECT keyword, block,
                 string_agg(uri, ' ' ORDER BY uri, keyword_weight) AS links,
                 string_agg(keyword_weight, ' ' ORDER BY uri, keyword_weight) AS occurences
-            FROM terms GROUP BY keyword""",
-        "index_ranked": f"""WITH RECURSIVE {_INDEX}
-            SELECT keyword, 0 AS block,
+            FROM blocked GROUP BY keyword, block""",
+        "index_ranked": f"""WITH RECURSIVE {_INDEX},
+            blocked AS ({_blocked('postings', 'keyword', 'uri, occurences', 'uri', BLOCK_ROWS)})
+            SELECT keyword, block,
                 string_agg(uri, ' ' ORDER BY uri, occurences) AS links,
                 string_agg(occurences, ' ' ORDER BY uri, occurences) AS occurences,
                 string_agg(round(page_rank * 1e6)::BIGINT, ' ' ORDER BY uri, occurences)
                     AS page_ranks
-            FROM postings GROUP BY keyword""",
+            FROM blocked GROUP BY keyword, block""",
         "postings_by_position": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
         "index_roundtrip": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
+        "index_table": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
         "index_stats": f"""WITH RECURSIVE {_INDEX}
             SELECT 'records' AS metric, count(*) AS value FROM captures
             UNION ALL SELECT 'keywords_total', count(*) FROM postings
@@ -557,10 +604,28 @@ def oracle_sql() -> dict[str, str]:
         "search_hit_counts": f"""WITH RECURSIVE {_INDEX}
             SELECT query, count(uri) AS hits
             FROM batch LEFT JOIN postings ON keyword = query GROUP BY query""",
+        "search_totals": _search(
+            f"""SELECT query, uri, occurences * page_rank AS score,
+                count(*) OVER (PARTITION BY query) AS total
+            FROM batch JOIN postings ON keyword = {_keyword('query')}"""
+        ).replace("AS score FROM placed", "AS score, total FROM placed"),
+        "search_multi_batch": f"""WITH RECURSIVE {_INDEX},
+            asked AS (
+                SELECT DISTINCT query, {_keyword('word')} AS keyword FROM (
+                    SELECT text AS query, unnest(regexp_split_to_array(text, '\\s+')) AS word
+                    FROM benchmark)),
+            summed AS (
+                SELECT query, uri, count(DISTINCT keyword) AS matched,
+                    round(sum(occurences * page_rank), 9) AS score
+                FROM asked JOIN postings USING (keyword) GROUP BY query, uri),
+            placed AS (
+                SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, uri) AS place
+                FROM summed)
+            SELECT query, uri, matched, round(score, 6) AS score FROM placed WHERE place <= 5""",
         "search_multi": f"""WITH RECURSIVE {_INDEX}
             SELECT uri, count(DISTINCT query) AS matched, round(sum(score), 6) AS score
             FROM ({_SCORED}) WHERE query IN ({_WORD_LIST})
-            GROUP BY uri ORDER BY sum(score) DESC, uri LIMIT 20""",
+            GROUP BY uri ORDER BY round(sum(score), 9) DESC, uri LIMIT 20""",
     }
     if llm_queries is None:
         return own

@@ -32,7 +32,15 @@ from .operators.postings import (
     ranked_pages,
 )
 from .operators.rank import page_rank, rank_names, top_domains
-from .operators.search import hit_counts, keyword_lookup, scores, search, search_multi
+from .operators.search import (
+    hit_counts,
+    keyword_lookup,
+    scores,
+    search,
+    search_multi,
+    search_multi_batch,
+    search_with_totals,
+)
 from .plans.jobs import (
     build_index,
     domain_ranks,

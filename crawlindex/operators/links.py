@@ -100,8 +100,8 @@ def domain_link_lists(links: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 
     A domain without absolute links keeps an empty list.
     """
-    host = F.when(is_http("link"), url_host(unify_scheme("link")))
-    return blocked_lists(links, "domain", F.nullif(host, F.lit("")), "links", block_rows)
+    host = F.nullif(F.when(is_http("link"), url_host(unify_scheme("link"))), F.lit(""))
+    return blocked_lists(links, "domain", host, "links", host, block_rows)
 
 
 def domain_index(vertices: DataFrame) -> DataFrame:

@@ -11,10 +11,9 @@ from .blocks import BLOCK_ROWS, blocked_lists
 def ranked_pages(pages: DataFrame, ranks: DataFrame) -> DataFrame:
     """Pages with the `pageRank` of their domain; pages without one drop out.
 
-    Ranks small enough are broadcast by Spark, by their stored size. Otherwise
-    both sides are shuffled, and Spark splits a domain that holds too many
-    pages (see `storage.hashed` for large ranks). The text goes through the
-    join as it is: it is the most compact form of a page.
+    Pass stored ranks: Spark broadcasts them if their size is within the
+    session's threshold. Otherwise both sides are shuffled, and Spark splits a
+    domain that holds too many pages.
     """
     return pages.join(ranks.select("domain", "pageRank"), "domain").select(
         "uri", "domain", "pageRank", "text"
@@ -32,13 +31,14 @@ def postings(term_counts: DataFrame) -> DataFrame:
 def inverted_index(postings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """`keyword, block, links, occurences[, page_ranks]` from postings.
 
-    The arrays are parallel and sorted by uri. A keyword has one row unless it
-    has more than `block_rows` postings. Search reads the long postings; this
-    is the form to export.
+    The arrays are parallel and sorted by uri. A keyword has one row for about
+    every `block_rows` of its postings (see `blocked_lists`). Search reads the
+    long postings; this is the form to export.
     """
     fields = [c for c in ("uri", "occurences", "page_rank") if c in postings.columns]
     names = {"uri": "links", "occurences": "occurences", "page_rank": "page_ranks"}
-    lists = blocked_lists(postings, "keyword", F.struct(*fields), "_postings", block_rows)
+    element, spread = F.struct(*fields), F.col("uri")
+    lists = blocked_lists(postings, "keyword", element, "_postings", spread, block_rows)
     arrays = [F.col("_postings")[field].alias(names[field]) for field in fields]
     return lists.select("keyword", "block", *arrays)
 

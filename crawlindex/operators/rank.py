@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import RANK_TOLERANCE, RESET_PROBABILITY
-from ..storage import hashed, new_folder, stored
+from ..storage import new_folder, removed, stored
 
 _SPLIT_EDGES = 1_000_000
 _MAX_HOT_SOURCES = 100_000
+_BUCKET_MOVES = 2_000_000
 
 
 def page_rank(
@@ -19,42 +21,63 @@ def page_rank(
     edges: DataFrame,
     tol: float | None = RANK_TOLERANCE,
     reset: float = RESET_PROBABILITY,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     rounds_per_write: int = 5,
     split_edges: int = _SPLIT_EDGES,
 ) -> DataFrame:
     """`domain, pageRank` of `domain` vertices and `src, dst, n` edges.
 
     rank(v) = reset + (1 - reset) * sum of rank(u) * n(u, v) / out_degree(u),
-    iterated until no rank moves by more than `tol` (`tol=None`: for exactly
-    `max_iter` rounds), then scaled to sum to the number of vertices. The rank of a
-    vertex without out-edges is not handed on.
-
-    Every `rounds_per_write` rounds form one plan, which ends in a table in
-    the shared folder; within it the edges are shuffled once and reused.
+    up to the first round in which no rank moves by more than `tol`, then scaled
+    to sum to the number of vertices. There is no cap on the rounds; if a
+    `max_iter` is given and not enough, this is an error. With `tol=None` it is
+    just `max_iter` rounds. The rank of a vertex without out-edges is not handed
+    on.
+
+    Every `rounds_per_write` rounds form one plan, which ends in a table in the
+    shared folder. Edges are stored in buckets of their source, so no round
+    shuffles them. A plan keeps the ranks of each of its rounds; so the round
+    that ends it all is the same, however many rounds a plan has.
     """
-    folder = new_folder(vertices.sparkSession, "page_rank")
+    if tol is None and max_iter is None:
+        raise ValueError("without a tolerance max_iter is needed")
+    spark = vertices.sparkSession
+    folder = new_folder(spark, "page_rank")
     edges = stored(edges.select("src", "dst", "n"), f"{folder}/edges")
     state = stored(_start(vertices, edges, reset, split_edges), f"{folder}/ranks-0")
-    moves = stored(_moves(state, edges), f"{folder}/moves")
+    moves = _bucketed(_moves(state, edges), f"{folder}/moves")
     n_vertices = state.count()
-    next_state = _round(moves, reset)
-
-    done = 0
-    while done < max_iter:
-        rounds = min(rounds_per_write, max_iter - done)
-        for _ in range(rounds):
-            state = next_state(hashed(state, n_vertices))
+    steps = [_round(moves, reset, i) for i in range(rounds_per_write)]
+
+    done, final = 0, None
+    while final is None and done != max_iter:
+        rounds = rounds_per_write if max_iter is None else min(rounds_per_write, max_iter - done)
+        for step in steps[:rounds]:
+            state = step(state)
+        previous = f"{folder}/ranks-{done}"
         done += rounds
         state = stored(state, f"{folder}/ranks-{done}")
+        removed(spark, previous)
+        names = [*(f"rank_{i}" for i in range(rounds)), "rank"]
         if tol is not None:
-            moved = state.agg(F.max(F.abs(F.col("rank") - F.col("before")))).first()[0]
-            if moved is None or moved <= tol:
-                break
-
-    total = state.agg(F.sum("rank")).first()[0]
+            pairs = zip(names, names[1:], strict=False)
+            moved = state.agg(
+                *[F.max(F.abs(F.col(new) - F.col(old))).alias(new) for old, new in pairs]
+            ).first()
+            final = next((n for n in names[1:] if moved[n] is None or moved[n] <= tol), None)
+        state = state.select("domain", *names[1:], "out_degree", "splits")
+        if final is None:
+            state = state.select("domain", "rank", "out_degree", "splits")
+    spark.sql(f"DROP TABLE {moves.table}")
+    removed(spark, f"{folder}/moves")
+    removed(spark, f"{folder}/edges")
+    if tol is not None and final is None:
+        raise RuntimeError(f"ranks still move by more than {tol} after {done} rounds")
+
+    rank = F.col(final or "rank")
+    total = state.agg(F.sum(rank)).first()[0]
     scale = n_vertices / total if n_vertices else 1.0
-    return state.select("domain", (F.col("rank") * scale).alias("pageRank"))
+    return state.select("domain", (rank * scale).alias("pageRank"))
 
 
 def top_domains(ranks: DataFrame) -> DataFrame:
@@ -70,7 +93,7 @@ def rank_names(domain_index: DataFrame, index_ranks: DataFrame) -> DataFrame:
 def _start(
     vertices: DataFrame, edges: DataFrame, reset: float, split_edges: int
 ) -> DataFrame:
-    """`domain, rank, before, out_degree, splits`, one row per vertex.
+    """`domain, rank, out_degree, splits`, one row per vertex.
 
     A source with very many edges is split, so that its edges do not meet in
     one task. The split size grows with the graph to keep the split sources
@@ -87,7 +110,6 @@ def _start(
         .select(
             "domain",
             F.lit(reset).alias("rank"),
-            F.lit(reset).alias("before"),
             "out_degree",
             F.coalesce("splits", F.lit(1)).alias("splits"),
         )
@@ -124,15 +146,44 @@ def _moves(state: DataFrame, edges: DataFrame) -> DataFrame:
     return links.unionByName(kept)
 
 
-def _round(moves: DataFrame, reset: float) -> Callable[[DataFrame], DataFrame]:
-    """One round, from the state of the vertices to their next state.
+class _Bucketed:
+    """A table stored in buckets of `src, part`, to join on without a shuffle."""
 
-    The columns are made once and used in all rounds: making them takes longer
+    def __init__(self, spark: SparkSession, table: str):
+        self.table, self.frame = table, spark.table(table)
+
+
+def _bucketed(moves: DataFrame, path: str) -> _Bucketed:
+    spark = moves.sparkSession
+    table = f"moves_{uuid.uuid4().hex}"
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    moves = stored(moves, f"{path}-unsorted")
+    buckets = max(partitions, moves.count() // _BUCKET_MOVES)
+    (
+        moves.filter("dst IS NOT NULL")
+        .repartition(buckets, "src", "part")
+        .write.bucketBy(buckets, "src", "part")
+        .sortBy("src", "part")
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+    removed(spark, f"{path}-unsorted")
+    return _Bucketed(spark, table)
+
+
+def _round(moves: _Bucketed, reset: float, step: int) -> Callable[[DataFrame], DataFrame]:
+    """The round number `step` of a plan, from the state of the vertices to their
+    next state, which keeps the ranks of the plan's earlier rounds.
+
+    The columns are made once and used in all plans: making them takes longer
     than a round over a small graph.
     """
+    earlier = [f"rank_{i}" for i in range(step)]
     shares = [
         F.col("domain").alias("src"),
         F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("part"),
+        *earlier,
         F.col("rank"),
         (F.col("rank") / F.col("out_degree")).alias("share"),
     ]
@@ -140,14 +191,17 @@ def _round(moves: DataFrame, reset: float) -> Callable[[DataFrame], DataFrame]:
     # n = 0, comes along.
     inflow = F.coalesce(F.col("share") * F.col("n"), F.lit(0.0))
     vertex = F.col("dst").alias("domain")
+    own = F.col("n") == 0
     summed = [
         (reset + (1 - reset) * F.sum(inflow)).alias("rank"),
-        F.max(F.when(F.col("n") == 0, F.col("rank"))).alias("before"),
+        *[F.max(F.when(own, F.col(name))).alias(name) for name in earlier],
+        F.max(F.when(own, F.col("rank"))).alias(f"rank_{step}"),
         F.max("out_degree").alias("out_degree"),
         F.max("splits").alias("splits"),
     ]
-    # Later rounds join on dst and so drop nulls; to say it here as well makes
-    # the edges of all rounds the same, and their shuffle is reused.
-    moves = moves.filter("dst IS NOT NULL")
     keys = ["src", "part"]
-    return lambda state: state.select(*shares).join(moves, keys).groupBy(vertex).agg(*summed)
+
+    def next_state(state: DataFrame) -> DataFrame:
+        return state.select(*shares).join(moves.frame, keys).groupBy(vertex).agg(*summed)
+
+    return next_state

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import RESULTS_PER_PAGE, SCORE_FORMAT
 from ..functions.text import as_keyword
 from ..sources.index_store import bucket_count, bucket_of
-from ..storage import hashed, new_folder, stored
+from ..storage import new_folder, stored
 
 Queries = str | Sequence[str] | DataFrame
+SUM_DECIMALS = 9  # of scores that are added up
+SHARES = 64  # of the pages, in which the hits of a query are cut first
 
 
 def keyword_lookup(index: DataFrame, keywords: str | Sequence[str]) -> DataFrame:
@@ -50,24 +52,50 @@ def search(
 ) -> DataFrame:
     """`query, uri, score, score_text`: the k best pages per query.
 
-    Highest score first, ties by uri. Spark keeps k rows per query and task
-    before the shuffle (for k below 1,000, its window group limit), so a query
-    that hits a third of all pages is no burden on one task.
+    Highest score first, ties by uri. The hits of a query are first cut to k in
+    each of SHARES shares of the pages, whatever k is, so a query that hits a
+    third of all pages is no burden on one task.
     """
     hits = scores(index, queries, normalize)
-    best = [F.desc("score"), F.asc("uri")]
     if isinstance(queries, str):
-        top = hits.orderBy(*best).limit(k)
+        top = hits.orderBy(*_best()).limit(k)
     else:
-        place = F.row_number().over(Window.partitionBy("query").orderBy(*best))
-        top = hits.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
-    return top.withColumn("score_text", F.format_string(SCORE_FORMAT, "score"))
+        top = _best_of_shares(hits.withColumn("_share", _share("uri")), k)
+    return _with_text(top.select("query", "uri", "score"))
+
+
+def search_with_totals(
+    index: DataFrame,
+    queries: Queries,
+    k: int = RESULTS_PER_PAGE,
+    normalize: bool = False,
+) -> DataFrame:
+    """`query, uri, score, score_text, total`: as `search`, with the number of
+    all hits of the query in each row. The index is read once; a query without
+    hits has no row."""
+    hits = scores(index, queries, normalize).withColumn("_share", _share("uri"))
+    in_share = Window.partitionBy("query", "_share")
+    counted = hits.withColumn("_hits", F.count("*").over(in_share)).withColumn(
+        "_place", F.row_number().over(in_share.orderBy(*_best()))
+    )
+    # SHARES * k rows of a query at most are left for the second step.
+    few = counted.filter(F.col("_place") <= k)
+    query = Window.partitionBy("query")
+    total = F.sum(F.when(F.col("_place") == 1, F.col("_hits"))).over(query)
+    top = few.withColumn("total", total).withColumn(
+        "_place", F.row_number().over(query.orderBy(*_best()))
+    )
+    top = top.filter(F.col("_place") <= k)
+    return _with_text(top.select("query", "uri", "score", "total")).select(
+        "query", "uri", "score", "score_text", "total"
+    )
 
 
 def hit_counts(index: DataFrame, queries: Queries, normalize: bool = False) -> DataFrame:
-    """`query, hits`: number of postings per query, 0 for a miss."""
+    """`query, hits`: number of postings per query, 0 for a miss. Ranks are not
+    needed."""
     asked = _asked(index, queries, normalize)
-    found = _scores(index, asked).groupBy("query").agg(F.count("*").alias("_hits"))
+    found = _matches(index, asked).groupBy("query").agg(F.count("*").alias("_hits"))
     if not isinstance(asked, DataFrame):
         asked = index.sparkSession.createDataFrame(asked, "query string, keyword string")
     return asked.join(found, "query", "left").select(
@@ -76,22 +104,67 @@ def hit_counts(index: DataFrame, queries: Queries, normalize: bool = False) -> D
 
 
 def search_multi(
-    index: DataFrame, keywords: Sequence[str], k: int | None = RESULTS_PER_PAGE
+    index: DataFrame,
+    keywords: Sequence[str],
+    k: int | None = RESULTS_PER_PAGE,
+    normalize: bool = False,
 ) -> DataFrame:
     """`uri, matched, score` for several keywords asked together.
 
     The result lists are appended and a page's scores added up, which raises
-    pages that several keywords hit. `k=None` keeps all pages.
+    pages that several keywords hit. `k=None` keeps all pages. One shuffle, by
+    page, serves the keywords and the pages.
     """
-    per_keyword = (
-        scores(index, list(dict.fromkeys(keywords)))
-        .groupBy("uri", "query")
-        .agg(F.sum("score").alias("score"))
+    hits = scores(index, list(dict.fromkeys(keywords)), normalize)
+    pages = hits.groupBy("uri").agg(
+        F.count_distinct("query").alias("matched"), _sum("score").alias("score")
     )
-    pages = per_keyword.groupBy("uri").agg(
-        F.count("*").alias("matched"), F.sum("score").alias("score")
+    return pages if k is None else pages.orderBy(*_best()).limit(k)
+
+
+def search_multi_batch(
+    index: DataFrame, queries: DataFrame, k: int = RESULTS_PER_PAGE, normalize: bool = False
+) -> DataFrame:
+    """`query, uri, matched, score`: the k best pages for each of a table of
+    queries of several words (a `query` column).
+
+    Queries are split at white space; a word that comes again counts once.
+    `normalize` cleans each word the way texts were cleaned.
+    """
+    word = F.explode(F.split("query", r"\s+")).alias("_word")
+    words = queries.select("query").distinct().select("query", word).filter("_word <> ''")
+    keyword = as_keyword("_word") if normalize else F.col("_word")
+    asked = words.select("query", keyword.alias("keyword")).filter("keyword <> ''").distinct()
+    hits = _scored(_matches(index, _stored_queries(index, asked)))
+    pages = hits.groupBy("query", "uri").agg(
+        F.count_distinct("keyword").alias("matched"), _sum("score").alias("score")
     )
-    return pages if k is None else pages.orderBy(F.desc("score"), "uri").limit(k)
+    return _best_of_shares(pages.withColumn("_share", _share("uri")), k).drop("_share")
+
+
+def _best() -> list[Column]:
+    return [F.desc("score"), F.asc("uri")]
+
+
+def _sum(score: str) -> Column:
+    """Rounded, so that the order of adding decides no tie."""
+    return F.round(F.sum(score), SUM_DECIMALS)
+
+
+def _share(uri: str) -> Column:
+    return F.pmod(F.xxhash64(uri), F.lit(SHARES)).cast("int")
+
+
+def _best_of_shares(hits: DataFrame, k: int) -> DataFrame:
+    """The k best rows of each query, in two steps by its shares."""
+    for keys in (["query", "_share"], ["query"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_best()))
+        hits = hits.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
+    return hits
+
+
+def _with_text(top: DataFrame) -> DataFrame:
+    return top.withColumn("score_text", F.format_string(SCORE_FORMAT, "score"))
 
 
 def _asked(
@@ -102,9 +175,7 @@ def _asked(
     keyword = as_keyword("query") if normalize else F.col("query")
     if isinstance(queries, DataFrame):
         asked = queries.select("query").distinct().withColumn("keyword", keyword)
-        # From storage Spark knows the size: few queries are broadcast, many
-        # are shuffled with the postings, where it can split a hot keyword.
-        return stored(asked, new_folder(spark, "queries"))
+        return _stored_queries(index, asked)
     given = [queries] if isinstance(queries, str) else list(dict.fromkeys(queries))
     if not normalize:
         return [(word, word) for word in given]
@@ -112,15 +183,36 @@ def _asked(
     return [tuple(row) for row in asked.select("query", keyword).collect()]
 
 
-def _scores(index: DataFrame, asked: DataFrame | list[tuple[str, str]]) -> DataFrame:
+def _stored_queries(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """Queries with the bucket their keyword is in, written to the shared folder.
+
+    From storage Spark knows the size: few queries are broadcast, and their
+    buckets prune the index as it is read; many are shuffled with the postings,
+    where Spark can split a hot keyword.
+    """
+    buckets = bucket_count(index)
+    if buckets:
+        asked = asked.withColumn("bucket", bucket_of("keyword", buckets))
+    return stored(asked, new_folder(index.sparkSession, "queries"))
+
+
+def _matches(index: DataFrame, asked: DataFrame | list[tuple[str, str]]) -> DataFrame:
+    """The postings that match, with their `query`."""
     if isinstance(asked, DataFrame):
-        hits = index.join(hashed(asked), "keyword")
-    else:
-        hits = keyword_lookup(index, [keyword for _, keyword in asked])
-        if all(query == keyword for query, keyword in asked):
-            hits = hits.withColumn("query", F.col("keyword"))
-        else:
-            pairs = index.sparkSession.createDataFrame(asked, "query string, keyword string")
-            hits = hits.join(pairs, "keyword")
-    score = (F.col("occurences") * F.col("page_rank")).alias("score")
-    return hits.select("query", "uri", score)
+        if "bucket" in asked.columns:
+            # Spark prunes by a joined table only if that is filtered itself.
+            return index.join(asked.filter("bucket >= 0"), ["bucket", "keyword"])
+        return index.join(asked, "keyword")
+    hits = keyword_lookup(index, [keyword for _, keyword in asked])
+    if all(query == keyword for query, keyword in asked):
+        return hits.withColumn("query", F.col("keyword"))
+    pairs = index.sparkSession.createDataFrame(asked, "query string, keyword string")
+    return hits.join(pairs, "keyword")
+
+
+def _scored(matches: DataFrame) -> DataFrame:
+    return matches.withColumn("score", F.col("occurences") * F.col("page_rank"))
+
+
+def _scores(index: DataFrame, asked: DataFrame | list[tuple[str, str]]) -> DataFrame:
+    return _scored(_matches(index, asked)).select("query", "uri", "score")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..functions.fixed_values import STOP_WORDS
 from ..functions.urls import url_host
 from ..operators.keywords import term_counts
 from ..operators.links import edges_of, host_counts, links_long, vertices_of
@@ -13,7 +14,7 @@ from ..operators.postings import postings, ranked_pages
 from ..operators.rank import page_rank
 from ..sources.index_store import read_index, write_index
 from ..sources.warc import read_records, wat_pages, wet_pages
-from ..storage import hashed, new_folder, stored
+from ..storage import new_folder, stored
 
 
 def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
@@ -25,26 +26,29 @@ def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
     folder = new_folder(wat_records.sparkSession, "link_graph")
     counts = stored(host_counts(links_long(wat_pages(wat_records))), f"{folder}/host_counts")
     vertices = stored(vertices_of(counts), f"{folder}/vertices")
-    return page_rank(vertices, edges_of(counts, hashed(vertices)), **rank_options)
+    return page_rank(vertices, edges_of(counts, vertices), **rank_options)
 
 
 def ranked_postings(
     wet_records: DataFrame,
     ranks: DataFrame,
     domain: Callable[[Column], Column] = url_host,
+    stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
     """`keyword, uri, occurences, page_rank` of the pages with a ranked domain.
 
     Pass stored ranks, as `domain_ranks` returns them. `domain_pattern` as
     `domain` joins by the loose pattern, which loses pages.
     """
-    pages = ranked_pages(wet_pages(wet_records, domain), hashed(ranks))
-    return postings(term_counts(pages))
+    pages = ranked_pages(wet_pages(wet_records, domain), ranks)
+    return postings(term_counts(pages, stop_words))
 
 
-def unranked_postings(wet_records: DataFrame) -> DataFrame:
+def unranked_postings(
+    wet_records: DataFrame, stop_words: Sequence[str] = STOP_WORDS
+) -> DataFrame:
     """`keyword, uri, occurences` of all pages."""
-    return postings(term_counts(wet_pages(wet_records).select("uri", "text")))
+    return postings(term_counts(wet_pages(wet_records).select("uri", "text"), stop_words))
 
 
 def build_index(
@@ -52,13 +56,21 @@ def build_index(
     wet_path: str | list[str],
     wat_path: str | list[str],
     index_path: str,
-    buckets: int = 256,
+    buckets: int | None = None,
     mode: str = "errorifexists",
     domain: Callable[[Column], Column] = url_host,
+    partitions: int | None = None,
+    stop_words: Sequence[str] = STOP_WORDS,
     **rank_options,
 ) -> DataFrame:
-    """Rank the domains of a crawl, index its pages, store and open the index."""
-    ranks = domain_ranks(read_records(spark, wat_path), **rank_options)
-    index = ranked_postings(read_records(spark, wet_path), ranks, domain)
+    """Rank the domains of a crawl, index its pages, store and open the index.
+
+    `partitions` spreads the records of a few large .gz files, which would
+    else be parsed and counted in one task each. Options are those of
+    `page_rank`.
+    """
+    ranks = domain_ranks(read_records(spark, wat_path, partitions), **rank_options)
+    records = read_records(spark, wet_path, partitions)
+    index = ranked_postings(records, ranks, domain, stop_words)
     write_index(index, index_path, buckets, mode)
     return read_index(spark, index_path)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import new_folder, removed, stored
+
 _BUCKETS = "keyword_buckets"
+FILE_ROWS = 4_000_000
+BUCKET_FILES = 4  # a bucket is meant to have, where the number follows from the rows
+MOST_BUCKETS = 65_536
 
 
 def bucket_of(keyword: Column | str, buckets: int) -> Column:
@@ -19,30 +25,59 @@ def bucket_count(index: DataFrame) -> int | None:
 
 
 def write_index(
-    postings: DataFrame, path: str, buckets: int = 256, mode: str = "errorifexists"
+    postings: DataFrame,
+    path: str,
+    buckets: int | None = None,
+    mode: str = "errorifexists",
+    file_rows: int = FILE_ROWS,
 ) -> None:
     """Write postings, ranked or not, for look-up by keyword.
 
-    Each bucket is a directory, so a look-up lists and reads one of them; files
-    are sorted by keyword, so inside it Parquet statistics skip row groups and
-    pages. Choose `buckets` near the number of shuffle partitions of the
-    build, to have few and large files (4,096 for tens of TB of postings).
+    Each bucket is a directory, so a look-up lists and reads one of them. Files
+    hold about `file_rows` postings: a range of a bucket's keywords, and of a
+    keyword with more postings than a file holds, a range of their hashes. They
+    are sorted by keyword, so Parquet statistics skip row groups and pages.
 
-    The rebalancing is one shuffle and no sampling pass. Spark splits buckets
-    that come out large, such as that of a keyword on a third of all pages.
+    Without `buckets` their number follows from that of the postings. An append
+    takes over the number the index has, and refuses another one, as look-ups
+    would miss what lies in other buckets. The number is in the Parquet schema,
+    where readers find it.
 
-    The bucket count goes into the Parquet schema, where readers find it.
+    The postings are written to the shared folder first, so that counting them
+    and finding the ranges does not work them out anew.
     """
+    spark = postings.sparkSession
+    if mode == "append" and (there := _stored_buckets(spark, path)):
+        if buckets not in (None, there):
+            raise ValueError(f"the index has {there} buckets, {buckets} do not fit in")
+        buckets = there
+    folder = new_folder(spark, "postings")
+    table = stored(postings, folder)
+    rows = table.count()  # of file footers
+    if buckets is None:
+        buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
     keyword = F.col("keyword").alias("keyword", metadata={_BUCKETS: buckets})
     others = [c for c in postings.columns if c != "keyword"]
+    files = max(1, -(-rows // file_rows))
     (
-        postings.select(keyword, *others, bucket_of("keyword", buckets).alias("bucket"))
-        .hint("rebalance", "bucket")
+        table.select(keyword, *others, bucket_of("keyword", buckets).alias("bucket"))
+        .repartitionByRange(files, "bucket", "keyword", F.xxhash64("uri"))
         .sortWithinPartitions("bucket", "keyword")
         .write.mode(mode)
         .partitionBy("bucket")
         .parquet(path)
     )
+    removed(spark, folder)
+
+
+def _stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """Bucket count of the index in `path`, None if there is none."""
+    try:
+        return bucket_count(read_index(spark, path))
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -52,6 +87,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def create_index_table(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Make a stored index a catalog table, unless the table exists, and read it."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
-    spark.catalog.recoverPartitions(table)
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path, "parquet")
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)

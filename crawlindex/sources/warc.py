@@ -39,28 +39,58 @@ def read_records(
 ) -> DataFrame:
     """Records of crawl text files as `value`: a directory, glob or list.
 
+    A record ends where a blank line and a line with the version mark alone
+    follow, or the file ends; the mark inside a text does not end it. Values
+    start with the line break after their mark and end in a blank line.
+
     Plain files are split by byte range. A .gz file is one task, which suits
     crawls of many thousand files; for a few large ones pass `partitions` to
     spread the records before the parsing starts.
     """
-    records = spark.read.text(path, lineSep=RECORD_SEPARATOR)
+    mark = RECORD_SEPARATOR + LINE_BREAK
+    records = spark.read.text(path, lineSep=BLANK_LINE + mark)
+    value = F.col("value")
+    # The first record of a file still has its mark, the last its blank line.
+    start = F.when(
+        value.startswith(mark), F.substr(value, F.lit(len(RECORD_SEPARATOR) + 1))
+    ).when(value.startswith(LINE_BREAK), value)
+    whole = F.coalesce(start, F.concat(F.lit(LINE_BREAK), value))
+    ended = F.when(whole.endswith(BLANK_LINE), whole).otherwise(
+        F.concat(whole, F.lit(BLANK_LINE))
+    )
+    records = records.select(F.when(value != "", ended).otherwise(value).alias("value"))
     return records.repartition(partitions) if partitions else records
 
 
 def write_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a `value` column as crawl text files `read_records` reads back."""
-    records.select("value").write.mode(mode).text(path, lineSep=RECORD_SEPARATOR)
+    value = F.col("value")
+    ended = F.when(
+        value.endswith(BLANK_LINE), F.left(value, F.length(value) - len(BLANK_LINE))
+    ).otherwise(value)
+    marked = F.concat(F.lit(RECORD_SEPARATOR), ended).alias("value")
+    records.select(marked).write.mode(mode).text(path, lineSep=BLANK_LINE)
 
 
-def split_record(records: DataFrame) -> DataFrame:
+def split_record(records: DataFrame, first_segment: bool = False) -> DataFrame:
     """Drop empty records and part `value` into `header` and `body`.
 
-    The body is the second blank-line separated segment, null when there is
-    none. The split stops after it, however long the rest of the record.
+    The body is all after the first blank line but the blank line that ends the
+    record; null when there is no blank line. With `first_segment` it stops at
+    its own first blank line.
     """
+    value = F.col("value")
+    header = F.substring_index(value, BLANK_LINE, 1)
+    rest = F.substr(value, F.length(header) + len(BLANK_LINE) + 1)
+    if first_segment:
+        body = F.substring_index(rest, BLANK_LINE, 1)
+    else:
+        body = F.when(
+            rest.endswith(BLANK_LINE), F.left(rest, F.length(rest) - len(BLANK_LINE))
+        ).otherwise(rest)
     return records.filter(F.length("value") > 0).select(
-        F.substring_index("value", BLANK_LINE, 1).alias("header"),
-        F.get(F.split("value", BLANK_LINE, 3), 1).alias("body"),
+        header.alias("header"),
+        F.when(value.contains(BLANK_LINE), body).alias("body"),
     )
 
 

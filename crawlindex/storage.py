@@ -8,23 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-# Below this many rows Spark is left to broadcast a table by its size.
-_SMALL_ROWS = 100_000
-
-
 _own_folders: dict[str, str] = {}  # by application
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach, as the cluster names it.
+    """Folder all executors reach, as the cluster names it: in the setting or by
+    `SparkContext.setCheckpointDir`.
 
-    Where the setting is missing a local session gets a temporary folder; on a
+    Where neither is given a local session gets a temporary folder; on a
     cluster that would be a folder of one machine, so it is refused.
     """
     folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    if not folder and hasattr(context, "getCheckpointDir"):
+        folder = context.getCheckpointDir()
     if folder:
         return folder
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder all executors can reach")
     if context.applicationId not in _own_folders:
@@ -47,13 +46,7 @@ def stored(table: DataFrame, path: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def hashed(table: DataFrame, rows: int | None = None) -> DataFrame:
-    """A table as the smaller side of a join, by its number of rows.
-
-    A small one stays as it is, for Spark to broadcast if its size allows. A
-    larger one is shuffled and hashed, so that the other side, which may be
-    all pages or all edges, need not be sorted. Counting the rows of a stored
-    table reads file footers only.
-    """
-    rows = table.count() if rows is None else rows
-    return table if rows <= _SMALL_ROWS else table.hint("shuffle_hash")
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

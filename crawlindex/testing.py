@@ -18,6 +18,9 @@ from .sources.warc import write_records
 from .storage import new_folder
 
 LINKS_PER_PAGE = 6
+# Each ODD_EACH-th text goes on after a blank line, with the record mark in it.
+ODD_EACH = 7
+ODD_TEXT = "further WARC/1.0 part"
 _HREF = r'<a href="([^"]*)"'
 _WARCINFO = (
     "\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields"
@@ -46,6 +49,7 @@ def wet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("url"),
             F.lit("\r\nContent-Type: text/plain\r\n\r\n"),
             F.col("text"),
+            F.when(F.col("doc_id") % ODD_EACH == 0, f"\r\n\r\n{ODD_TEXT}").otherwise(""),
             F.lit("\r\n\r\n"),
         ).alias("value")
     )

@@ -70,12 +70,14 @@ def test_link_lists_keep_domains_without_absolute_links(spark):
 
 def test_link_lists_in_blocks(spark):
     many = [("hot", f"http://h{i % 7}/") for i in range(5000)] + [("cold", "http://x/")]
-    lists = domain_link_lists(links(spark, *many), block_rows=500)
+    table = links(spark, *many)
+    lists = domain_link_lists(table, block_rows=500)
     hot = lists.filter("domain = 'hot'").collect()
-    assert len(hot) > 3 and sorted(x for r in hot for x in r.links) == sorted(
-        f"h{i % 7}" for i in range(5000)
-    )
+    assert sorted(r.block for r in hot) == list(range(10))
+    assert max(len(r.links) for r in hot) <= 510  # copies are dealt out evenly
+    assert sorted(x for r in hot for x in r.links) == sorted(f"h{i % 7}" for i in range(5000))
     assert rows(lists.filter("domain = 'cold'").select("block", F.size("links"))) == [(0, 1)]
+    assert rows(domain_link_lists(table.repartition(5), block_rows=500)) == rows(lists)
 
 
 def test_domain_numbers_are_dense_and_stable(spark):
@@ -100,36 +102,59 @@ def test_ranks(spark, edges, ranks):
     got = {r.domain: r.pageRank for r in page_rank(vertices, weighted).collect()}
     assert got == pytest.approx(ranks, abs=1e-3)
     assert sum(got.values()) == pytest.approx(len(ranks))
-    exact = page_rank(vertices, weighted, tol=1e-6, max_iter=200, rounds_per_write=20)
+    exact = page_rank(vertices, weighted, tol=1e-6, rounds_per_write=20)
     assert {r.domain: r.pageRank for r in exact.collect()} == pytest.approx(ranks, abs=1e-5)
 
 
-def test_ranks_with_split_sources_and_hashed_joins(spark, monkeypatch):
+def test_ranks_with_split_sources(spark):
     pairs = [("hub", f"v{i}") for i in range(60)] + [(f"v{i}", "hub") for i in range(0, 60, 2)]
     pairs += [(f"v{i}", f"v{i * 7 % 60}") for i in range(60) if i * 7 % 60 != i]
     vertices, edges = graph(spark, *pairs)
     plain = rows(page_rank(vertices, edges, tol=None, max_iter=6))
-    monkeypatch.setattr(storage, "_SMALL_ROWS", 10)
     split = rows(page_rank(vertices, edges, tol=None, max_iter=6, split_edges=10))
     assert [d for d, _ in split] == [d for d, _ in plain]
     assert [r for _, r in split] == pytest.approx([r for _, r in plain])
 
 
-def test_a_round_shuffles_the_edges_once_and_does_not_sort_them(spark, monkeypatch):
+def test_rounds_per_write_changes_no_rank(spark):
+    pairs = [(f"v{i}", f"v{i * 3 % 11}") for i in range(11)] + [("v1", "v2"), ("v5", "v0")]
+    vertices, edges = graph(spark, *pairs)
+    first, *others = (
+        dict(rows(page_rank(vertices, edges, tol=0.01, rounds_per_write=n))) for n in (1, 5, 7)
+    )
+    for other in others:
+        assert other == pytest.approx(first, rel=1e-12)
+
+
+def test_a_cap_that_is_too_low_is_an_error(spark):
+    vertices, edges = graph(spark, ("a", "b"), ("b", "a"), ("c", "a"))
+    with pytest.raises(RuntimeError, match="after 5 rounds"):
+        page_rank(vertices, edges, tol=1e-9, max_iter=5)
+    with pytest.raises(ValueError, match="max_iter"):
+        page_rank(vertices, edges, tol=None)
+    assert dict(rows(page_rank(vertices, edges, tol=1e-9)))["c"] < 1
+
+
+def test_rounds_do_not_shuffle_the_edges(spark):
     from crawlindex.operators import rank
 
-    monkeypatch.setattr(storage, "_SMALL_ROWS", 2)
     vertices, edges = graph(spark, ("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"))
     folder = storage.new_folder(spark, "test")
     state = storage.stored(rank._start(vertices, edges, 0.15, 1_000_000), f"{folder}/s")
-    moves = storage.stored(rank._moves(state, edges), f"{folder}/m")
-    next_state = rank._round(moves, 0.15)
-    for _ in range(3):
-        state = next_state(storage.hashed(state, 3))
-    state.collect()
-    plan = state._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
-    assert plan.count("/m]") == 1  # one scan of the edges for all rounds
+    moves = rank._bucketed(rank._moves(state, edges), f"{folder}/m")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for step in range(3):
+            state = rank._round(moves, 0.15, step)(state)
+        state.collect()
+        plan = state._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP TABLE {moves.table}")
+    # Each round shuffles the ranks by source and the shares by target.
+    assert plan.count("Exchange hashpartitioning(src") == 3
+    assert plan.count("Bucketed: true") == 3
 
 
 def test_ranks_of_edge_cases(spark):

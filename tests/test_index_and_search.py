@@ -19,6 +19,8 @@ from crawlindex import (
     scores,
     search,
     search_multi,
+    search_multi_batch,
+    search_with_totals,
     term_counts,
     unranked_postings,
     write_index,
@@ -102,9 +104,121 @@ def test_a_hot_keyword_gets_several_blocks(spark):
     table = stored(hot.unionByName(cold), new_folder(spark, "postings"))
     arrays = inverted_index(table, block_rows=500)
     sizes = [r.n for r in arrays.filter("keyword = 'hot'").select(F.size("links").alias("n")).collect()]
-    assert len(sizes) == 8 and max(sizes) < 1500
+    assert len(sizes) == 8 and max(sizes) < 650
     assert arrays.filter("keyword <> 'hot'").count() == 2
     assert rows(postings_by_position(arrays)) == rows(table)
+    assert rows(inverted_index(table.repartition(3), block_rows=500)) == rows(arrays)
+
+
+def test_appending_keeps_all_hits(spark, tmp_path):
+    path = f"{tmp_path}/index"
+    frame = spark.createDataFrame(POSTINGS, SCHEMA)
+    write_index(frame, path, buckets=16)
+    with pytest.raises(ValueError, match="16 buckets"):
+        write_index(frame, path, buckets=7, mode="append")
+    write_index(frame, path, mode="append")
+    assert keyword_lookup(read_index(spark, path), "spark").count() == 8
+    new = f"{tmp_path}/new"  # an append where nothing is yet
+    write_index(frame, new, buckets=3, mode="append")
+    assert rows(read_index(spark, new).drop("bucket")) == sorted(POSTINGS)
+
+
+def test_a_cold_keyword_lies_in_one_file_and_a_hot_one_in_several(spark, tmp_path):
+    many = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('w', id % 200)) AS keyword", "concat('u', id) AS uri",
+        "1 AS occurences", "1.0D AS page_rank",
+    )
+    write_index(many, f"{tmp_path}/i", buckets=2, file_rows=500)
+    index = read_index(spark, f"{tmp_path}/i").select("keyword", F.input_file_name().alias("file"))
+    files = index.distinct().groupBy("keyword").agg(F.count("*").alias("n"))
+    by_keyword = {r.keyword: r.n for r in files.collect()}
+    assert by_keyword.pop("hot") >= 3
+    assert sum(n > 1 for n in by_keyword.values()) <= 12  # only at the files' borders
+
+
+def test_bucket_number_follows_from_the_rows(spark, tmp_path):
+    from crawlindex.sources.index_store import bucket_count
+
+    many = spark.range(1000).selectExpr(
+        "concat('w', id) AS keyword", "'u' AS uri", "1 AS occurences", "1.0D AS page_rank"
+    )
+    write_index(many, f"{tmp_path}/i", file_rows=50)
+    assert bucket_count(read_index(spark, f"{tmp_path}/i")) == 5
+
+
+def test_hits_of_an_unranked_index(spark, index):
+    unranked = index.drop("page_rank")
+    assert rows(hit_counts(unranked, ["spark", "none"])) == [("none", 0), ("spark", 4)]
+
+
+def test_totals_with_the_top_results(spark, index):
+    got = rows(search_with_totals(index, ["spark", "join", "none"], k=1).drop("score_text"))
+    assert got == [("join", "http://a/1", 1.0, 2), ("spark", "http://b/1", 2.0, 4)]
+    assert len(rows(search(index, ["spark", "join"], k=5000))) == 6
+
+
+def test_tables_of_several_word_queries(spark, index):
+    asked = spark.createDataFrame([("spark join",), ("Join. spark",), ("none",), ("",), (None,)], "query string")
+    top = search_multi_batch(index, asked, k=2)
+    assert rows(top.filter("query = 'spark join'")) == [
+        ("spark join", "http://a/1", 2, 2.5), ("spark join", "http://b/2", 1, 4.0),
+    ]
+    assert rows(top.filter("query = 'Join. spark'").select("matched")) == [(1,), (1,)]
+    clean = search_multi_batch(index, asked, k=2, normalize=True)
+    assert rows(clean.filter("query = 'Join. spark'").select("matched")) == [(1,), (2,)]
+
+
+def test_a_table_of_queries_prunes_the_index(spark, index):
+    asked = spark.createDataFrame([("join",)], "query string")
+    assert "dynamicpruning" in plan(scores(index, asked))
+
+
+def test_rank_join_follows_the_threshold(spark):
+    """150,000 ranks: broadcast if their stored size allows it, else a shuffle."""
+    ranks = spark.range(150_000).selectExpr("concat('d', id) AS domain", "1.0D AS pageRank")
+    ranks = stored(ranks, new_folder(spark, "ranks"))
+    pages = spark.range(1000).selectExpr("'u' AS uri", "concat('d', id) AS domain", "'t' AS text")
+    pages = stored(pages, new_folder(spark, "pages"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, join in (("64m", "BroadcastHashJoin"), ("10k", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            big = pages.union(pages.limit(0)) if join == "BroadcastHashJoin" else ranks.select(
+                F.lit("u").alias("uri"), "domain", F.lit("t").alias("text")
+            )
+            assert join in ranked_pages(big, ranks)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_command_line(tmp_path):
+    """As spark-submit runs it: the file itself, from another folder."""
+    import gzip
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    wet = "WARC/1.0" + WARCINFO + "".join(
+        "WARC/1.0" + wet_record(f"http://a.com/{i}", "spark joins") for i in range(20)
+    )
+    link = wat_body({"url": "http://b.com/"})
+    wat = "WARC/1.0" + wat_record("http://a.com/1", link) + "WARC/1.0" + wat_record("http://b.com/", link)
+    for name, text in (("a.wet.gz", wet), ("a.wat.gz", wat)):
+        (tmp_path / name).write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "stop.txt").write_text("joins\n")
+    main = str(Path(__file__).resolve().parents[1] / "crawlindex" / "__main__.py")
+
+    def run(*args):
+        done = subprocess.run(
+            [sys.executable, main, *args], cwd=tmp_path, capture_output=True, text=True, timeout=300
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        return done.stdout
+
+    run("index", "a.wet.gz", "a.wat.gz", "index", "--partitions", "3", "--stop-words", "stop.txt")
+    shown = run("search", "index", "Spark", "joins", "--normalize")
+    assert "http://a.com/7" in shown and "|Spark|20" in shown.replace(" ", "")
+    assert "|joins|0" in shown.replace(" ", "")
 
 
 def test_stats(spark, index):

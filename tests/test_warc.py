@@ -47,22 +47,37 @@ def test_files_globs_and_gzip(spark, tmp_path):
     with gzip.open(tmp_path / "b.wet.gz", "wb") as file:
         file.write(("WARC/1.0" + WARCINFO + "WARC/1.0" + wet_record("http://b.com/2", "two")).encode())
     both = read_records(spark, str(tmp_path))
-    assert both.filter("value = ''").count() == 2  # what is before the first separator
+    assert both.filter("value = ''").count() == 0
     expected = [("http://a.com/1", "a.com", "one ü"), ("http://b.com/2", "b.com", "two")]
     assert rows(wet_pages(both)) == expected
     assert rows(wet_pages(read_records(spark, f"{tmp_path}/*.wet*", partitions=3))) == expected
     assert rows(wet_pages(read_records(spark, f"{tmp_path}/*.wet"))) == expected[:1]
 
 
+def test_no_text_is_lost_at_blank_lines_or_marks(spark, tmp_path):
+    text = "first\r\n\r\nsecond WARC/1.0 third\r\nWARC/1.0 fourth\r\n\r\n\r\nWARC/1.0.1 fifth"
+    file = "WARC/1.0" + WARCINFO + "WARC/1.0" + wet_record("http://a.com/1", text)
+    file += "WARC/1.0" + wet_record("http://a.com/2", "next")
+    (tmp_path / "a.wet").write_bytes(file.encode())
+    read = read_records(spark, str(tmp_path))
+    assert rows(wet_pages(read).select("text")) == [(text,), ("next",)]
+    first = split_record(read, first_segment=True).select("body")
+    assert ("first",) in rows(first)
+    assert [r.value for r in read.collect()][1] == wet_record("http://a.com/1", text)
+
+
 def test_written_records_are_read_back(spark, tmp_path):
     values = [WARCINFO, wet_record("http://a.com/1", "line\nline\r\nline|é")]
     write_records(records(spark, *values).coalesce(1), f"{tmp_path}/out")
     assert [r.value for r in read_records(spark, f"{tmp_path}/out").collect()] == values
 
 
-def test_body_is_the_second_segment(spark):
-    split = split_record(records(spark, "", "h\r\n\r\nb\r\n\r\nmore\r\n\r\nmore", "only header"))
-    assert [tuple(r) for r in split.collect()] == [("h", "b"), ("only header", None)]
+def test_body_is_all_after_the_header(spark):
+    table = records(spark, "", "h\r\n\r\nb\r\n\r\nmore\r\n\r\nmore", "only header")
+    whole = [tuple(r) for r in split_record(table).collect()]
+    assert whole == [("h", "b\r\n\r\nmore\r\n\r\nmore"), ("only header", None)]
+    first = [tuple(r) for r in split_record(table, first_segment=True).collect()]
+    assert first == [("h", "b"), ("only header", None)]
 
 
 def test_header_fields(spark):
