@@ -58,7 +58,7 @@ def write_index(
         buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
     keyword = F.col("keyword").alias("keyword", metadata={_BUCKETS: buckets})
     others = [c for c in postings.columns if c != "keyword"]
-    files = max(1, -(-rows // file_rows))
+    files = max(buckets, -(-rows // file_rows))
     (
         table.select(keyword, *others, bucket_of("keyword", buckets).alias("bucket"))
         .repartitionByRange(files, "bucket", "keyword", F.xxhash64("uri"))
