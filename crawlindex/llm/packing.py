@@ -38,8 +38,10 @@ _PIECES = T.ArrayType(
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
     """(count, lengths) of the packs that hold histogram[n] rests of length n.
 
-    Longest lengths first, each into the shortest pack it fits in. At most two
-    patterns are added for each length, so their number is bounded by `size`.
+    Longest lengths first, each into the shortest pack it fits in. What fits in
+    none opens packs of as many equal rests as they hold, as only shorter ones
+    come after. At most three patterns are added for each length, so their
+    number is bounded by `size`.
     """
     by_room: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)
     for length in sorted(histogram, reverse=True):
@@ -47,7 +49,10 @@ def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]
         while left:
             room = max((r for r, found in by_room.items() if found), default=-1)
             if room < length:
-                by_room[size - length].append((left, [length]))
+                full, over = divmod(left, size // length)
+                for count, times in ((full, size // length), (min(over, 1), over)):
+                    if count:
+                        by_room[size - times * length].append((count, [length] * times))
                 break
             count, pattern = by_room[room].pop()
             placed = min(count, left)

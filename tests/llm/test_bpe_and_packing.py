@@ -118,6 +118,46 @@ def test_patterns_hold_the_histogram():
     assert found == histogram
 
 
+@pytest.mark.parametrize("length", [100, 200, 300, 682, 683, 900])
+def test_a_third_of_equal_middling_rests_is_no_padding(length):
+    rng = random.Random(3)
+    histogram = defaultdict(int)
+    for _ in range(40_000):
+        histogram[rng.randint(1, 2048)] += 1
+    for spread in (histogram, {}):
+        histogram = {**spread, length: spread.get(length, 0) + 20_000}
+        found = defaultdict(int)
+        for count, pattern in packing.patterns(histogram, 2048):
+            assert sum(pattern) <= 2048
+            for n in pattern:
+                found[n] += count
+        assert found == histogram
+        packs = sum(count for count, _ in packing.patterns(histogram, 2048))
+        needed = sum(n * count for n, count in histogram.items()) / 2048
+        if 2048 // length == 2:  # two at most of these in a pack, and one longer
+            alone = sum(c for n, c in histogram.items() if n > 2048 - length)
+            pairs = sum(c for n, c in histogram.items() if length <= n <= 2048 - length)
+            needed = max(needed, alone + pairs / 2)
+        if spread:
+            assert packs <= 1.02 * needed
+        else:
+            assert packs == -(-20_000 // (2048 // length))
+
+
+def test_equal_rests_get_places_of_their_own():
+    histogram = {300: 1000, 299: 7, 20: 40}
+    taken = defaultdict(list)
+    for length, first, count, sequence, offset, times in packing.slots(histogram, 2048):
+        for turn in range(count * times):
+            at = offset + turn // count * length
+            taken[sequence + turn % count].append((at, at + length))
+    assert sum(map(len, taken.values())) == 1047
+    for spans in taken.values():
+        spans.sort()
+        assert spans[0][0] == 0 and spans[-1][1] <= 2048
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_empty_table(spark):
     assert bpe.round_trip(documents(spark, [])).collect() == []
     assert packing.packed(documents(spark, [])).collect() == []
