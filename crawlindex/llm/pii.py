@@ -5,7 +5,9 @@ variables are candidate tokens: numbers and address-like words the patterns
 leave out, and the base spans, whose labels are known. Neighbours in the text
 and repeated or similar tokens, however distant, share potentials, so that a
 number once written as a phone number is one wherever it comes again. Loopy
-message passing gives each candidate its label.
+message passing gives each candidate its label. Base spans are observed, and
+each candidate is linked to those similar to it themselves, so that no number
+of repeats outvotes them.
 
 The local, chain and skip potentials are log ratios of counts on a bounded
 sample of documents, with the base spans as labels (piecewise training).
@@ -20,6 +22,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ LABELS = (*KINDS, "other")
 OTHER = len(KINDS)
 SAMPLE_DOCS = 5_000  # documents the potentials are fitted on, about
 SAME_DIGITS = 7  # numbers with so many equal digits, at least, are similar
-ROUNDS = 20  # of messages, at most
+ROUNDS = 50  # of messages, after which steps get smaller until they converge
 CONVERGED = 1e-4
 PRIOR = 1.0  # count of each label assumed in advance
 PRIOR_OTHER = 10.0  # the same of other than personal data, for each shape
@@ -174,13 +177,21 @@ def nodes_of(text: str, spans: list[tuple[int, int, int]]) -> list[Node]:
 
 
 def _links(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain links of neighbours; skip links of similar tokens, each to the one
-    before, so that many repeats give as many links."""
+    """Chain links of neighbours; skip links of similar tokens: of a candidate
+    to the first base span of each kind, or where there is none to the candidate
+    before, of a base span to the one before. Many repeats give as many links."""
     chain = [(i - 1, i) for i in range(1, len(nodes))]
+    hubs: dict[str, dict[int, int]] = {}
+    for i, node in enumerate(nodes):
+        for key in node.keys if node.label is not None else ():
+            hubs.setdefault(key, {}).setdefault(node.label, i)
     last: dict[str, int] = {}
     skip = []
     for i, node in enumerate(nodes):
         for key in node.keys:
+            if node.label is None and key in hubs:
+                skip += [(min(i, j), max(i, j)) for j in hubs[key].values()]
+                continue
             if key in last:
                 skip.append((last[key], i))
             last[key] = i
@@ -209,7 +220,8 @@ def marginals(
         table = np.concatenate([table, table.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
         messages = np.zeros((len(source), local.shape[1]))
-        for _ in range(ROUNDS):
+        for turn in count():
+            step = 0.5 ** (1 + turn // ROUNDS)  # ends in any case
             sums = local.copy()
             np.add.at(sums, target, messages)
             cavity = sums[source] - messages[back]
@@ -218,9 +230,12 @@ def marginals(
             new = peak[:, 0] + np.log(np.exp(scores - peak).sum(1))
             new -= new.max(1, keepdims=True)
             moved = np.abs(new - messages).max()
-            messages = 0.5 * messages + 0.5 * new if moved > CONVERGED else new
             if moved <= CONVERGED:
+                messages = new
+                break
+            if step * moved <= CONVERGED**2:
                 break
+            messages = (1 - step) * messages + step * new
         beliefs = local.copy()
         np.add.at(beliefs, target, messages)
     p = np.exp(beliefs - beliefs.max(1, keepdims=True))
@@ -235,13 +250,20 @@ def added_spans(
     if all(n.label is not None for n in nodes):
         return []
     local = np.stack([potentials.local.get(n.feature, potentials.other) for n in nodes])
-    for i, node in enumerate(nodes):
-        if node.label is not None:
-            local[i] = -50.0
-            local[i, node.label] = 0.0
+    # A shape says half as much as one similar base span, at most. The rest is
+    # more than the two neighbours in the text can say.
+    local = np.maximum(local, local.max(1, keepdims=True) - potentials.skip.max() / 2)
     chain, skip = _links(nodes)
-    links = [(i, j, potentials.chain) for i, j in chain]
-    links += [(i, j, potentials.skip) for i, j in skip]
+    links = []
+    for pairs, table in ((chain, potentials.chain), (skip, potentials.skip)):
+        for i, j in pairs:
+            # Base spans are observed: what they say is fixed, and they hear nothing.
+            if nodes[i].label is not None:
+                local[j] += table[nodes[i].label]
+            elif nodes[j].label is not None:
+                local[i] += table[:, nodes[j].label]
+            else:
+                links.append((i, j, table))
     best = marginals(local, links).argmax(1)
     return [
         (int(k), n.start, n.end)
@@ -318,7 +340,7 @@ def _skip(pairs: np.ndarray) -> np.ndarray:
     which is what the field is to mend; so only agreement counts.
     """
     agreeing = pairs.trace() - pairs[OTHER, OTHER]
-    return np.eye(len(pairs)) * min(8.0, 3.0 + math.log1p(agreeing))
+    return np.eye(len(pairs)) * min(8.0, 5.0 + math.log1p(agreeing))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from llm_data import documents, texts
 
 from crawlindex.llm import pii
@@ -87,6 +88,34 @@ def test_marginals_of_a_tree_are_exact():
     assert np.allclose(pii.marginals(local, links), want / want.sum(1, keepdims=True), atol=1e-3)
 
 
+@pytest.mark.parametrize("odds", [10, 60, 210, 100_000])
+@pytest.mark.parametrize("repeats", [2, 5, 100])
+@pytest.mark.parametrize("first", [True, False])
+def test_all_repeats_of_a_base_span_are_found(repeats, odds, first):
+    known, bare = "+1 (743) 555-3824", "743 555 3824"
+    calls = [*[bare] * repeats, known]
+    text = "; ".join(["no. 9807915762804491", *(reversed(calls) if first else calls), "no. 55512349"])
+    shape = np.log(np.array([1.0, 1.0, 1.0, 1.0, odds]) / (4 + odds))
+    for skip in (pii._skip(np.zeros((5, 5))), pii._skip(np.eye(5) * 1e4)):
+        for chain in (np.zeros((5, 5)), np.full((5, 5), -0.5) + np.eye(5)):
+            found = pii.added_spans(text, pii.base_spans(text), pii.Potentials({}, shape, chain, skip))
+            assert sorted(found) == [(3, m.start(), m.end()) for m in re.finditer(f"(?<!\\S){bare}", text)]
+
+
+def test_repeats_of_a_base_span_with_fitted_potentials(spark):
+    text = "; ".join(["+1 (743) 555-3824", *["743 555 3824"] * 100])
+    other = [(700 + i, f"part 743 {i:03} 3824, part 743 {i:03} 3825", None) for i in range(300)]
+    got = {r.doc_id: r for r in pii.personal_data(documents(spark, [(1, text, None), *other])).collect()}
+    assert got[1].n_added == 100
+    assert all(got[i].n_added == 0 for i, _, _ in other)
+
+
+def test_links_of_many_repeats_are_few():
+    text = " ; ".join(["+1 (743) 555-3824", "743 555 3824", "1 743 555 3824"] * 200)
+    chain, skip = pii._links(pii.nodes_of(text, pii.base_spans(text)))
+    assert len(chain) == 599 and len(skip) <= 4 * 600
+
+
 def test_redaction(spark):
     docs = documents(spark, rows())
     clean = pii.without_personal_data(docs)
