@@ -71,12 +71,14 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in _RAW}
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Weights where no page is labelled, and how far labelled pages may move them.
-# What boilerplate elements hold is left out anyway, so it hardly parts a region.
+# What boilerplate elements hold is left out anyway, so it hardly parts a region,
+# and within the article not at all.
 _PRIORS = {
     "word": 1.0,
     "link word": -0.5,
     "outside word": -1.0,
     "skipped word": -0.05,
+    "skipped inner word": 0.0,
     "skipped tag": 0.0,
 }
 _TAG_PRIOR = -0.15
@@ -195,14 +197,14 @@ def scan(page: str) -> Iterator[tuple[str, object, int]]:
 
 
 def tokens_of(page: str) -> tuple[list[tuple[str, object, int]], int]:
-    """The tokens, words outside the article told apart, and the element that
-    marks the article: the level of the innermost with words, 0 for none."""
+    """The tokens, words outside the article and skipped words inside it told
+    apart, and the element that marks the article: the level of the innermost
+    with words, 0 for none."""
     tokens = list(scan(page))
     level = max((i for f, v, i in tokens if f == "word" and not v.isspace()), default=0)
     if level:
-        tokens = [
-            ("outside word" if f == "word" and i < level else f, v, i) for f, v, i in tokens
-        ]
+        inner, outer = {"skipped word": "skipped inner word"}, {"word": "outside word"}
+        tokens = [((inner if i >= level else outer).get(f, f), v, i) for f, v, i in tokens]
     return tokens, level
 
 
@@ -235,7 +237,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
             parts = []
         elif value is False:
             parts.append(" ")
-        elif isinstance(value, str) and feature != "skipped word":
+        elif isinstance(value, str) and not feature.startswith("skipped"):
             parts.append(value)
     blocks.append("".join(parts))
     blocks = (" ".join(block.split()) for block in blocks)

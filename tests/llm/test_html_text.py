@@ -48,6 +48,22 @@ def test_messy_page(spark, fitted):
     assert html_text.main_text(MESSY, weights) == MESSY_TEXT
 
 
+@pytest.mark.parametrize("mark", ["article", "main"])
+@pytest.mark.parametrize("weight", [1.0, 0.5])
+def test_long_blocks_inside_the_article_part_nothing(mark, weight):
+    def words(n, name):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    title, body, last = words(8, "title"), words(300, "body"), words(50, "last")
+    aside, comments = words(300, "aside"), words(2_000, "comment")
+    text = page(
+        f"<nav>{words(300, 'nav')}</nav><{mark}><h1>{title}</h1><aside>{aside}</aside><p>{body}</p>"
+        f"<div class=comments><p>{comments}</p></div><p>{last}</p></{mark}>"
+        f"<div class=related>{words(300, 'related')}</div><p>{words(5, 'outside')}</p>"
+    )
+    assert html_text.main_text(text, {"word": weight}) == f"{title}\n{body}\n{last}"
+
+
 def test_broken_markup_does_not_hang_or_crash():
     for text in ("<", "<p", "<!--", "<script>x", "</p></p>", "<a<b>c", "&#xD800; &bogus; &#0;", "<p a='x", "<" * 20_000, "<p " * 20_000, "<!--" * 20_000, "<![CDATA[x", "<p>\0</p>", "<x y=\"" * 5_000):
         html_text.main_text(text, {})
