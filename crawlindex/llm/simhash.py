@@ -277,6 +277,22 @@ def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
     )
 
 
+def _groups_of(marked: DataFrame, order: Column) -> DataFrame:
+    """(fp, component_id) of the fingerprints of `marked`: the smallest `order`
+    of the rows reachable over links of at most two differing bits."""
+    first = stored(
+        marked.groupBy("fp").agg(F.min(order).alias("first")),
+        new_folder(marked.sparkSession, "simhash"),
+    )
+    linked = components(fingerprint_links(first))
+    linked = linked.withColumnRenamed("node", "fp").join(first, "fp")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
+    linked = linked.join(smallest, "root").select("fp", "smallest")
+    return first.join(linked, "fp", "left").select(
+        "fp", F.coalesce("smallest", "first").alias("component_id")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of `docs`.
 
@@ -290,26 +306,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     marked = stored(
         docs.select("doc_id", simhash("text").alias("fp")), new_folder(spark, "simhash")
     )
-    first = stored(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("first")), new_folder(spark, "simhash")
-    )
-    linked = components(fingerprint_links(first))
-    linked = linked.withColumnRenamed("node", "fp").join(first, "fp")
-    smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
-    linked = linked.join(smallest, "root").select("fp", "smallest")
-    group = first.join(linked, "fp", "left").select(
-        "fp", F.coalesce("smallest", "first").alias("component_id")
-    )
+    group = _groups_of(marked, F.col("doc_id"))
     return marked.join(group, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Just one row of each group of near-duplicates, whatever its doc_id: that
+    with the smallest doc_id, nulls last, then the smallest digest of the text.
+    Which of rows equal in both stays is open."""
+    spark = docs.sparkSession
+    ship(spark)
+    rows = stored(
+        docs.select(
+            F.struct("*").alias("doc"),
+            simhash("text").alias("fp"),
+            F.struct(
+                F.col("doc_id").isNull().alias("no_id"),
+                "doc_id",
+                F.sha2("text", 256).alias("digest"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias("place"),
+        ),
+        new_folder(spark, "simhash"),
+    )
+    groups = _groups_of(rows.select("fp", "place"), F.col("place"))
+    kept = groups.select(F.col("component_id.row").alias("row")).distinct()
+    # The row numbers are those stored, so no row is met twice.
+    return rows.withColumn("row", F.col("place.row")).join(kept, "row", "left_semi").select("doc.*")
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest
-    doc_id, once even if its row is repeated. Groups without any doc_id go."""
-    groups = stored(near_duplicates(docs), new_folder(docs.sparkSession, "simhash"))
-    ids = groups.where("doc_id = component_id").groupBy("doc_id").count()
-    kept = docs.join(ids.where("count = 1"), "doc_id", "left_semi")
-    again = docs.join(ids.where("count > 1"), "doc_id", "left_semi")
-    return kept.unionByName(again.dropDuplicates(["doc_id"]))
+    doc_id, once even if its row is repeated. Groups without any doc_id go;
+    `one_of_each` keeps one of them too."""
+    return one_of_each(docs).where(F.col("doc_id").isNotNull())

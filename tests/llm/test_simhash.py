@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 import xxhash
-from llm_data import documents, texts
+from llm_data import documents, prose, texts
 
+import corpus_pipeline
 from crawlindex.llm import simhash
 from crawlindex.llm.components import components
 
@@ -110,6 +111,27 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == want
 
 
+def test_one_row_of_each_group_whatever_its_id(spark):
+    """Null ids, ids that unrelated texts share, repeated rows."""
+    one, two, three = (prose(i, 80) for i in (21, 22, 23))
+    rows = [(i, t, "en") for i, t, _ in texts()]
+    rows += [(None, prose(30 + i, 80), "en") for i in range(5)]  # no id in their groups
+    rows += [(None, prose(30, 80), "en"), (None, one, "en"), (None, None, "en")]
+    rows += [(50, one, "en"), (50, two, "en"), (50, two, "en")]  # unrelated namesakes
+    rows += [(60, three, "en"), (61, one, "en"), (61, prose(24, 80), "en"), (61, prose(24, 80), "en")]
+    rows += [(49, two, "en"), (70, prose(25, 80), "en"), (70, prose(25, 80), "en")]
+    prints = [brute_fingerprint(t) for _, t, _ in rows]
+    roots = brute_components(prints)
+    want = {}
+    for (i, t, _), p in zip(rows, prints, strict=True):
+        place = (i is None, i or 0)
+        want[roots[p]] = min(place, want.get(roots[p], place))
+    kept = corpus_pipeline.near_dedup(spark, documents(spark, rows), "")
+    assert kept.columns == documents(spark, rows).columns
+    got = [(roots[brute_fingerprint(r.text)], (r.doc_id is None, r.doc_id or 0)) for r in kept.collect()]
+    assert sorted(got) == sorted(want.items())
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5)]
     links = spark.createDataFrame(chain, "src long, dst long")
