@@ -16,6 +16,7 @@ import base64
 import hashlib
 import io
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -42,7 +43,8 @@ from ..storage import new_folder
 from .shipping import ship
 
 SHARE_BYTES = 64 << 20  # of a file that one reading task gets
-MANIFEST = "manifest.json"
+MANIFEST = "manifest.json"  # of the first write; later ones have names of their own
+_MANIFESTS = re.compile(r"manifest(-[0-9a-f]{32})?\.json")
 READ_BYTES = 4096  # inflated at a time while a head is looked for
 BUFFER_BYTES = 1 << 20
 ROWS = 256  # in a batch handed to Spark
@@ -184,6 +186,25 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     return block
 
 
+def _manifests(store: fs.FileSystem, folder: str) -> list[str]:
+    """One of each write into the folder."""
+    found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    return sorted(f.path for f in found if _MANIFESTS.fullmatch(f.base_name))
+
+
+def _listed(store: fs.FileSystem, manifests: list[str]) -> list[tuple[str, list[int | None]]]:
+    listed = []
+    for path in manifests:
+        with store.open_input_stream(path) as file:
+            listed += json.loads(file.read())
+    return listed
+
+
+def _archives(store: fs.FileSystem, folder: str) -> list[str]:
+    found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True, recursive=True))
+    return sorted(f.path for f in found if f.path.endswith(".warc.gz"))
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self._path = options["path"]
@@ -205,18 +226,13 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         store, folder = _open(self._path)
-        manifest = store.get_file_info(f"{folder}/{MANIFEST}")
-        if manifest.type == fs.FileType.File:
-            with store.open_input_stream(manifest.path) as file:
-                listed = json.loads(file.read())
+        if manifests := _manifests(store, folder):
             return [
                 _Share(f"{folder}/{name}", a, b)
-                for name, places in listed
+                for name, places in _listed(store, manifests)
                 for a, b in zip(places[:-1], places[1:], strict=True)
             ]
-        found = store.get_file_info(fs.FileSelector(folder, recursive=True))
-        names = sorted(f.path for f in found if f.path.endswith(".warc.gz"))
-        return [_Share(name, 0, None) for name in names]
+        return [_Share(name, 0, None) for name in _archives(store, folder)]
 
     def read(self, partition: _Share | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an archive without files
@@ -260,8 +276,12 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], overwrite: bool = False):
         self._path = options["path"]
+        self._overwrite = overwrite
+        # What has no manifest yet is listed in the first one, or is lost to it.
+        store, folder = _open(self._path)
+        self._before = [] if _manifests(store, folder) else _archives(store, folder)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         store, folder = _open(self._path)
@@ -282,8 +302,19 @@ class _Writer(DataSourceArrowWriter):
         listed = [(m.name, m.places) for m in messages if m and len(m.places) > 1]
         store, folder = _open(self._path)
         store.create_dir(folder, recursive=True)
-        with store.open_output_stream(f"{folder}/{MANIFEST}") as file:
+        old = _manifests(store, folder)
+        gone = [f"{folder}/{name}" for name, _ in _listed(store, old)] if self._overwrite else []
+        if self._overwrite:
+            gone += self._before
+        else:
+            listed += [(path.removeprefix(f"{folder}/"), [0, None]) for path in self._before]
+        first = self._overwrite or not old
+        name = MANIFEST if first else f"manifest-{uuid.uuid4().hex}.json"
+        with store.open_output_stream(f"{folder}/{name}") as file:
             file.write(json.dumps(listed).encode())
+        if self._overwrite:
+            for path in [*(m for m in old if m != f"{folder}/{MANIFEST}"), *gone]:
+                store.delete_file(path)
 
     def abort(self, messages: list[_Written | None]) -> None:
         store, folder = _open(self._path)
@@ -315,7 +346,7 @@ class WarcDataSource(DataSource):
         return _Reader(self.options)
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options)
+        return _Writer(self.options, overwrite)
 
 
 # --- pages -----------------------------------------------------------------------
@@ -346,7 +377,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Write one record per row of `pages` into the folder `path`."""
+    """Write one record per row of `pages` into the folder `path`, besides what it
+    holds. Write to one folder in turn, not at the same time."""
     spark = pages.sparkSession
     ship(spark)
     spark.dataSource.register(WarcDataSource)

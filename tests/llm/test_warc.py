@@ -66,6 +66,32 @@ def test_archives_of_others_are_read_too(spark):
     assert all(r.payload == b"block" * 2000 for r in found)
 
 
+def test_writes_to_one_folder_add_up(spark):
+    """Also to archives without a manifest; an overwriting one starts anew."""
+    import pathlib
+
+    def uris():
+        return sorted(r.target_uri for r in warc.read_warc(spark, path).collect())
+
+    path = new_folder(spark, "twice").removeprefix("file:")
+    pathlib.Path(path).mkdir(parents=True)
+    record = warc.record_bytes({"WARC-Type": "response", "WARC-Target-URI": "other"}, b"block")
+    pathlib.Path(path, "a.warc.gz").write_bytes(gzip.compress(record))
+    want = ["other"]
+    for turn in range(3):
+        pages = spark.createDataFrame([(i, f"u{turn}-{i}", "x", *EXTRA) for i in range(5)], PAGES)
+        warc.write_pages(pages, path)
+        want += [f"u{turn}-{i}" for i in range(5)]
+        assert uris() == want
+    warc.read_warc(spark, path).where("target_uri = 'u1-0'").write.format("warc").mode("overwrite").save(path + "2")
+    warc.read_warc(spark, path + "2").unionByName(warc.read_warc(spark, path)).where(
+        "target_uri = 'other'"
+    ).write.format("warc").mode("overwrite").save(path + "2")
+    path += "2"
+    full = [p for p in pathlib.Path(path).glob("*.warc.gz") if p.stat().st_size]
+    assert uris() == ["other"] and len(full) == 1  # tasks without rows leave empty ones
+
+
 def test_filters_reach_the_reader():
     from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
