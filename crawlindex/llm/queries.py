@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, inner_product, language, licenses, packing, pii, quality, simhash, warc
+from . import (
+    bpe,
+    conversations,
+    decontamination,
+    html_text,
+    inner_product,
+    language,
+    licenses,
+    merkle,
+    packing,
+    pii,
+    quality,
+    simhash,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +70,20 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark, sf_dir):
+    return decontamination.digest(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repairs(_table(spark, sf_dir, "conversations"), defects=True)
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.verified(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -69,6 +97,9 @@ QUERIES = {
         op8_html_extraction,
         op9_warc,
         op10_simhash_near_dedup,
+        op11_decontamination,
+        op12_conversation_repair,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {}
