@@ -39,19 +39,16 @@ _LOWEST = -(1 << 40)  # class of queries that no bucket may be left out for
 
 
 def integer_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v, norm): components floor(scale * x). Rows with a null id, a
-    null vector, or null or non-finite components are left out. Of rows with
-    equal ids that with the smallest vector stays."""
+    """(row, vec_id, v, norm): components floor(scale * x). Rows with a null id,
+    a null vector, or null or non-finite components are left out. `row` numbers
+    the rows, which may share ids; store the result, so that it stays."""
     x = F.col("embedding").cast("array<double>")
     bad = F.exists(
         x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(math.inf))
     )
     v = F.transform(x, lambda e: F.floor(e * scale).cast("long"))
-    one = (
-        table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
-        .select("vec_id", v.alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
+    one = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(
+        F.monotonically_increasing_id().alias("row"), "vec_id", v.alias("v")
     )
     square = F.aggregate("v", F.lit(0.0), lambda acc, e: acc + e.cast("double") * e)
     return one.withColumn("norm", F.sqrt(square))
@@ -79,20 +76,20 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def _bounder(seeds: np.ndarray, ids: np.ndarray, k: int):
+def _bounder(seeds: np.ndarray, seed_rows: np.ndarray, k: int):
     """Lower bound on each query's k-th score: its k-th among the seeds."""
 
     def bound(batches):
         for batch in batches:
             table = pa.table(batch) if not isinstance(batch, pa.Table) else batch
-            query_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+            query_rows = batch.column("row").to_numpy(zero_copy_only=False)
             queries = _matrix(batch.column("v"), seeds.shape[1])
             theta = np.full(len(queries), -math.inf)
             step = max(1, CHUNK // max(1, len(seeds)))
             for at in range(0, len(queries), step):
                 rows = slice(at, at + step)
                 score = products(queries[rows], seeds).astype(np.float64)
-                score[query_ids[rows][:, None] == ids[None, :]] = -math.inf
+                score[query_rows[rows][:, None] == seed_rows[None, :]] = -math.inf
                 if score.shape[1] >= k:
                     theta[rows] = np.partition(score, -k, axis=1)[:, -k]
             yield pa.record_batch(
@@ -123,36 +120,39 @@ def _candidates_by_range(
 
 
 def search_block(
+    query_rows: np.ndarray,
     query_ids: np.ndarray,
     queries: np.ndarray,
     query_norms: np.ndarray,
     theta: np.ndarray,
+    vector_rows: np.ndarray,
     ids: np.ndarray,
     vectors: np.ndarray,
     norms: np.ndarray,
     k: int,
-) -> list[tuple[int, int, int]]:
-    """(query, vector, score) of each query's best k in the block, of those that
-    reach theta; ties to smaller ids."""
+) -> list[tuple[int, int, int, int]]:
+    """(query's row, its id, vector's id, score) of each query's best k in the
+    block, of those that reach theta; ties to smaller ids."""
     order = np.lexsort((ids, -norms))
-    ids, vectors, norms = ids[order], vectors[order], norms[order]
+    vector_rows, ids = vector_rows[order], ids[order]
+    vectors, norms = vectors[order], norms[order]
     longest = norms[0] if len(norms) else 0.0
     with np.errstate(divide="ignore", invalid="ignore"):
         needed = np.where(query_norms > 0, theta / query_norms * (1 - _SLACK), -math.inf)
         needed = np.where(np.isnan(needed), -math.inf, needed)
         cosine = needed / longest if longest > 0 else np.where(needed > 0, math.inf, -math.inf)
-    found: list[tuple[int, int, int]] = []
+    found: list[tuple[int, int, int, int]] = []
 
     def keep(rows: np.ndarray, picked: np.ndarray, score: np.ndarray) -> None:
         for i, row in enumerate(rows):
             hits = np.flatnonzero(
-                (score[i] >= theta[row]) & (ids[picked] != query_ids[row])
+                (score[i] >= theta[row]) & (vector_rows[picked] != query_rows[row])
             )
             if len(hits) > k:
                 best = np.lexsort((ids[picked[hits]], -score[i][hits]))[:k]
                 hits = hits[best]
             found.extend(
-                (int(query_ids[row]), int(v), int(s))
+                (int(query_rows[row]), int(query_ids[row]), int(v), int(s))
                 for v, s in zip(ids[picked[hits]], score[i][hits], strict=True)
             )
 
@@ -178,7 +178,7 @@ def search_block(
 
 
 _PAIR = ["bucket", "block", "bound", "part"]
-_SCORES = "query_id long, vec_id long, score long"
+_SCORES = "query_row long, query_id long, vec_id long, score long"
 
 
 def _searcher(size: int, k: int):
@@ -189,17 +189,19 @@ def _searcher(size: int, k: int):
         rows = []
         if queries.num_rows and candidates.num_rows:
             rows = search_block(
+                number(queries, "row"),
                 number(queries, "vec_id"),
                 _matrix(queries["v"], size),
                 number(queries, "norm"),
                 number(queries, "theta"),
+                number(candidates, "row"),
                 number(candidates, "vec_id"),
                 _matrix(candidates["v"], size),
                 number(candidates, "norm"),
                 k,
             )
-        columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        names = ["query_id", "vec_id", "score"]
+        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        names = ["query_row", "query_id", "vec_id", "score"]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})
 
     return search
@@ -215,24 +217,22 @@ def top_products(
     table: DataFrame, is_query: Column, k: int = K, scale: int = SCALE
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer products
-    with the other vectors; all, if there are fewer. Ties go to the smaller
-    vec_id. Vectors of unequal sizes count as padded with zeros. No queries, no
-    rows. Scores have to fit 64 bits.
+    with the vectors of all other rows; all, if there are fewer. Ties go to the
+    smaller vec_id. Rows that share an id are queries and candidates of their
+    own, also where their vectors are equal. Vectors of unequal sizes count as
+    padded with zeros. No queries, no rows. Scores have to fit 64 bits.
     """
     spark = table.sparkSession
     ship(spark)
     vectors = stored(integer_vectors(table, scale), new_folder(spark, "products"))
     size = vectors.agg(F.max(F.size("v"))).first()[0] or 0
     seed_rows = min(SEED_ROWS, SEED_NUMBERS // max(1, size)) + k + 1
-    seeds = (
-        vectors.orderBy(F.desc("norm"), "vec_id").limit(seed_rows).select("vec_id", "v").toArrow()
-    )
-    bound = _bounder(
-        _matrix(seeds["v"], size), np.asarray(seeds["vec_id"].to_numpy(), np.int64), k
-    )
+    longest = vectors.orderBy(F.desc("norm"), "vec_id").limit(seed_rows)
+    seeds = longest.select("row", "v").toArrow()
+    bound = _bounder(_matrix(seeds["v"], size), np.asarray(seeds["row"].to_numpy(), np.int64), k)
     queries = (
         vectors.where(is_query)
-        .mapInArrow(bound, "vec_id long, v array<long>, norm double, theta double")
+        .mapInArrow(bound, "row long, vec_id long, v array<long>, norm double, theta double")
         # A vector must be this long to reach theta.
         .withColumn("bound", _class(F.when(F.col("norm") > 0, F.col("theta") / F.col("norm"))))
     )
@@ -254,20 +254,20 @@ def top_products(
 
     left = (
         queries.join(F.broadcast(paired), "bound")
-        .withColumn("part", spread("vec_id", "parts"))
+        .withColumn("part", spread("row", "parts"))
         .withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .select(*_PAIR, "vec_id", "v", "norm", "theta")
+        .select(*_PAIR, "row", "vec_id", "v", "norm", "theta")
     )
     right = (
         candidates.join(F.broadcast(paired), "bucket")
-        .withColumn("block", spread("vec_id", "blocks"))
+        .withColumn("block", spread("row", "blocks"))
         .withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
-        .select(*_PAIR, "vec_id", "v", "norm")
+        .select(*_PAIR, "row", "vec_id", "v", "norm")
     )
     found = (
         left.groupBy(*_PAIR).cogroup(right.groupBy(*_PAIR)).applyInArrow(_searcher(size, k), _SCORES)
     )
-    rank = F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)")
+    rank = F.expr("row_number() OVER (PARTITION BY query_row, query_id ORDER BY score DESC, vec_id)")
     return found.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(
         F.col("rank") <= k
     )

@@ -20,6 +20,9 @@ from . import (
     simhash,
     warc,
 )
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,4 +105,3 @@ QUERIES = {
         op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {}

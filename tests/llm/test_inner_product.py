@@ -10,18 +10,19 @@ SCHEMA = "vec_id long, embedding array<float>, label int, norm double, theta dou
 
 
 def brute(rows, k=10):
-    usable = {}
+    usable = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        ints = [math.floor(1024 * float(np.float32(x))) for x in v]
-        usable[i] = min(usable.get(i, ints), ints)
+        usable.append((i, [math.floor(1024 * float(np.float32(x))) for x in v]))
     out = []
-    for q, a in usable.items():
+    for own, (q, a) in enumerate(usable):
         if q % 100:
             continue
         scores = sorted(
-            (-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in usable.items() if i != q
+            (-sum(x * y for x, y in zip(a, b, strict=False)), i)
+            for row, (i, b) in enumerate(usable)
+            if row != own
         )
         out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
@@ -70,12 +71,22 @@ def test_block_by_coordinates_and_by_lengths(peaked):
     scores = queries @ vectors_.T
     theta = np.sort(scores, axis=1)[:, -3].astype(float)
     found = inner_product.search_block(
-        np.full(20, -1), queries, np.linalg.norm(queries, axis=1), theta, ids, vectors_, norms, 10
-    )
+        np.full(20, -1), np.full(20, -1), queries, np.linalg.norm(queries, axis=1), theta,
+        ids, ids, vectors_, norms, 10,
+    )
     want = sorted(int(s) for row, t in zip(scores, theta, strict=True) for s in row[row >= t])
-    assert sorted(s for _, _, s in found) == want
+    assert sorted(s for *_, s in found) == want
 
 
 def test_products_beyond_doubles_are_exact():
     a = np.array([[2**30 + 1, 3]]), np.array([[2**31 + 1, 5]])
     assert inner_product.products(*a)[0, 0] == (2**30 + 1) * (2**31 + 1) + 15
+
+
+def test_two_vectors_on_one_id(spark):
+    """Both are queries and candidates, and so are equal ones."""
+    rows = vectors(0.3, 60)
+    rows += [(100, [5.0] * 12), (100, [-5.0] * 12), (7, [9.0] * 12), (7, [9.0] * 12), (100, [5.0] * 12)]
+    found = run(spark, rows)
+    assert found == brute(rows)
+    assert sum(r[0] == 100 for r in found) == 30
