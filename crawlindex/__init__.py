@@ -8,6 +8,7 @@ from .functions.urls import (
     unify_scheme,
     url_host,
 )
+from .operators.impact import search_impact
 from .operators.keywords import page_keywords, term_counts, tokens
 from .operators.links import (
     absolute_links,
@@ -47,6 +48,7 @@ from .plans.jobs import (
     ranked_postings,
     unranked_postings,
 )
+from .sources.impact_store import read_impact_index, write_impact_index
 from .sources.index_store import create_index_table, read_index, write_index
 from .sources.warc import (
     header_field,

@@ -19,6 +19,12 @@ def bucket_of(keyword: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(keyword), F.lit(buckets)).cast("int")
 
 
+def marked(keyword: str, buckets: int, block_rows: int | None = None) -> Column:
+    """The keyword column with what look-ups need to know in its metadata."""
+    known = {_BUCKETS: buckets} | ({"block_rows": block_rows} if block_rows else {})
+    return F.col(keyword).alias(keyword, metadata=known)
+
+
 def bucket_count(index: DataFrame) -> int | None:
     """Number of buckets of a stored index, None for any other table."""
     return index.schema["keyword"].metadata.get(_BUCKETS)
@@ -56,7 +62,7 @@ def write_index(
     rows = table.count()  # of file footers
     if buckets is None:
         buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
-    keyword = F.col("keyword").alias("keyword", metadata={_BUCKETS: buckets})
+    keyword = marked("keyword", buckets)
     others = [c for c in postings.columns if c != "keyword"]
     files = max(buckets, -(-rows // file_rows))
     (

@@ -1,0 +1,151 @@
+"""Impact-ordered index: same answers as the plain one, few rows read."""
+
+import random
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from crawlindex import read_impact_index, search, search_impact, search_with_totals, write_impact_index
+from crawlindex.operators.impact import _last_tier
+from crawlindex.sources.impact_store import tier_of
+
+SCHEMA = "keyword string, uri string, occurences int, page_rank double"
+HOT = 60_000
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def random_postings(seed, n=3000):
+    rng = random.Random(seed)
+    return [
+        (rng.choice(["hot"] * 5 + [f"w{i}" for i in range(30)]), f"u{rng.randrange(n)}",
+         rng.choice([1, 1, 1, 2, 5]), rng.choice([0.25, 0.5, 0.5, 3.0]))
+        for _ in range(n)
+    ]
+
+
+@pytest.fixture(scope="module")
+def segments(spark, tmp_path_factory):
+    """Three segments, the second with the best scores of some keywords."""
+    path = str(tmp_path_factory.mktemp("impact") / "index")
+    parts = [random_postings(1), [(k, f"v{u}", n, r * 2) for k, u, n, r in random_postings(2, 500)], random_postings(3, 40)]
+    for i, part in enumerate(parts):
+        frame = spark.createDataFrame(part, SCHEMA)
+        write_impact_index(frame, path, buckets=None if i else 3, mode="append", block_rows=64)
+    return read_impact_index(spark, path), spark.createDataFrame(sum(parts, []), SCHEMA)
+
+
+@pytest.mark.parametrize("k", [1, 65, 5000])
+def test_equals_the_plain_search(spark, segments, k):
+    impact, plain = segments
+    words = ["hot", "w3", "none", "W4.", "w5"]
+    for asked in (words, spark.createDataFrame([(w,) for w in words], "query string")):
+        for normalize in (False, True):
+            got = rows(search_impact(impact, asked, k, normalize))
+            assert got == rows(search_with_totals(plain, asked, k, normalize))
+    assert rows(search_impact(impact, "hot", k).drop("total")) == rows(search(plain, "hot", k))
+
+
+def scanned(frame, name):
+    """Rows that came out of the scans whose location names `name`."""
+    return sum(scan.metrics().apply("numOutputRows").value() for scan in scans(frame, name))
+
+
+def scans(frame, name):
+    frame.collect()
+    todo, found = [frame._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "FileSourceScanExec":
+            if name in node.relation().location().rootPaths().mkString(","):
+                found.append(node)
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_hot_keyword_is_read_in_part(spark, tmp_path):
+    """Of 60,000 hits a look-up reads some blocks, not all."""
+    hot = spark.range(HOT).selectExpr(
+        "'hot' AS keyword", "concat('u', id) AS uri", "int(id % 7 + 1) AS occurences",
+        "double(id * 7919 % 60013) AS page_rank",
+    )
+    cold = hot.limit(3000).withColumn("keyword", F.concat(F.lit("c"), "uri"))
+    path = str(tmp_path / "index")
+    postings = hot.unionByName(cold)
+    write_impact_index(postings, path, buckets=2, block_rows=256)
+    index = read_impact_index(spark, path)
+    found = search_impact(index, "hot")
+    assert rows(found.drop("total")) == rows(search(postings, "hot"))
+    assert {r.total for r in found.collect()} == {HOT}
+    # Tier 0 of one bucket: 256 rows of the hot keyword, others of cold ones.
+    assert 0 < scanned(found, "index/postings") <= 256 + 3000
+    asked = spark.createDataFrame([("hot",), ("cu1",)], "query string")
+    batch = search_impact(index, asked)
+    assert rows(batch) == rows(search_with_totals(postings, asked))
+    assert 0 < scanned(batch, "index/postings") <= 256 + 3000  # tier 0
+    tiers = {r.tier: r.n for r in index.postings.where("keyword = 'hot'").groupBy("tier").agg(F.count("*").alias("n")).collect()}
+    assert tiers[0] == 256 and tiers[1] == 7 * 256 and sum(tiers.values()) == HOT
+    (scan,) = scans(found, "index/postings")
+    pushed = scan.metadata().apply("PushedFilters")
+    for wanted in ("LessThan(place,20)", "EqualTo(keyword,hot)", "GreaterThanOrEqual(score,"):
+        assert wanted in pushed
+
+
+def test_thresholds_leave_out_worse_segments(spark, tmp_path):
+    """The best segment's blocks give a threshold that rules out the other."""
+    path = str(tmp_path / "index")
+    for factor in (1.0, 1000.0):
+        part = spark.range(2000).selectExpr(
+            "'hot' AS keyword", f"concat('u', id, '-{factor}') AS uri", "1 AS occurences",
+            f"double(id + 1) * {factor} AS page_rank",
+        )
+        write_impact_index(part, path, buckets=1, mode="append", block_rows=32)
+    index = read_impact_index(spark, path)
+    found = search_impact(index, "hot", k=32)
+    assert all(r.uri.endswith("-1000.0") for r in found.collect())
+    assert {r.total for r in found.collect()} == {4000}
+    assert scanned(found, "index/postings") <= 64
+
+
+def test_tiers(spark):
+    blocks = spark.range(0, 600)
+    got = {r.id: r.t for r in blocks.select("id", tier_of(F.col("id")).alias("t")).collect()}
+    assert got == {b: 0 if not b else 1 if b < 8 else 2 if b < 64 else 3 if b < 512 else 4 for b in range(600)}
+    for k in (1, 10, 11, 80, 81, 640, 641):
+        assert _last_tier(k, 10) == got[(k - 1) // 10]
+
+
+def test_writing(spark, tmp_path):
+    path = str(tmp_path / "index")
+    frame = spark.createDataFrame([("a", "u", 1, 1.0), (None, "u", 1, 1.0)], SCHEMA)
+    with pytest.raises(AnalysisException):
+        read_impact_index(spark, path)
+    write_impact_index(frame, path, buckets=2)
+    with pytest.raises(FileExistsError):
+        write_impact_index(frame, path)
+    with pytest.raises(ValueError, match="2 buckets"):
+        write_impact_index(frame, path, buckets=3, mode="append")
+    # What a write without its block table has left is neither read nor kept.
+    stray = frame.selectExpr("'a' AS keyword", "'stray' AS uri", "1 AS occurences", "9.0D AS page_rank",
+        "9.0D AS score", "0L AS place", "1 AS segment", "0 AS tier", "0 AS bucket")
+    stray.write.mode("append").partitionBy("segment", "tier", "bucket").parquet(f"{path}/postings")
+    assert [r.uri for r in search_impact(read_impact_index(spark, path), "a").collect()] == ["u"]
+    write_impact_index(frame, path, mode="append")
+    assert [r.uri for r in search_impact(read_impact_index(spark, path), "a").collect()] == ["u", "u"]
+    assert search_impact(read_impact_index(spark, path), "b").collect() == []
+
+
+def test_no_postings(spark, tmp_path):
+    write_impact_index(spark.createDataFrame([], SCHEMA), str(tmp_path / "index"), buckets=1)
+    write_impact_index(spark.createDataFrame([("a", "u", 1, 1.0)], SCHEMA), str(tmp_path / "index"), mode="append")
+    assert search_impact(read_impact_index(spark, str(tmp_path / "index")), "a").count() == 1
