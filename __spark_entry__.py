@@ -35,6 +35,7 @@ ROUNDS = 20  # of the ranks all queries but page_rank_tol use
 WORD = "en"
 BLOCK_ROWS = 400  # of the array forms, so that frequent keywords have several blocks
 LINK_BLOCK_ROWS = 50
+IMPACT_ROWS = 64  # of the impact-ordered index, so that results come from several blocks
 FIXED_POINT_ROUNDS = 200  # of the oracle; what is left then is below 1e-13
 EXACT = 1e-8  # tolerance close enough to the fixed point for six decimals
 WORDS = ["en", "tion", "nicht", "the", "En", "zzzz"]  # the last three miss
@@ -318,6 +319,30 @@ def search_totals(spark, sf_dir):
     return top.select("query", "uri", _rounded("score"), "total")
 
 
+def _impact_index(spark: SparkSession, sf_dir: str) -> ci.ImpactIndex:
+    """The postings by score, in two segments: of the URIs by their digest."""
+
+    def make() -> str:
+        path = new_folder(spark, "impact")
+        postings = _index(spark, sf_dir).drop("bucket")
+        second = F.md5("uri") >= "8"
+        for part in (~second, second):
+            ci.write_impact_index(postings.where(part), path, mode="append", block_rows=IMPACT_ROWS)
+        return path
+
+    return ci.read_impact_index(spark, _once(spark, sf_dir, "impact", make))
+
+
+def search_early_stop(spark, sf_dir):
+    top = ci.search_impact(_impact_index(spark, sf_dir), WORDS)
+    return top.select("query", "uri", _rounded("score"), "total")
+
+
+def search_early_stop_batch(spark, sf_dir):
+    top = ci.search_impact(_impact_index(spark, sf_dir), _batch(spark, sf_dir), normalize=True)
+    return top.select("query", "uri", _rounded("score"), "total")
+
+
 def search_multi_batch(spark, sf_dir):
     """The benchmark passages as queries of several words."""
     passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -346,6 +371,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             index_stats,
             keyword_lookup, search_scores, search_top20, search_formatted,
             search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
+            search_early_stop, search_early_stop_batch,
         )
     }
     if llm_queries is None:
@@ -492,6 +518,15 @@ SELECT query, uri, round(score, 6) AS score FROM placed WHERE place <= {k}"""
 _SCORED = "SELECT keyword AS query, uri, occurences * page_rank AS score FROM postings"
 
 
+def _totals(hits: str) -> str:
+    return _search(hits).replace("AS score FROM placed", "AS score, total FROM placed")
+
+
+_BATCH_HITS = f"""SELECT query, uri, occurences * page_rank AS score,
+    count(*) OVER (PARTITION BY query) AS total
+FROM batch JOIN postings ON keyword = {_keyword('query')}"""
+
+
 def oracle_sql() -> dict[str, str]:
     posting = "keyword, uri, occurences, round(page_rank, 6) AS page_rank"
     own = {
@@ -604,11 +639,12 @@ def oracle_sql() -> dict[str, str]:
         "search_hit_counts": f"""WITH RECURSIVE {_INDEX}
             SELECT query, count(uri) AS hits
             FROM batch LEFT JOIN postings ON keyword = query GROUP BY query""",
-        "search_totals": _search(
-            f"""SELECT query, uri, occurences * page_rank AS score,
-                count(*) OVER (PARTITION BY query) AS total
-            FROM batch JOIN postings ON keyword = {_keyword('query')}"""
-        ).replace("AS score FROM placed", "AS score, total FROM placed"),
+        "search_totals": _totals(_BATCH_HITS),
+        "search_early_stop": _totals(
+            f"""SELECT *, count(*) OVER (PARTITION BY query) AS total
+            FROM ({_SCORED}) WHERE query IN ({_WORD_LIST})"""
+        ),
+        "search_early_stop_batch": _totals(_BATCH_HITS),
         "search_multi_batch": f"""WITH RECURSIVE {_INDEX},
             asked AS (
                 SELECT DISTINCT query, {_keyword('word')} AS keyword FROM (

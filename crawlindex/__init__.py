@@ -48,7 +48,7 @@ from .plans.jobs import (
     ranked_postings,
     unranked_postings,
 )
-from .sources.impact_store import read_impact_index, write_impact_index
+from .sources.impact_store import ImpactIndex, read_impact_index, write_impact_index
 from .sources.index_store import create_index_table, read_index, write_index
 from .sources.warc import (
     header_field,

@@ -71,24 +71,19 @@ def search_with_totals(
     normalize: bool = False,
 ) -> DataFrame:
     """`query, uri, score, score_text, total`: as `search`, with the number of
-    all hits of the query in each row. The index is read once; a query without
-    hits has no row."""
-    hits = scores(index, queries, normalize).withColumn("_share", _share("uri"))
-    in_share = Window.partitionBy("query", "_share")
-    counted = hits.withColumn("_hits", F.count("*").over(in_share)).withColumn(
-        "_place", F.row_number().over(in_share.orderBy(*_best()))
-    )
-    # SHARES * k rows of a query at most are left for the second step.
-    few = counted.filter(F.col("_place") <= k)
-    query = Window.partitionBy("query")
-    total = F.sum(F.when(F.col("_place") == 1, F.col("_hits"))).over(query)
-    top = few.withColumn("total", total).withColumn(
-        "_place", F.row_number().over(query.orderBy(*_best()))
-    )
-    top = top.filter(F.col("_place") <= k)
-    return _with_text(top.select("query", "uri", "score", "total")).select(
-        "query", "uri", "score", "score_text", "total"
-    )
+    all hits of the query in each row; a query without hits has no row.
+
+    Both halves shrink before they move: results to k in each share of the
+    pages, totals to a count in each task. The second half reads keywords only.
+    """
+    asked = _asked(index, queries, normalize)
+    hits = _scores(index, asked).withColumn("_share", _share("uri"))
+    top = _best_of_shares(hits, k)
+    # Counted where they are read, one row a query and task moves; the columns
+    # needed for that are the keyword's alone.
+    totals = _matches(index, asked).groupBy("query").agg(F.count("*").alias("total"))
+    top = top.join(totals, "query").select("query", "uri", "score", "total")
+    return _with_text(top).select("query", "uri", "score", "score_text", "total")
 
 
 def hit_counts(index: DataFrame, queries: Queries, normalize: bool = False) -> DataFrame:

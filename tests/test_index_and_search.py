@@ -339,3 +339,13 @@ def test_skewed_domain_is_split_in_the_rank_join(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_totals_shrink_before_they_move(spark, index):
+    """Below the first exchanges stand the cut to k and partial counts."""
+    asked = spark.createDataFrame([("spark",), ("join",)], "query string")
+    found = search_with_totals(index, asked, k=1)
+    final = found._jdf.queryExecution().executedPlan().toString()
+    assert final.count("WindowGroupLimit") >= 2
+    assert "partial_count(1)" in final
+    assert "windowspecdefinition(query" in final and "count(1) windowspecdefinition" not in final
