@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import crawlindex as ci  # noqa: E402
 from crawlindex.functions.fixed_values import STOP_WORDS  # noqa: E402
 from crawlindex.storage import new_folder, stored  # noqa: E402
-from crawlindex.testing import ODD_EACH, ODD_TEXT, crawl  # noqa: E402
+from crawlindex.testing import ODD_EACH, ODD_TEXT, crawl, gzip_crawl  # noqa: E402
 
 try:  # the training-data operators may be absent as a whole
     import corpus_pipeline
@@ -35,6 +35,7 @@ ROUNDS = 20  # of the ranks all queries but page_rank_tol use
 WORD = "en"
 BLOCK_ROWS = 400  # of the array forms, so that frequent keywords have several blocks
 LINK_BLOCK_ROWS = 50
+GZIP_BYTES = 20_000  # a task, so that the small files have many ranges
 IMPACT_ROWS = 64  # of the impact-ordered index, so that results come from several blocks
 FIXED_POINT_ROUNDS = 200  # of the oracle; what is left then is below 1e-13
 EXACT = 1e-8  # tolerance close enough to the fixed point for six decimals
@@ -104,6 +105,19 @@ def scan_wat(spark, sf_dir):
     return _wat(spark, sf_dir)
 
 
+def _gzip_crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return _once(spark, sf_dir, "gzip_crawl", lambda: gzip_crawl(spark, sf_dir))
+
+
+def scan_gzip_wet(spark, sf_dir):
+    """Two .gz files, each read by many tasks."""
+    return ci.read_records(spark, _gzip_crawl(spark, sf_dir)[0], split_bytes=GZIP_BYTES)
+
+
+def scan_gzip_wat(spark, sf_dir):
+    return ci.read_records(spark, _gzip_crawl(spark, sf_dir)[1], split_bytes=GZIP_BYTES)
+
+
 def warc_headers(spark, sf_dir):
     def fields(records, kind):
         header = ci.split_record(records)
@@ -361,7 +375,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {
         query.__name__: query
         for query in (
-            scan_wet, scan_wat, warc_headers, wet_pages, wat_pages,
+            scan_wet, scan_wat, scan_gzip_wet, scan_gzip_wat, warc_headers, wet_pages, wat_pages,
             url_host, domain_pattern, top_level_domain, absolute_links,
             page_links, link_hosts, domain_link_lists, domain_index,
             link_edges, link_vertices, edge_multiplicity, out_degree,
@@ -536,6 +550,12 @@ def oracle_sql() -> dict[str, str]:
         "scan_wat": f"""WITH {_METADATA}
             SELECT {_record('metadata', 'application/json', 'metadata', 'url')} AS value
             FROM metadata JOIN pages USING (page_id) UNION ALL {_WARCINFO}""",
+        "scan_gzip_wet": f"""WITH {_CAPTURES}
+            SELECT {_record('conversion', 'text/plain', 'text', 'uri')} AS value
+            FROM captures UNION ALL {_WARCINFO}""",
+        "scan_gzip_wat": f"""WITH {_METADATA}
+            SELECT {_record('metadata', 'application/json', 'metadata', 'url')} AS value
+            FROM metadata JOIN pages USING (page_id) UNION ALL {_WARCINFO}""",
         "warc_headers": f"""WITH {_CAPTURES},
             records AS (
                 SELECT 'wet' AS kind, 'conversion' AS type, uri, 'text/plain' AS content

@@ -1,6 +1,7 @@
 """spark-submit entry: build an index from a crawl, or look words up in one.
 
     python -m crawlindex index WET WAT INDEX [--buckets N] [--partitions N]
+        [--split-bytes N]
         [--stop-words FILE] [--tolerance X] [--overwrite]
     python -m crawlindex search INDEX WORD [WORD ...] [--normalize]
 
@@ -34,6 +35,7 @@ def main() -> None:
     index.add_argument("index")
     index.add_argument("--buckets", type=int)
     index.add_argument("--partitions", type=int)
+    index.add_argument("--split-bytes", type=int)
     index.add_argument("--stop-words", help="text file, a word a line")
     index.add_argument("--tolerance", type=float, default=RANK_TOLERANCE)
     index.add_argument("--overwrite", action="store_true")
@@ -51,7 +53,7 @@ def main() -> None:
             words = [row.value for row in spark.read.text(args.stop_words).collect()]
         build_index(
             spark, args.wet, args.wat, args.index, args.buckets, mode,
-            partitions=args.partitions, stop_words=words, tol=args.tolerance,
+            partitions=args.partitions, split_bytes=args.split_bytes, stop_words=words, tol=args.tolerance,
         )
     else:
         stored = read_index(spark, args.index)

@@ -61,16 +61,18 @@ def build_index(
     domain: Callable[[Column], Column] = url_host,
     partitions: int | None = None,
     stop_words: Sequence[str] = STOP_WORDS,
+    split_bytes: int | None = None,
     **rank_options,
 ) -> DataFrame:
     """Rank the domains of a crawl, index its pages, store and open the index.
 
-    `partitions` spreads the records of a few large .gz files, which would
-    else be parsed and counted in one task each. Options are those of
-    `page_rank`.
+    A few large .gz files would be parsed and counted in one task each:
+    `split_bytes` reads them in ranges, `partitions` shuffles their records.
+    Options are those of `page_rank`.
     """
-    ranks = domain_ranks(read_records(spark, wat_path, partitions), **rank_options)
-    records = read_records(spark, wet_path, partitions)
+    wat_records = read_records(spark, wat_path, partitions, split_bytes)
+    ranks = domain_ranks(wat_records, **rank_options)
+    records = read_records(spark, wet_path, partitions, split_bytes)
     index = ranked_postings(records, ranks, domain, stop_words)
     write_index(index, index_path, buckets, mode)
     return read_index(spark, index_path)

@@ -1,0 +1,29 @@
+"""Makes this library known to the Python workers of a session."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+_PACKAGE = Path(__file__).resolve().parent
+_shipped: set[str] = set()  # applications
+
+
+def ship(spark: SparkSession) -> None:
+    """Add the package to the session as a Python file, once an application.
+
+    Workers import what a function refers to. Where the driver merely put a
+    folder on its own path, they would not find it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="crawlindex-")) / f"{_PACKAGE.name}.zip"
+    with zipfile.ZipFile(archive, "w") as files:
+        for source in sorted(_PACKAGE.rglob("*.py")):
+            files.write(source, source.relative_to(_PACKAGE.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

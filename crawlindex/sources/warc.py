@@ -15,6 +15,7 @@ from ..functions.fixed_values import (
     RECORD_SEPARATOR,
 )
 from ..functions.urls import is_http, top_level_domain, url_host
+from .gzip_records import gzip_pieces
 
 # Only the link targets are in the schema, so the JSON reader skips the rest.
 _LINKS_SCHEMA = T.StructType().add(
@@ -35,7 +36,10 @@ _LINKS_SCHEMA = T.StructType().add(
 
 
 def read_records(
-    spark: SparkSession, path: str | list[str], partitions: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    partitions: int | None = None,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Records of crawl text files as `value`: a directory, glob or list.
 
@@ -44,11 +48,16 @@ def read_records(
     start with the line break after their mark and end in a blank line.
 
     Plain files are split by byte range. A .gz file is one task, which suits
-    crawls of many thousand files; for a few large ones pass `partitions` to
-    spread the records before the parsing starts.
+    crawls of many thousand files. For a few large ones pass `split_bytes`: then
+    each range of so many compressed bytes is a task, which starts at a gzip
+    member (see `gzip_records`). `partitions` spreads the records by a shuffle
+    before the parsing starts, which helps where a file is a single member.
     """
     mark = RECORD_SEPARATOR + LINE_BREAK
-    records = spark.read.text(path, lineSep=BLANK_LINE + mark)
+    if split_bytes:
+        records = gzip_pieces(spark, path, split_bytes).select(F.col("value").cast("string"))
+    else:
+        records = spark.read.text(path, lineSep=BLANK_LINE + mark)
     value = F.col("value")
     # The first record of a file still has its mark, the last its blank line.
     start = F.when(

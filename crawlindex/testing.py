@@ -11,9 +11,17 @@ are what the queries read.
 
 from __future__ import annotations
 
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.fixed_values import RECORD_SEPARATOR
+from .shipping import ship
+from .sources.gzip_records import opened
 from .sources.warc import write_records
 from .storage import new_folder
 
@@ -37,6 +45,32 @@ def crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{folder}/wet", f"{folder}/wat"
 
 
+def gzip_crawl(spark: SparkSession, sf_dir: str, files: int = 2) -> tuple[str, str]:
+    """As `crawl`, in .gz files of one member for each record."""
+    folder = new_folder(spark, "crawl")
+    ship(spark)
+    for name, records in (("wet", wet_records(spark, sf_dir)), ("wat", wat_records(spark, sf_dir))):
+        rows = records.repartition(files).mapInArrow(_member_writer(f"{folder}/{name}"), "n long")
+        rows.agg(F.sum("n")).collect()
+    return f"{folder}/wet", f"{folder}/wat"
+
+
+def _member_writer(folder: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = opened(folder)
+        store.create_dir(path, recursive=True)
+        name = f"{path}/part-{TaskContext.get().partitionId():05d}.gz"
+        n = 0
+        with store.open_output_stream(name, compression=None) as file:
+            for batch in batches:
+                for value in batch["value"].to_pylist():
+                    file.write(gzip.compress((RECORD_SEPARATOR + value).encode(), 6, mtime=0))
+                    n += 1
+        yield pa.record_batch([pa.array([n])], ["n"])
+
+    return write
+
+
 def wet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`value`: a warcinfo record and one text record per document."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
