@@ -32,7 +32,7 @@ from .operators.postings import (
     postings_by_position,
     ranked_pages,
 )
-from .operators.rank import page_rank, rank_names, top_domains
+from .operators.rank import page_rank, page_rank_by_residuals, rank_names, top_domains
 from .operators.search import (
     hit_counts,
     keyword_lookup,

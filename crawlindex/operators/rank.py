@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import RANK_TOLERANCE, RESET_PROBABILITY
@@ -14,6 +14,7 @@ from ..storage import new_folder, removed, stored
 _SPLIT_EDGES = 1_000_000
 _MAX_HOT_SOURCES = 100_000
 _BUCKET_MOVES = 2_000_000
+_OWN = -1  # part of the rows to the vertices themselves, where it is one of its own
 
 
 def page_rank(
@@ -50,31 +51,92 @@ def page_rank(
     steps = [_round(moves, reset, i) for i in range(rounds_per_write)]
 
     done, final = 0, None
-    while final is None and done != max_iter:
-        rounds = rounds_per_write if max_iter is None else min(rounds_per_write, max_iter - done)
-        for step in steps[:rounds]:
-            state = step(state)
-        previous = f"{folder}/ranks-{done}"
-        done += rounds
-        state = stored(state, f"{folder}/ranks-{done}")
-        removed(spark, previous)
-        names = [*(f"rank_{i}" for i in range(rounds)), "rank"]
-        if tol is not None:
-            pairs = zip(names, names[1:], strict=False)
-            moved = state.agg(
-                *[F.max(F.abs(F.col(new) - F.col(old))).alias(new) for old, new in pairs]
-            ).first()
-            final = next((n for n in names[1:] if moved[n] is None or moved[n] <= tol), None)
-        state = state.select("domain", *names[1:], "out_degree", "splits")
-        if final is None:
-            state = state.select("domain", "rank", "out_degree", "splits")
-    spark.sql(f"DROP TABLE {moves.table}")
-    removed(spark, f"{folder}/moves")
-    removed(spark, f"{folder}/edges")
+    try:
+        while final is None and done != max_iter:
+            rounds = _rounds(rounds_per_write, max_iter, done)
+            for step in steps[:rounds]:
+                state = step(state)
+            previous = f"{folder}/ranks-{done}"
+            done += rounds
+            state = stored(state, f"{folder}/ranks-{done}")
+            removed(spark, previous)
+            names = [*(f"rank_{i}" for i in range(rounds)), "rank"]
+            if tol is not None:
+                pairs = zip(names, names[1:], strict=False)
+                moved = state.agg(
+                    *[F.max(F.abs(F.col(new) - F.col(old))).alias(new) for old, new in pairs]
+                ).first()
+                final = next((n for n in names[1:] if moved[n] is None or moved[n] <= tol), None)
+            state = state.select("domain", *names[1:], "out_degree", "splits")
+            if final is None:
+                state = state.select("domain", "rank", "out_degree", "splits")
+    finally:
+        moves.drop()
+        removed(spark, f"{folder}/edges")
     if tol is not None and final is None:
         raise RuntimeError(f"ranks still move by more than {tol} after {done} rounds")
+    return _scaled(state, F.col(final or "rank"), n_vertices)
 
-    rank = F.col(final or "rank")
+
+def page_rank_by_residuals(
+    vertices: DataFrame,
+    edges: DataFrame,
+    tol: float = RANK_TOLERANCE,
+    reset: float = RESET_PROBABILITY,
+    max_iter: int | None = None,
+    rounds_per_write: int = 5,
+    split_edges: int = _SPLIT_EDGES,
+    progress: Callable[[int, int], None] | None = None,
+) -> DataFrame:
+    """`domain, pageRank` as `page_rank`, by sending changes only.
+
+    A vertex holds its rank and a residual, the change it has not handed on yet;
+    at first that is `reset`. In a round only vertices whose residual exceeds
+    `tol` take part: each adds it to its rank and sends (1 - reset) of it along
+    its edges. Only their edges are joined, so the work of a round falls as the
+    ranks settle. It ends when no vertex is active; what the residuals still
+    hold, `tol` a vertex at most, is added. A `max_iter` that is not enough is
+    an error. `progress` is told the round and its active vertices, once a plan.
+
+    Plans, buckets and hot sources are those of `page_rank`; a round without
+    active vertices changes nothing, so the result does not depend on
+    `rounds_per_write`.
+    """
+    spark = vertices.sparkSession
+    folder = new_folder(spark, "page_rank")
+    edges = stored(edges.select("src", "dst", "n"), f"{folder}/edges")
+    start = _start(vertices, edges, 0.0, split_edges).withColumn("residual", F.lit(reset))
+    state = stored(start, f"{folder}/ranks-0")
+    moves = _bucketed(_moves(state, edges, _OWN), f"{folder}/moves")
+    n_vertices = state.count()
+    step = _residual_round(moves, tol, reset)
+
+    done = 0
+    try:
+        while active := state.where(F.col("residual") > tol).count():
+            if progress:
+                progress(done, active)
+            if done == max_iter:
+                raise RuntimeError(f"residuals still exceed {tol} after {done} rounds")
+            rounds = _rounds(rounds_per_write, max_iter, done)
+            for _ in range(rounds):
+                state = step(state)
+            previous = f"{folder}/ranks-{done}"
+            done += rounds
+            state = stored(state, f"{folder}/ranks-{done}")
+            removed(spark, previous)
+    finally:
+        moves.drop()
+        removed(spark, f"{folder}/edges")
+    return _scaled(state, F.col("rank") + F.col("residual"), n_vertices)
+
+
+def _rounds(rounds_per_write: int, max_iter: int | None, done: int) -> int:
+    return rounds_per_write if max_iter is None else min(rounds_per_write, max_iter - done)
+
+
+def _scaled(state: DataFrame, rank: Column, n_vertices: int) -> DataFrame:
+    """Ranks that sum to the number of vertices."""
     total = state.agg(F.sum(rank)).first()[0]
     scale = n_vertices / total if n_vertices else 1.0
     return state.select("domain", (rank * scale).alias("pageRank"))
@@ -116,10 +178,10 @@ def _start(
     )
 
 
-def _moves(state: DataFrame, edges: DataFrame) -> DataFrame:
+def _moves(state: DataFrame, edges: DataFrame, own_part: int = 0) -> DataFrame:
     """Edges `src, part, dst, n`, and one more row per vertex to itself.
 
-    That row has n = 0 and carries what a round has to keep of the vertex, so
+    That row, in `own_part`, has n = 0 and carries what a round has to keep of the vertex, so
     a round needs one join and one aggregation, and no vertex is lost for
     having no in-edges.
     """
@@ -137,7 +199,7 @@ def _moves(state: DataFrame, edges: DataFrame) -> DataFrame:
     )
     kept = state.select(
         F.col("domain").alias("src"),
-        F.lit(0).alias("part"),
+        F.lit(own_part).alias("part"),
         F.col("domain").alias("dst"),
         F.lit(0).cast("long").alias("n"),
         "out_degree",
@@ -149,8 +211,13 @@ def _moves(state: DataFrame, edges: DataFrame) -> DataFrame:
 class _Bucketed:
     """A table stored in buckets of `src, part`, to join on without a shuffle."""
 
-    def __init__(self, spark: SparkSession, table: str):
-        self.table, self.frame = table, spark.table(table)
+    def __init__(self, spark: SparkSession, table: str, path: str):
+        self.spark, self.table, self.path = spark, table, path
+        self.frame = spark.table(table)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.table}")
+        removed(self.spark, self.path)
 
 
 def _bucketed(moves: DataFrame, path: str) -> _Bucketed:
@@ -169,7 +236,7 @@ def _bucketed(moves: DataFrame, path: str) -> _Bucketed:
         .saveAsTable(table)
     )
     removed(spark, f"{path}-unsorted")
-    return _Bucketed(spark, table)
+    return _Bucketed(spark, table, path)
 
 
 def _round(moves: _Bucketed, reset: float, step: int) -> Callable[[DataFrame], DataFrame]:
@@ -205,3 +272,37 @@ def _round(moves: _Bucketed, reset: float, step: int) -> Callable[[DataFrame], D
         return state.select(*shares).join(moves.frame, keys).groupBy(vertex).agg(*summed)
 
     return next_state
+
+
+def _residual_round(
+    moves: _Bucketed, tol: float, reset: float
+) -> Callable[[DataFrame], DataFrame]:
+    """A round over the active vertices: those with a residual above `tol`.
+
+    Others only meet their own row, which lies in a part of its own.
+    """
+    active = F.col("residual") > tol
+    sent = F.when(active, F.col("residual")).otherwise(F.lit(0.0))
+    parts = F.when(active, F.sequence(F.lit(_OWN), F.col("splits") - 1))
+    sends = [
+        F.col("domain").alias("src"),
+        F.explode(F.coalesce(parts, F.array(F.lit(_OWN)))).alias("part"),
+        (F.col("rank") + sent).alias("rank"),
+        (F.col("residual") - sent).alias("residual"),
+        (sent / F.col("out_degree")).alias("share"),
+    ]
+    own = F.col("n") == 0
+    inflow = F.coalesce(F.col("share") * F.col("n"), F.lit(0.0))
+    kept = F.when(own, F.col("residual")).otherwise((1 - reset) * inflow)
+    summed = [
+        F.max(F.when(own, F.col("rank"))).alias("rank"),
+        F.sum(kept).alias("residual"),
+        F.max("out_degree").alias("out_degree"),
+        F.max("splits").alias("splits"),
+    ]
+
+    def next_state(state: DataFrame) -> DataFrame:
+        joined = state.select(*sends).join(moves.frame, ["src", "part"])
+        return joined.groupBy(F.col("dst").alias("domain")).agg(*summed)
+
+    return next_state

@@ -17,16 +17,19 @@ from ..sources.warc import read_records, wat_pages, wet_pages
 from ..storage import new_folder, stored
 
 
-def domain_ranks(wat_records: DataFrame, **rank_options) -> DataFrame:
+def domain_ranks(
+    wat_records: DataFrame, method: Callable[..., DataFrame] = page_rank, **rank_options
+) -> DataFrame:
     """`domain, pageRank` from WAT records.
 
     The crawl is read once, into the counted host links, which are orders of
-    magnitude smaller. Options are those of `page_rank`.
+    magnitude smaller. `method` is `page_rank` or `page_rank_by_residuals`;
+    options are those of the method.
     """
     folder = new_folder(wat_records.sparkSession, "link_graph")
     counts = stored(host_counts(links_long(wat_pages(wat_records))), f"{folder}/host_counts")
     vertices = stored(vertices_of(counts), f"{folder}/vertices")
-    return page_rank(vertices, edges_of(counts, vertices), **rank_options)
+    return method(vertices, edges_of(counts, vertices), **rank_options)
 
 
 def ranked_postings(
