@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import crawlindex as ci  # noqa: E402
 from crawlindex.functions.fixed_values import STOP_WORDS  # noqa: E402
 from crawlindex.storage import new_folder, stored  # noqa: E402
-from crawlindex.testing import ODD_EACH, ODD_TEXT, crawl, gzip_crawl  # noqa: E402
+from crawlindex.testing import ODD_EACH, ODD_TEXT, crawl, crawls_by_turn, gzip_crawl  # noqa: E402
 
 try:  # the training-data operators may be absent as a whole
     import corpus_pipeline
@@ -288,6 +288,41 @@ def index_table(spark, sf_dir):
     return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
 
 
+def _two_crawls(spark: SparkSession, sf_dir: str, compacted: bool) -> DataFrame:
+    """The index after a crawl of two thirds of the documents, and one of the
+    others at the pages with an even number, which replaces these pages."""
+
+    def make() -> str:
+        path = new_folder(spark, "segments")
+        first, second = crawls_by_turn(spark, sf_dir)
+        for records in (first, second):
+            postings = ci.ranked_postings(records, _ranks(spark, sf_dir))
+            ci.append_segment(postings, ci.wet_pages(records), path)
+        if compacted:
+            ci.compact_segments(spark, path)
+        return path
+
+    name = "compacted" if compacted else "segments"
+    return ci.read_segments(spark, _once(spark, sf_dir, name, make))
+
+
+def index_replaced(spark, sf_dir):
+    index = _two_crawls(spark, sf_dir, compacted=False)
+    return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
+
+
+def index_compacted(spark, sf_dir):
+    index = _two_crawls(spark, sf_dir, compacted=True)
+    return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
+
+
+def search_replaced(spark, sf_dir):
+    """Look-ups leave out what a later crawl has replaced."""
+    index = _two_crawls(spark, sf_dir, compacted=False)
+    top = ci.search_with_totals(index, _batch(spark, sf_dir), normalize=True)
+    return top.select("query", "uri", _rounded("score"), "total")
+
+
 def index_stats(spark, sf_dir):
     return ci.index_stats(ci.wet_pages(_wet(spark, sf_dir)), _index(spark, sf_dir))
 
@@ -389,7 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             page_rank, page_rank_tol, page_rank_residual, top_domains, rank_names, ranked_pages,
             tokens, term_counts, page_keywords,
             index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
-            index_stats,
+            index_replaced, index_compacted, search_replaced, index_stats,
             keyword_lookup, search_scores, search_top20, search_formatted,
             search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
             search_early_stop, search_early_stop_batch,
@@ -527,8 +562,23 @@ def _blocked(rows: str, key: str, element: str, spread: str, size: int) -> str:
             ceil(count(*) OVER (PARTITION BY {key}) / {size})::BIGINT AS blocks FROM {rows})"""
 
 
-def _search(hits: str, k: int = 20) -> str:
-    return f"""WITH RECURSIVE {_INDEX},
+# Of the postings those of the second crawl, and of the first where it has not
+# been. The number of a document tells the crawl, and whether its page is even.
+_REPLACED = f"""{_INDEX},
+ranked_terms AS (
+    SELECT doc_id, keyword, uri, keyword_weight AS occurences, "pageRank" AS page_rank
+    FROM terms JOIN ranks USING (domain)),
+again AS (
+    SELECT DISTINCT uri FROM captures, n_pages
+    WHERE doc_id % 3 = 2 AND doc_id % n % 2 = 0),
+live AS (
+    SELECT keyword, uri, occurences, page_rank FROM ranked_terms, n_pages
+    WHERE CASE WHEN doc_id % 3 = 2 THEN doc_id % n % 2 = 0
+        ELSE uri NOT IN (SELECT uri FROM again) END)"""
+
+
+def _search(hits: str, k: int = 20, index: str = _INDEX) -> str:
+    return f"""WITH RECURSIVE {index},
 hits AS ({hits}),
 placed AS (
     SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, uri) AS place
@@ -539,8 +589,8 @@ SELECT query, uri, round(score, 6) AS score FROM placed WHERE place <= {k}"""
 _SCORED = "SELECT keyword AS query, uri, occurences * page_rank AS score FROM postings"
 
 
-def _totals(hits: str) -> str:
-    return _search(hits).replace("AS score FROM placed", "AS score, total FROM placed")
+def _totals(hits: str, index: str = _INDEX) -> str:
+    return _search(hits, index=index).replace("AS score FROM placed", "AS score, total FROM placed")
 
 
 _BATCH_HITS = f"""SELECT query, uri, occurences * page_rank AS score,
@@ -649,6 +699,11 @@ def oracle_sql() -> dict[str, str]:
         "postings_by_position": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
         "index_roundtrip": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
         "index_table": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
+        "index_replaced": f"WITH RECURSIVE {_REPLACED} SELECT {posting} FROM live",
+        "index_compacted": f"WITH RECURSIVE {_REPLACED} SELECT {posting} FROM live",
+        "search_replaced": _totals(
+            _BATCH_HITS.replace("JOIN postings", "JOIN live"), _REPLACED
+        ),
         "index_stats": f"""WITH RECURSIVE {_INDEX}
             SELECT 'records' AS metric, count(*) AS value FROM captures
             UNION ALL SELECT 'keywords_total', count(*) FROM postings

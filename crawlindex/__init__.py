@@ -50,6 +50,13 @@ from .plans.jobs import (
 )
 from .sources.impact_store import ImpactIndex, read_impact_index, write_impact_index
 from .sources.index_store import create_index_table, read_index, write_index
+from .sources.segment_store import (
+    append_segment,
+    compact_segments,
+    read_pages,
+    read_segments,
+    segments,
+)
 from .sources.warc import (
     header_field,
     header_fields,

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.fixed_values import RECORD_SEPARATOR
@@ -71,12 +71,24 @@ def _member_writer(folder: str):
     return write
 
 
-def wet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`value`: a warcinfo record and one text record per document."""
+def crawls_by_turn(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The text records of two crawls: of the documents two in three, then of the
+    others those at pages with an even number."""
+    third = F.col("doc_id") % 3 == 2
+    second = third & (F.col("page_id") % 2 == 0)
+    return wet_records(spark, sf_dir, ~third), wet_records(spark, sf_dir, second)
+
+
+def wet_records(
+    spark: SparkSession, sf_dir: str, part: Column | None = None
+) -> DataFrame:
+    """`value`: a warcinfo record and one text record per document, or per
+    document of a part."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     n_pages = pages.agg(F.count("*")).scalar()
     captures = documents.withColumn("page_id", F.col("doc_id") % n_pages).join(pages, "page_id")
+    captures = captures if part is None else captures.where(part)
     rendered = captures.select(
         F.concat(
             F.lit("\r\nWARC-Type: conversion\r\nWARC-Target-URI: "),

@@ -1,0 +1,115 @@
+"""Segments: replaced pages, compaction, failed writes."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawlindex import (
+    append_segment,
+    compact_segments,
+    hit_counts,
+    keyword_lookup,
+    read_pages,
+    read_segments,
+    search,
+    segments,
+)
+from crawlindex.sources import segment_store
+
+SCHEMA = "keyword string, uri string, occurences int, page_rank double"
+
+
+def crawl(spark, seed, pages):
+    """(postings, pages): some pages have no words."""
+    rng = random.Random(seed)
+    rows = [
+        (word, uri, rng.randint(1, 5), float(seed))
+        for uri in pages if rng.random() < 0.8
+        for word in rng.sample(["a", "b", "c", "d"], 2)
+    ]
+    postings = spark.createDataFrame(rows, SCHEMA)
+    return rows, postings, spark.createDataFrame([(u, 1) for u in [*pages, None]], "uri string, x int")
+
+
+def rows_of(frame):
+    return sorted(tuple(r) for r in frame.drop("bucket").collect())
+
+
+def test_overlapping_crawls(spark, tmp_path):
+    path, want = str(tmp_path / "index"), {}
+    crawls = [[f"u{i}" for i in range(40)], [f"u{i}" for i in range(20, 50)], ["u1", "u25", "u60"], ["u0"]]
+    for number, pages in enumerate(crawls):
+        rows, postings, table = crawl(spark, number + 1, pages)
+        assert append_segment(postings, table, path, buckets=None if number else 3) == number
+        for uri in pages:
+            want[uri] = [r for r in rows if r[1] == uri]
+        index = read_segments(spark, path)
+        assert rows_of(index) == sorted(sum(want.values(), []))
+        if number == 2:  # later segments go on after a compaction
+            assert compact_segments(spark, path) == 3 and segments(spark, path) == [3]
+            assert rows_of(read_segments(spark, path)) == sorted(sum(want.values(), []))
+            crawls.append([])
+            break
+    rows, postings, table = crawl(spark, 9, ["u1", "u70"])
+    assert append_segment(postings, table, path) == 4 and segments(spark, path) == [3, 4]
+    want |= {u: [r for r in rows if r[1] == u] for u in ("u1", "u70")}
+    live = sorted(sum(want.values(), []))
+    index = read_segments(spark, path)
+    assert rows_of(index) == live
+    assert {r.uri for r in read_pages(spark, path).collect()} == want.keys()
+    assert hit_counts(index, ["a"]).first().hits == sum(r[0] == "a" for r in live)
+    best = min((-r[2] * r[3], r[1]) for r in live if r[0] == "a")[1]
+    assert search(index, "a", k=1).first().uri == best
+    with pytest.raises(ValueError, match="3 buckets"):
+        append_segment(postings, table, path, buckets=5)
+
+
+def test_look_ups_prune_every_segment(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for seed in (1, 2):
+        _, postings, table = crawl(spark, seed, [f"u{i}" for i in range(10)])
+        append_segment(postings, table, path, buckets=4)
+    plan = keyword_lookup(read_segments(spark, path), "a")._jdf.queryExecution().toString()
+    assert "EqualTo(keyword,a)" in plan and "LeftAnti" in plan
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    rows, postings, table = crawl(spark, 1, ["u1", "u2", "u3", "u4"])
+    append_segment(postings, table, path)
+    _, newer, newer_pages = crawl(spark, 2, ["u1", "u9"])
+
+    def fail(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(segment_store, "_complete", fail)
+        with pytest.raises(OSError, match="lost"):
+            append_segment(newer, newer_pages, path)
+    assert rows_of(read_segments(spark, path)) == sorted(rows)
+    append_segment(newer, newer_pages, path)
+    live = rows_of(read_segments(spark, path))
+    with monkeypatch.context() as patch:
+        patch.setattr(segment_store, "_complete", fail)
+        with pytest.raises(OSError, match="lost"):
+            compact_segments(spark, path)
+    assert rows_of(read_segments(spark, path)) == live and segments(spark, path) == [0, 1]
+
+
+def test_crawl_without_words(spark, tmp_path):
+    """Its pages replace what was there; an index of nothing can be read."""
+    path = str(tmp_path / "index")
+    with pytest.raises(FileNotFoundError):
+        read_segments(spark, path)
+    empty = spark.createDataFrame([], SCHEMA)
+    append_segment(empty, spark.createDataFrame([("u1",)], "uri string"), path)
+    assert rows_of(read_segments(spark, path)) == []
+    append_segment(spark.createDataFrame([("a", "u1", 1, 1.0), ("a", "u2", 1, 1.0)], SCHEMA), spark.createDataFrame([("u1",), ("u2",)], "uri string"), path)
+    append_segment(empty, spark.createDataFrame([("u1",)], "uri string"), path)
+    assert rows_of(read_segments(spark, path)) == [("a", "u2", 1, 1.0)]
+    compact_segments(spark, path)
+    assert rows_of(read_segments(spark, path)) == [("a", "u2", 1, 1.0)]
+    assert compact_segments(spark, path) == 3  # nothing to merge
+    assert keyword_lookup(read_segments(spark, path), "a").select(F.max("uri")).first()[0] == "u2"
