@@ -1,10 +1,15 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
 A page is a sequence of words and tags. Words score positive and tags negative,
-words in links or in boilerplate elements negative too, with weights from
-labelled pages: those that mark their own article. One linear scan finds the
-contiguous region with the largest sum; its words, without those in boilerplate
-elements, are the text.
+words in links or outside the article negative too, with weights from labelled
+pages: those that mark their own article. One linear scan finds the contiguous
+region with the largest sum; its words, without those in boilerplate elements,
+are the text.
+
+Where a page marks its article, by an element or a name, the mark that holds the
+page's main words is taken: of its words all score positive, and its tags
+nothing, so nothing in it is lost. Marks that hold a smaller part, as teasers
+and comments have them, are outside.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,9 +45,15 @@ _BLOCKS = frozenset(
 )
 _SPACES = frozenset("br td th wbr img".split())
 _SKIPPED = frozenset(
-    "nav footer aside form button select option dialog menu search head object canvas audio"
+    "nav footer aside button select option dialog menu search head object canvas audio"
     " video fieldset label datalist".split()
 )
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark meter output"
+    " picture progress q rp rt ruby s samp slot small span strike strong sub sup time tt u var"
+    " html".split()
+)
+_NAMES = _VOID | _BLOCKS | _SPACES | _SKIPPED | _INLINE | frozenset(_RAW)  # with a weight each
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _BOILERPLATE = frozenset(
     "ad ads adv advert advertisement advertising adsense banner billboard breadcrumb breadcrumbs"
@@ -53,6 +65,13 @@ _BOILERPLATE = frozenset(
     " widget widgets".split()
 )
 _CONTENT = frozenset("article content entry main post story text".split())
+# Words that say nothing of their own beside one of the boilerplate words.
+_HOLDERS = frozenset(
+    "area areas article articles bar blocks block blog body bottom box button buttons column"
+    " container content entry global group header icons inner item items label layout left"
+    " leaderboard link links list main module outer page panel post posts reader right row"
+    " section site slot square stories story text thread title top unit user wrap wrapper".split()
+)
 _QUALIFIED = frozenset("has with no without is".split())
 _ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation"
@@ -71,141 +90,270 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in _RAW}
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Weights where no page is labelled, and how far labelled pages may move them.
-# What boilerplate elements hold is left out anyway, so it hardly parts a region,
-# and within the article not at all.
-_PRIORS = {
-    "word": 1.0,
-    "link word": -0.5,
-    "outside word": -1.0,
-    "skipped word": -0.05,
-    "skipped inner word": 0.0,
-    "skipped tag": 0.0,
-}
+_PRIORS = {"word": 1.0, "link word": -0.5, "outside word": -1.0}
 _TAG_PRIOR = -0.15
-_RANGES = {"word": (0.5, 1.0), "link word": (-1.0, 0.5), "outside word": (-2.0, -0.5)}
+_RANGES = {"word": (0.5, 1.0), "link word": (-1.0, -0.1), "outside word": (-2.0, -0.5)}
 _TAG_RANGE = (-0.3, -0.02)
+_FREE = frozenset(["inner tag", "skipped tag"])  # these score nothing
+_GAP = -3.0  # of tags between two words together, at most; empty tags tell little
+_MOST = 0.5  # share of a group's words that makes a mark the article's
+
+# How an element may be skipped: always, unless it holds the page's main words,
+# or only if it consists of links.
+_ALWAYS, _USUALLY, _IF_LINKS = 3, 2, 1
 
 
-def _names_boilerplate(names: str) -> bool:
-    """Whether class or id names mark an element that is not the article."""
-    found = False
+def _named(names: str) -> tuple[int, bool]:
+    """How class or id names mark boilerplate, and whether they mark content.
+
+    A name of boilerplate words and holders counts in full, as in "ad-slot"; one
+    that starts or ends with such a word, as "share-price-report", in part.
+    """
+    kind, content = 0, False
     for name in names.split():
         parts = [p.lower() for p in _NAME_WORDS.findall(name)]
         if not parts or parts[0] in _QUALIFIED:
             continue
-        if parts[0] in _BOILERPLATE or parts[-1] in _BOILERPLATE:
-            found = True
+        if not _BOILERPLATE.isdisjoint(parts):
+            known = all(p in _BOILERPLATE or p in _HOLDERS or len(p) == 1 for p in parts)
+            if known:
+                kind = _USUALLY
+            elif parts[0] in _BOILERPLATE or parts[-1] in _BOILERPLATE:
+                kind = max(kind, _IF_LINKS)
         elif all(p in _CONTENT for p in parts):
-            return False
-    return found
+            content = True
+    return kind, content
 
 
-def _boilerplate(name: str, attrs: str, in_article: bool) -> bool:
+def _kind(name: str, attrs: str, in_article: bool) -> tuple[int, bool]:
+    """How an element may be skipped, and whether its names mark content."""
+    if name == "form" or name == "header" and not in_article:
+        return _USUALLY, False
     if name in _SKIPPED:
-        return True
-    if name == "header" and not in_article:
-        return True
+        return _ALWAYS, False
     if name in ("html", "body") or not attrs or attrs.isspace():
-        return False
-    values = {}
+        return 0, False
+    values: dict[str, str] = {}
     for key, a, b, c in _ATTRIBUTE.findall(attrs):
         values.setdefault(key.lower(), html.unescape(a or b or c))
     if "hidden" in values or values.get("aria-hidden") == "true":
-        return True
+        return _ALWAYS, False
     if re.search(r"display\s*:\s*none", values.get("style", ""), re.I):
-        return True
-    if values.get("role", "").lower() in _ROLES:
-        return True
-    return any(_names_boilerplate(values.get(key, "")) for key in ("class", "id"))
-
-
-def scan(page: str) -> Iterator[tuple[str, object, int]]:
-    """(feature, words or block break, 2 in an article, 1 in a main, else 0).
-
-    Features are "word", "link word", "skipped word" with the text, and
-    "tag <name>" with whether the tag breaks blocks (True), is white space
-    (False), or is neither (None).
-    """
-    open_elements: list[str] = []
-    skipped_from: int | None = None
-    place, links, articles, mains = 0, 0, 0, 0
-
-    def inside() -> int:
-        return 2 if articles else 1 if mains else 0
-
-    def words(text: str):
-        kind = "skipped word" if skipped_from is not None else "link word" if links else "word"
-        return kind, html.unescape(text) if "&" in text else text, inside()
-
-    def tag(name: str, breaks: bool | None):
-        return "skipped tag" if skipped_from is not None else f"tag {name}", breaks, inside()
+        return _ALWAYS, False
+    role = values.get("role", "").lower()
+    if role in _ROLES:
+        return _USUALLY, False
+    found = [_named(values.get(key, "")) for key in ("class", "id")]
+    content = role == "main" or any(c for _, c in found)
+    kind = 0 if content else max(k for k, _ in found)
+    return kind, content
+
+
+@dataclass
+class _Element:
+    name: str
+    parent: int
+    kind: int
+    content: bool
+    words: int = 0  # of it and all in it, but for what is always skipped
+    links: int = 0  # those of them in links
+    title: bool = False  # whether a title or a main element is in it
+
+
+def scan(page: str) -> tuple[list[_Element], list[tuple[int, bool, object]]]:
+    """The elements, and the tokens in order: (element, in a link, text), or for
+    a tag (element, False, (name, breaks)), where breaks tells whether the tag
+    breaks blocks (True), is white space (False), or is neither (None)."""
+    elements = [_Element("", -1, 0, False)]
+    tokens: list[tuple[int, bool, object]] = []
+    path: list[int] = [0]
+    still: Counter[str] = Counter()  # open elements by name
+    place, links, articles = 0, 0, 0
+
+    def text(value: str) -> None:
+        tokens.append((path[-1], links > 0, html.unescape(value) if "&" in value else value))
+
+    def pop() -> str:
+        nonlocal links, articles
+        name = elements[path.pop()].name
+        still[name] -= 1
+        links -= name == "a"
+        articles -= name in ("article", "main")
+        return name
 
     while True:
         match = _TOKEN.search(page, place)
-        text = page[place : match.start() if match else len(page)]
-        if text:
-            yield words(text)
+        before = page[place : match.start() if match else len(page)]
+        if before:
+            text(before)
         if not match:
-            return
+            return elements, tokens
         place = match.end()
         if match["cdata"]:
-            yield words(match["cdata"])
+            text(match["cdata"])
         name = match["name"]
         if not name:
             continue
         name = name.lower()
         breaks = True if name in _BLOCKS else False if name in _SPACES else None
         if match["close"]:
-            yield tag(name, breaks)
-            if name in open_elements:
-                while True:
-                    closed = open_elements.pop()
-                    links -= closed == "a"
-                    articles -= closed == "article"
-                    mains -= closed == "main"
-                    if closed == name:
-                        break
-                if skipped_from is not None and len(open_elements) <= skipped_from:
-                    skipped_from = None
+            tokens.append((path[-1], False, (name, breaks)))
+            if still[name]:
+                while pop() != name:
+                    pass
             continue
         if name in _RAW_END:
             end = _RAW_END[name].search(page, place)
             place = end.start() if end else len(page)
-            yield tag(name, None if name == "svg" else True)
+            tokens.append((path[-1], False, (name, None if name == "svg" else True)))
             if end:
                 closing = page.find(">", place)
                 place = closing + 1 if closing >= 0 else len(page)
             continue
-        if breaks and open_elements and open_elements[-1] in _CLOSED_BY_BLOCK:
-            open_elements.pop()
-            if skipped_from is not None and len(open_elements) <= skipped_from:
-                skipped_from = None
+        if breaks and elements[path[-1]].name in _CLOSED_BY_BLOCK:
+            pop()
         if name == "a" and links:  # links do not nest
-            at = len(open_elements) - 1 - open_elements[::-1].index("a")
-            del open_elements[at]
+            at = max(k for k, i in enumerate(path) if elements[i].name == "a")
+            del path[at]
+            still["a"] -= 1
             links -= 1
-        skips = skipped_from is None and _boilerplate(name, match["attrs"], inside() > 0)
-        yield tag(name, breaks)
+        tokens.append((path[-1], False, (name, breaks)))
         if name in _VOID or match["attrs"].endswith("/") and name not in _BLOCKS:
             continue
-        if skips:
-            skipped_from = len(open_elements)
-        open_elements.append(name)
+        kind, content = _kind(name, match["attrs"], articles > 0)
+        elements.append(_Element(name, path[-1], kind, content))
+        path.append(len(elements) - 1)
+        still[name] += 1
         links += name == "a"
-        articles += name == "article"
-        mains += name == "main"
-
-
-def tokens_of(page: str) -> tuple[list[tuple[str, object, int]], int]:
-    """The tokens, words outside the article and skipped words inside it told
-    apart, and the element that marks the article: the level of the innermost
-    with words, 0 for none."""
-    tokens = list(scan(page))
-    level = max((i for f, v, i in tokens if f == "word" and not v.isspace()), default=0)
-    if level:
-        inner, outer = {"skipped word": "skipped inner word"}, {"word": "outside word"}
-        tokens = [((inner if i >= level else outer).get(f, f), v, i) for f, v, i in tokens]
-    return tokens, level
+        articles += name in ("article", "main")
+
+
+def _counted(elements: list[_Element], tokens: list[tuple[int, bool, object]]) -> None:
+    """Fill in the words of the elements."""
+    always = [False] * len(elements)
+    for i, e in enumerate(elements):
+        always[i] = e.kind == _ALWAYS or e.parent >= 0 and always[e.parent]
+        e.title = e.name in ("h1", "main")
+    for i, in_link, value in tokens:
+        if isinstance(value, str) and not always[i]:
+            n = len(value.split())
+            elements[i].words += n
+            elements[i].links += n * in_link
+    for i in range(len(elements) - 1, 0, -1):
+        e, parent = elements[i], elements[elements[i].parent]
+        parent.words += e.words
+        parent.links += e.links
+        parent.title |= e.title
+
+
+def _skipped(elements: list[_Element]) -> list[bool]:
+    """Whether each element is in boilerplate."""
+    total = elements[0].words
+    out = [False] * len(elements)
+    for i, e in enumerate(elements):
+        if e.parent >= 0 and out[e.parent]:
+            out[i] = True
+        elif e.kind == _USUALLY:
+            # A form over the whole page, or a part with the page's title.
+            main = 2 * e.words > total and (e.name == "form" or e.title)
+            out[i] = not main
+        elif e.kind == _IF_LINKS:
+            out[i] = 2 * e.links > e.words
+        else:
+            out[i] = e.kind == _ALWAYS
+    return out
+
+
+def _article(
+    elements: list[_Element], tokens: list[tuple[int, bool, object]], skipped: list[bool]
+) -> tuple[list[bool], bool]:
+    """Whether each element's own words belong to the article, and whether the
+    page marks it.
+
+    The words are grouped by the article element they are in. The main group is
+    the largest, where a title counts for as much again. If an article element
+    holds it, it is the article. If it lies in none, that is the outermost main
+    or content element with most of the group. Article elements that hold less
+    are outside, but for pages of several of like size without a title of their
+    own, which are one article together.
+    """
+    group = [0] * len(elements)
+    for i, e in enumerate(elements):
+        if e.parent >= 0:
+            group[i] = i if e.name == "article" else group[e.parent]
+    words = [0] * len(elements)  # by group
+    own = [0] * len(elements)  # by element, of its group
+    for i, _, value in tokens:
+        if isinstance(value, str) and not skipped[i]:
+            n = len(value.split())
+            words[group[i]] += n
+            own[i] += n
+    titles = {group[i] for i, e in enumerate(elements) if e.name == "h1" and not skipped[i]}
+    best = max(range(len(elements)), key=lambda g: (words[g] * (1 + (g in titles)), -g))
+    total = sum(words)
+    if not total:
+        return [False] * len(elements), False
+    others = sorted((n for g, n in enumerate(words) if g != best), reverse=True)
+    together = (
+        best > 0 and best not in titles and 2 * words[best] <= total and 2 * others[0] >= words[best]
+    )
+    if best and not together:
+        inside = [group[i] == best for i in range(len(elements))]
+        return inside, True
+    member = [together or group[i] == 0 for i in range(len(elements))]
+    held = [n * m for n, m in zip(own, member, strict=True)]
+    for i in range(len(elements) - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+    most = _MOST * held[0]
+    marks = [
+        i
+        for kind in ("main", "content")
+        for i, e in enumerate(elements)
+        if not skipped[i]
+        and (e.name == "main" if kind == "main" else e.content)
+        and held[i] > most
+    ]
+    if not marks:
+        return member, together
+    inside = [False] * len(elements)
+    for i, e in enumerate(elements):
+        inside[i] = i == marks[0] or e.parent >= 0 and inside[e.parent]
+    return [a and b for a, b in zip(inside, member, strict=True)], True
+
+
+def tokens_of(page: str, plain: bool = False) -> tuple[list[tuple[str, object, bool]], bool]:
+    """The tokens (feature, text or block break, inside the article), and whether
+    the page marks its article.
+
+    Features are "word", "link word", "outside word" and "skipped word" with
+    their text, and "tag <name>". In a marked article all words are "word" and
+    all tags "inner tag", and what lies between its parts counts as skipped.
+    With `plain` marks change no feature.
+    """
+    elements, raw = scan(page)
+    _counted(elements, raw)
+    skipped = _skipped(elements)
+    inside, marked = _article(elements, raw, skipped)
+    free = marked and not plain
+    parts = [k for k, (i, _, value) in enumerate(raw) if inside[i] and not skipped[i] and isinstance(value, str)]
+    first, last = (parts[0], parts[-1]) if parts else (0, -1)
+    tokens: list[tuple[str, object, bool]] = []
+    for k, (i, in_link, value) in enumerate(raw):
+        between = free and first <= k <= last
+        if not isinstance(value, str):
+            name, breaks = value
+            named = f"tag {name if name in _NAMES else 'other'}"
+            feature = "skipped tag" if skipped[i] else "inner tag" if between else named
+            tokens.append((feature, breaks, inside[i]))
+            continue
+        if skipped[i] or not plain and not inside[i] and (between or not marked):
+            feature = "skipped word"
+        elif free:
+            feature = "word" if inside[i] else "outside word"
+        else:
+            feature = "link word" if in_link else "word"
+        tokens.append((feature, value, inside[i]))
+    return tokens, marked
 
 
 def region(scores: list[float]) -> tuple[int, int]:
@@ -224,11 +372,16 @@ def region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Blocks of the best region, joined by line ends; empty if there is none."""
     tokens, _ = tokens_of(page)
-    scores = [
-        weights.get(feature, _PRIORS.get(feature, _TAG_PRIOR))
-        * (len(value.split()) if isinstance(value, str) else 1)
-        for feature, value, _ in tokens
-    ]
+    scores, gap = [], 0.0
+    for feature, value, _ in tokens:
+        if isinstance(value, str):
+            score = weights.get(feature, _PRIORS.get(feature, 0.0)) * len(value.split())
+            gap = 0.0 if score else gap
+        else:
+            score = 0.0 if feature in _FREE else weights.get(feature, _TAG_PRIOR)
+            score = max(score, _GAP - gap)
+            gap += score
+        scores.append(score)
     start, end = region(scores)
     blocks, parts = [], []
     for feature, value, _ in tokens[start:end]:
@@ -237,7 +390,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
             parts = []
         elif value is False:
             parts.append(" ")
-        elif isinstance(value, str) and not feature.startswith("skipped"):
+        elif isinstance(value, str) and feature in ("word", "link word"):
             parts.append(value)
     blocks.append("".join(parts))
     blocks = (" ".join(block.split()) for block in blocks)
@@ -248,12 +401,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[tuple[str, bool]] = Counter()
     for batch in batches:
         for page in batch.column(0).to_pylist():
-            tokens, level = tokens_of(page or "")
-            if not level:
+            tokens, marked = tokens_of(page or "", plain=True)
+            if not marked:
                 continue
             for feature, value, inside in tokens:
                 n = len(value.split()) if isinstance(value, str) else 1
-                counts[feature, inside >= level] += n
+                counts[feature, inside] += n
     rows = [(f, inside, n) for (f, inside), n in counts.items()]
     names = ["feature", "inside", "n"]
     columns = zip(*rows, strict=True) if rows else ([], [], [])
@@ -267,7 +420,7 @@ def fit(pages: DataFrame) -> dict[str, float]:
     Fitted on LABELLED_PAGES pages with an article or main element at most, by a
     hash of the id, which bounds the broadcast list of ids. Without any, and for
     rare features, the weights are those of the priors. Words stay positive and
-    tags negative, each in its range.
+    tags negative, each in its range. They decide on pages that mark no article.
     """
     ship(pages.sparkSession)
     labelled = (
@@ -287,9 +440,7 @@ def fit(pages: DataFrame) -> dict[str, float]:
             F.sum(F.when(~F.col("inside"), F.col("n"))).alias("outside"),
         )
         .where("inside + outside >= 20 OR inside >= 20 OR outside >= 20")
-        .orderBy(F.desc(F.coalesce("inside", F.lit(0)) + F.coalesce("outside", F.lit(0))), "feature")
-        .limit(1000)
-        .collect()
+        .collect()  # a feature for each name in _NAMES at most
     )
     total_in = sum(r["inside"] or 0 for r in counts) or 1
     total_out = sum(r["outside"] or 0 for r in counts) or 1

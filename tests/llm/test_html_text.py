@@ -65,7 +65,7 @@ def test_long_blocks_inside_the_article_part_nothing(mark, weight):
 
 
 def test_broken_markup_does_not_hang_or_crash():
-    for text in ("<", "<p", "<!--", "<script>x", "</p></p>", "<a<b>c", "&#xD800; &bogus; &#0;", "<p a='x", "<" * 20_000, "<p " * 20_000, "<!--" * 20_000, "<![CDATA[x", "<p>\0</p>", "<x y=\"" * 5_000):
+    for text in ("<", "<p", "<!--", "<script>x", "</p></p>", "<a<b>c", "&#xD800; &bogus; &#0;", "<p a='x", "<" * 20_000, "<p " * 20_000, "<!--" * 20_000, "<![CDATA[x", "<p>\0</p>", "<x y=\"" * 5_000, "<b>" * 50_000 + "</i>" * 50_000 + "</b>" * 50_000):
         html_text.main_text(text, {})
 
 
@@ -104,3 +104,134 @@ def test_given_pages(spark):
         blocks = re.split("</?p>|</?h1>|<br>", article)
         clean = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in blocks)
         assert texts[row.page_id] == "\n".join(b for b in clean if b)
+
+
+def words(n, name):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def links(n):
+    return " ".join(f"<a href=/{i}>ref{i}</a>" for i in range(n))
+
+
+def texts_of(n, name):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+TITLE, BODY, LAST = words(8, "title"), words(300, "body"), words(40, "last")
+NAV = f"<nav>{links(30)}</nav>"
+KINDS = {
+    "teaser article below": (
+        f"{NAV}<div id=content><h1>{TITLE}</h1><p>{BODY}</p></div><article>short teaser</article>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "teaser article in the content": (
+        f"{NAV}<div id=content><h1>{TITLE}</h1><p>{BODY}</p><article>short teaser</article><p>{LAST}</p></div>",
+        f"{TITLE}\n{BODY}\n{LAST}",
+    ),
+    "comments as articles in an unnamed section": (
+        f"{NAV}<div><h1>{TITLE}</h1><p>{BODY}</p></div><section>"
+        + "".join(f"<article><p>{words(60, f'c{i}x')}</p></article>" for i in range(20)) + "</section>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "comments as articles in the article": (
+        f"{NAV}<article><h1>{TITLE}</h1><p>{BODY}</p>"
+        + "".join(f"<article><p>{words(60, f'c{i}x')}</p></article>" for i in range(20)) + f"<p>{LAST}</p></article>",
+        f"{TITLE}\n{BODY}\n{LAST}",
+    ),
+    "comments as articles beside the article": (
+        f"{NAV}<main><article><h1>{TITLE}</h1><p>{BODY}</p></article><section>"
+        + "".join(f"<article><p>{words(60, f'c{i}x')}</p></article>" for i in range(20)) + "</section></main>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "page in one form": (
+        f"<form id=aspnet action=/>{NAV}<div><h1>{TITLE}</h1><p>{BODY}</p></div><footer>{words(20, 'f')}</footer></form>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "page in one form, an article in it": (
+        f"<form>{NAV}<article><h1>{TITLE}</h1><p>{BODY}</p><form><label>x y</label></form></article></form>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "names that only start or end like boilerplate": (
+        f"{NAV}<article><h1>{TITLE}</h1><div class=share-price-report><p>{BODY}</p></div>"
+        f"<div class=ad-hoc>{LAST}</div><section id=related-work>{words(30, 'work')}</section>"
+        f"<div class=ad-slot>Buy now</div><div class='social-share-buttons'>Share me</div></article>",
+        f"{TITLE}\n{BODY}\n{LAST}\n{words(30, 'work')}",
+    ),
+    "figures": (
+        f"{NAV}<article><h1>{TITLE}</h1><p>{LAST}</p>" + "<figure><img src=x></figure>" * 150 + f"<p>{BODY}</p></article>",
+        f"{TITLE}\n{LAST}\n{BODY}",
+    ),
+    "table": (
+        f"{NAV}<article><h1>{TITLE}</h1><p>{LAST}</p><table>"
+        + "".join(f"<tr><td>{i}</td><td></td><td></td></tr>" for i in range(300)) + f"</table><p>{BODY}</p></article>",
+        "\n".join([TITLE, LAST, *map(str, range(300)), BODY]),
+    ),
+    "links": (
+        f"{NAV}<article><h1>{TITLE}</h1><p>{LAST}</p><p>{links(80)}</p><p>{BODY}</p><p>{links(40)}</p></article>",
+        f"{TITLE}\n{LAST}\n{texts_of(80, 'ref')}\n{BODY}\n{texts_of(40, 'ref')}",
+    ),
+    "only links": (
+        f"{NAV}<article><p>{links(40)}</p></article><footer>{words(5, 'f')}</footer>",
+        texts_of(40, "ref"),
+    ),
+    "spans": (
+        f"{NAV}<article><h1>{TITLE}</h1><p>{LAST}</p>" + "<span></span>" * 900 + f"<p>{BODY}</p></article>",
+        f"{TITLE}\n{LAST}\n{BODY}",
+    ),
+    "spans and figures without a mark": (
+        f"{NAV}<div><h1>{TITLE}</h1><p>{LAST}</p>" + "<span></span>" * 900 + "<figure></figure>" * 150
+        + f"<p>{BODY}</p></div><footer>{words(9, 'f')}</footer>",
+        f"{TITLE}\n{LAST}\n{BODY}",
+    ),
+    "many articles of one page": (
+        f"{NAV}<main><h1>{TITLE}</h1>"
+        + "".join(f"<article><h2>entry {i}</h2><p>{words(60, f'e{i}x')}</p></article>" for i in range(6))
+        + f"</main><div class=sidebar>{words(50, 's')}</div>",
+        "\n".join([TITLE, *(f"entry {i}\n{words(60, f'e{i}x')}" for i in range(6))]),
+    ),
+    "teasers beside the article in main": (
+        f"{NAV}<main><article><h1>{TITLE}</h1><p>{BODY}</p></article>"
+        + "".join(f"<article><h3>tease {i}</h3><p>{words(20, f't{i}x')}</p></article>" for i in range(5)) + "</main>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "long comments": (
+        f"{NAV}<div class=post><h1>{TITLE}</h1><p>{BODY}</p></div>"
+        f"<div class=comments-area><h2>Comments</h2><p>{words(3000, 'c')}</p></div>",
+        f"{TITLE}\n{BODY}",
+    ),
+    "whole page in a named wrapper": (
+        f"<div class='widget'>{NAV}<h1>{TITLE}</h1><p>{BODY}</p><footer>{words(9, 'f')}</footer></div>",
+        f"{TITLE}\n{BODY}",
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    rows = [(i, "u", simple(i)[0], "t", 1, "f") for i in range(60)]
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    return [
+        {},
+        html_text.fit(spark.createDataFrame(rows, PAGES)),
+        html_text.fit(given),
+    ]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_no_main_text_is_lost(fitted, kind):
+    body, text = KINDS[kind]
+    for weights in fitted:
+        assert html_text.main_text(page(body), weights) == text
+
+
+def test_names():
+    full, part = html_text._USUALLY, html_text._IF_LINKS
+    for names, kind in {
+        "ad": full, "ad-slot": full, "comments-area": full, "post-comments": full, "sidebarLeft": full,
+        "cookie-notice": full, "relatedPosts": full, "ad-300x250": full,
+        "ad-hoc": part, "share-price-report": part, "related-work": part, "weather-widget": part,
+        "has-sidebar": 0, "article": 0, "unrelated": 0, "headline": 0, "": 0,
+    }.items():
+        assert html_text._named(names)[0] == kind, names
+    assert html_text._named("entry-content")[1] and not html_text._named("price")[1]
