@@ -1,11 +1,13 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-One model of ORDER characters for each language that labels name. All models
-share sorted arrays of n-gram keys, with a column of log probabilities for each
-language, so one binary search serves all languages. Keys are 16 bits for each
-character, hence exact for characters of the basic plane. A document gets the
-language with the lowest cross-entropy per character. Texts further from their
-language than any calibration document are rejected.
+One model of ORDER characters for each language that labels name. Groups of
+models share sorted arrays of n-gram keys, with a column of log probabilities for
+each language, so one binary search serves a group. A group is as large as a
+bound on its tables allows, so that all tables together grow with the n-grams,
+not with their product with the languages. Keys are 16 bits for each character,
+hence exact for characters of the basic plane. A document gets the language with
+the lowest cross-entropy per character. Texts much further from their language
+than its calibration documents are rejected.
 """
 
 from __future__ import annotations
@@ -21,13 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import new_folder, removed, stored
 from .shipping import ship
 
 ORDER = 4
 SAMPLE_DOCS = 1_000  # labelled documents per language that models are fitted on, about
-LANGUAGES = 256  # the most frequent ones, at most
+MOST_LANGUAGES = 10_000  # labels; more are an error, as they hardly name languages
+GROUP_NUMBERS = 1 << 21  # of n-grams times languages, in a group of models
 CALIBRATION = 5  # each CALIBRATION-th sampled document calibrates
-MARGIN = 1.0  # nats per character allowed beyond the calibration documents
+CALIBRATED_DOCS = 40  # sampled documents from which on a language can spare some
+QUANTILE = 0.75  # of the calibration documents, so that some wrong labels do nothing
+MARGIN = 1.3  # nats per character allowed beyond that
 MIN_LETTERS = 50  # shorter texts tell too little to be rejected
 EVIDENCE = 40  # characters that count for the score, at most
 UNKNOWN = "und"
@@ -35,6 +41,7 @@ CHUNK = 1 << 18  # characters scored at once
 
 _EDGE = 1  # code of what comes before a text; white space and signs are 0
 _BITS = np.uint64(16)
+_CHARACTER = np.uint64(0xFFFF)  # the last one of a key
 
 
 @cache
@@ -80,8 +87,8 @@ def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Models:
-    """Shared sorted keys with one column per language.
+class Group:
+    """Models with shared sorted keys and one column per language.
 
     log_p[n] are interpolated log probabilities of the n-grams any language has
     seen, log_g[n] log weights of the shorter models after a context.
@@ -92,8 +99,7 @@ class Models:
     log_p: list[np.ndarray]
     contexts: list[np.ndarray]
     log_g: list[np.ndarray]
-    unseen: float
-    limits: dict[str, float]
+    unseen: float  # log probability of a character that no language has seen
 
     def log_probability(self, codes: np.ndarray) -> np.ndarray:
         """Summed over the text, for each language."""
@@ -116,11 +122,33 @@ class Models:
                     total += self.unseen * len(asked)
         return total
 
+    def numbers(self) -> int:
+        """Held in its tables."""
+        tables = [*self.keys, *self.log_p, *self.contexts, *self.log_g]
+        return sum(t.size for t in tables)
+
+
+@dataclass
+class Models:
+    """The models of all languages, which are sorted, in groups. `limits` are the
+    cross-entropies beyond which texts are rejected."""
+
+    groups: list[Group]
+    limits: dict[str, float]
+
+    @property
+    def languages(self) -> list[str]:
+        return [language for group in self.groups for language in group.languages]
+
+    def log_probability(self, codes: np.ndarray) -> np.ndarray:
+        """Summed over the text, for each language."""
+        return np.concatenate([g.log_probability(codes) for g in self.groups] or [np.zeros(0)])
+
     def classify(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score from 0 to 1, accepted)."""
         codes = encode(text or "")
         letters = int(np.count_nonzero(codes))
-        if not letters or not self.languages:
+        if not letters or not self.groups:
             return UNKNOWN, 0.0, False
         entropy = -self.log_probability(codes) / len(codes)
         best = int(np.argmin(entropy))
@@ -130,8 +158,30 @@ class Models:
         return language, float(1 / np.exp(-gaps).sum()), not far
 
 
+def grouped(sizes: dict[str, int]) -> list[list[str]]:
+    """Languages, sorted, in groups whose tables hold GROUP_NUMBERS at most, by
+    the number of n-grams of each; a language beyond that is a group alone."""
+    groups: list[list[str]] = []
+    keys = 0
+    for language in sorted(sizes):
+        keys += sizes[language]
+        if not groups or keys * (len(groups[-1]) + 1) > GROUP_NUMBERS:
+            groups.append([])
+            keys = sizes[language]
+        groups[-1].append(language)
+    return groups
+
+
 def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     """Models from each language's (sorted keys, counts) of ORDER-grams."""
+    groups = grouped({language: len(keys) for language, (keys, _) in counts.items()})
+    seen = [np.unique(keys & _CHARACTER) for keys, _ in counts.values()]
+    characters = len(np.unique(np.concatenate(seen))) if seen else 0
+    return Models([_group({x: counts[x] for x in own}, characters) for own in groups], {})
+
+
+def _group(counts: dict[str, tuple[np.ndarray, np.ndarray]], characters: int) -> Group:
+    """Models of some languages, over the characters of all and one unknown."""
     languages = sorted(counts)
     tables: list[list] = [[] for _ in range(ORDER + 1)]
     for language in languages:
@@ -143,8 +193,8 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
                 keys & np.uint64((1 << 16 * (order - 1)) - 1), return_counts=True
             )
     empty = np.zeros(0, np.uint64)
-    size = len(np.unique(np.concatenate([k for k, _ in tables[1]] or [empty]))) + 1
-    models = Models(languages, [empty], [], [empty], [], -float(np.log(size)), {})
+    size = characters + 1
+    models = Group(languages, [empty], [], [empty], [], -float(np.log(size)))
     models.log_p.append(np.zeros((0, len(languages)), np.float32))
     models.log_g.append(np.zeros((0, len(languages)), np.float32))
     lower = None
@@ -198,66 +248,84 @@ def fit(docs: DataFrame) -> Models:
     """Models from labelled documents that are not held out.
 
     About SAMPLE_DOCS documents of each language, those with the smallest
-    hashes of their ids; rarer languages give all they have. Each
-    CALIBRATION-th of them is left out of the counts and sets the limit of
-    cross-entropy beyond which a text is rejected.
+    hashes of their ids; rarer languages give all they have. Where a language
+    has CALIBRATED_DOCS of them, each CALIBRATION-th is left out of the counts:
+    the QUANTILE of their cross-entropies and a margin is the limit beyond which
+    a text is rejected. Other languages take over the widest of these limits.
+
+    More than MOST_LANGUAGES labels are an error. The counts of one group of
+    models at a time come to the driver.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
     ).select("doc_id", "lang", "text")
-    sizes = (
-        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    )
+    sizes = usable.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages are labelled")
     if not sizes:
         return build({})
     parts = 1 << 30
-    shares = F.create_map(
-        *[
-            F.lit(x)
-            for row in sizes
-            for x in (row["lang"], min(parts, parts * SAMPLE_DOCS // row["count"]))
-        ]
+    shares = spark.createDataFrame(
+        [
+            (r["lang"], min(parts, parts * SAMPLE_DOCS // r["count"]), r["count"] >= CALIBRATED_DOCS)
+            for r in sizes
+        ],
+        "lang string, share long, spares boolean",
     )
     mixed = F.xxhash64("doc_id", F.lit(3))
-    sample = usable.where(F.pmod(mixed, F.lit(parts)) < F.get(F.map_values(shares), F.array_position(F.map_keys(shares), F.col("lang")).cast("int") - 1))
-    calibrates = F.pmod(F.shiftright(mixed, 31), F.lit(CALIBRATION)) == 0
-    rows = (
+    sample = usable.join(F.broadcast(shares), "lang").where(F.pmod(mixed, F.lit(parts)) < F.col("share"))
+    calibrates = F.col("spares") & (F.pmod(F.shiftright(mixed, 31), F.lit(CALIBRATION)) == 0)
+    counts = stored(
         sample.where(~calibrates)
         .select("lang", "text")
         .mapInArrow(_count, "lang string, key long, n long")
         .groupBy("lang", "key")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+        .agg(F.sum("n").alias("n")),
+        folder := new_folder(spark, "language"),
     )
-    counts = {}
-    for language in rows["lang"].unique().to_pylist():
-        own = rows.filter(pa.compute.equal(rows["lang"], language))
-        keys = own["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        counts[language] = keys[order], own["n"].to_numpy()[order]
-    models = build(counts)
+    groups = grouped({r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()})
+    models = Models([], {})
+    last = F.col("key").bitwiseAND(F.lit(int(_CHARACTER)))
+    characters = counts.select(last).distinct().count()
+    for group in groups:
+        rows = counts.where(F.col("lang").isin(group)) if len(groups) > 1 else counts
+        table = rows.toArrow()
+        own = {}
+        for language in group:
+            mine = table.filter(pa.compute.equal(table["lang"], language))
+            keys = mine["key"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            own[language] = keys[order], mine["n"].to_numpy()[order]
+        models.groups.append(_group(own, characters))
+    removed(spark, folder)
     limits = (
         sample.where(calibrates)
         .select("lang", _entropies(models)("lang", "text").alias("e"))
         .groupBy("lang")
-        .agg(F.max("e").alias("e"))
+        .agg(F.percentile("e", F.lit(QUANTILE)).alias("e"))
         .collect()
     )
     models.limits = {r["lang"]: r["e"] + MARGIN for r in limits if r["e"] is not None}
+    widest = max(models.limits.values(), default=np.inf)
+    models.limits = dict.fromkeys(models.languages, widest) | models.limits
     return models
 
 
 def _entropies(models: Models):
+    languages = frozenset(models.languages)
+
     @F.arrow_udf(T.DoubleType())
     def entropies(langs: pa.Array, texts: pa.Array) -> pa.Array:
         out = []
         for lang, text in zip(langs.to_pylist(), texts, strict=True):
             codes = encode(text.as_py())
-            if lang not in models.languages or np.count_nonzero(codes) < MIN_LETTERS:
+            if lang not in languages or np.count_nonzero(codes) < MIN_LETTERS:
                 out.append(None)
                 continue
-            total = models.log_probability(codes)[models.languages.index(lang)]
+            group = next(g for g in models.groups if lang in g.languages)
+            total = group.log_probability(codes)[group.languages.index(lang)]
             out.append(-total / len(codes))
         return pa.array(out, pa.float64())
 
