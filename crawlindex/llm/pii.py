@@ -10,7 +10,10 @@ each candidate is linked to those similar to it themselves, so that no number
 of repeats outvotes them.
 
 The local, chain and skip potentials are log ratios of counts on a bounded
-sample of documents, with the base spans as labels (piecewise training).
+sample of documents (piecewise training). Base spans are the labels; the other
+candidates count with the probabilities that the field of the round before gives
+them (expectation maximisation). So a way of writing numbers that often repeats
+known phone numbers becomes one of phone numbers itself.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import new_folder, removed, stored
 from .shipping import ship
 
 KINDS = ("email", "ip", "card", "phone")
@@ -41,6 +45,12 @@ ROUNDS = 50  # of messages, after which steps get smaller until they converge
 CONVERGED = 1e-4
 PRIOR = 1.0  # count of each label assumed in advance
 PRIOR_OTHER = 10.0  # the same of other than personal data, for each shape
+PASSES = 3  # over the sample; in the first, candidates without a label are other
+AGREE = 5.0  # log odds that similar tokens have one label, before any is counted
+MOST_AGREE = 8.0
+MOST_CHAIN = 0.5  # neighbours in the text tell little
+_LITTLE = 1e-3  # probabilities that count for nothing
+_DIGITS = 6
 
 # The base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -111,13 +121,16 @@ class Node:
 
 
 def _shape(token: str) -> str:
-    """A few hundred shapes in all."""
+    """Digits, country sign, brackets, separators, dots, letters, check digit:
+    some 8,000 shapes can be made, a few dozen occur."""
     digits = _NOT_DIGIT.sub("", token)
     n = min(len(digits), 20)
-    marks = "".join(sorted({c for c in token if c in "+()-. /@_:"}))
-    words = "w" if re.search("[A-Za-z]", token) else ""
+    signs = ("+" if "+" in token else "") + ("(" if "(" in token else "")
+    apart = [c for c in " -/" if c in token]
+    between = apart[0] if len(apart) == 1 else "*" if apart or "_" in token or ":" in token else ""
+    words = "@" if "@" in token else "w" if re.search("[A-Za-z]", token) else ""
     check = "L" if 13 <= len(digits) <= 19 and luhn(digits) else ""
-    return f"{n}{marks}{min(token.count('.'), 4)}{words}{check}"
+    return f"{n}{signs}{between}{min(token.count('.'), 4)}{words}{check}"
 
 
 def _keys(token: str) -> tuple[str, ...]:
@@ -249,6 +262,16 @@ def added_spans(
     nodes = nodes_of(text, spans)
     if all(n.label is not None for n in nodes):
         return []
+    best = beliefs(nodes, potentials).argmax(1)
+    return [
+        (int(k), n.start, n.end)
+        for n, k in zip(nodes, best, strict=True)
+        if n.label is None and k != OTHER
+    ]
+
+
+def beliefs(nodes: list[Node], potentials: Potentials) -> np.ndarray:
+    """Probabilities of each node's labels; base spans have theirs."""
     local = np.stack([potentials.local.get(n.feature, potentials.other) for n in nodes])
     # A shape says half as much as one similar base span, at most. The rest is
     # more than the two neighbours in the text can say.
@@ -264,59 +287,82 @@ def added_spans(
                 local[i] += table[:, nodes[j].label]
             else:
                 links.append((i, j, table))
-    best = marginals(local, links).argmax(1)
-    return [
-        (int(k), n.start, n.end)
-        for n, k in zip(nodes, best, strict=True)
-        if n.label is None and k != OTHER
-    ]
-
+    found = marginals(local, links)
+    for i, node in enumerate(nodes):
+        if node.label is not None:
+            found[i] = np.eye(len(LABELS))[node.label]
+    return found
+
+
+def _count(potentials: Potentials | None):
+    """Counts of labels by shape and of pairs of labels by link; without
+    potentials a candidate without a label is other."""
+
+    def count_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[str, int, int]] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                nodes = nodes_of(text or "", base_spans(text or ""))
+                if not nodes:
+                    continue
+                if potentials:
+                    p = beliefs(nodes, potentials)
+                else:
+                    p = np.eye(len(LABELS))[[OTHER if n.label is None else n.label for n in nodes]]
+                for node, own in zip(nodes, p, strict=True):
+                    for label in np.flatnonzero(own > _LITTLE).tolist():
+                        counts["local " + node.feature, label, 0] += own[label]
+                for kind, links in zip(("chain", "skip"), _links(nodes), strict=True):
+                    for i, j in links:
+                        both = np.outer(p[i], p[j])
+                        for a, b in np.argwhere(both > _LITTLE).tolist():
+                            counts[kind, a, b] += both[a, b]
+        rows = [(*key, float(n)) for key, n in counts.items()]
+        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.float64())
+        yield pa.record_batch(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["what", "a", "b", "n"]
+        )
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[str, int, int]] = Counter()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            nodes = nodes_of(text or "", base_spans(text or ""))
-            labels = [OTHER if n.label is None else n.label for n in nodes]
-            for node, label in zip(nodes, labels, strict=True):
-                counts["local " + node.feature, label, 0] += 1
-            for kind, links in zip(("chain", "skip"), _links(nodes), strict=True):
-                for i, j in links:
-                    counts[kind, labels[i], labels[j]] += 1
-    rows = [(*key, n) for key, n in counts.items()]
-    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
-    yield pa.record_batch(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["what", "a", "b", "n"]
-    )
+    return count_
 
 
 def fit(docs: DataFrame) -> Potentials:
     """Potentials from about SAMPLE_DOCS documents, those with the smallest
-    hashes of their text; none are needed, then only priors count."""
-    ship(docs.sparkSession)
+    hashes of their id and text; none are needed, then only priors count."""
+    spark = docs.sparkSession
+    ship(spark)
     parts = 1 << 30
     share = min(parts, parts * SAMPLE_DOCS // max(1, docs.count()))
-    rows = (
-        docs.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(parts)) < share)
-        .select("text")
-        .mapInArrow(_count, "what string, a int, b int, n long")
-        .groupBy("what", "a", "b")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "what", "a", "b")
-        .limit(5_000)  # shapes are few; this bounds them in any text
-        .collect()
-    )
+    names = [c for c in ("doc_id", "text") if c in docs.columns]
+    chosen = F.pmod(F.xxhash64(*names, F.lit(5)), F.lit(parts)) < share
+    sample = stored(docs.where(chosen).select("text"), folder := new_folder(spark, "pii"))
+    potentials = None
+    for _ in range(PASSES):
+        rows = (
+            sample.mapInArrow(_count(potentials), "what string, a int, b int, n double")
+            .groupBy("what", "a", "b")
+            .agg(F.sum("n").alias("n"))
+            .collect()  # a row for each shape and label that occur, and for each pair of labels
+        )
+        potentials = _potentials(rows)
+    removed(spark, folder)
+    return potentials
+
+
+def _potentials(rows) -> Potentials:
     prior = np.array([PRIOR] * len(KINDS) + [PRIOR_OTHER])
     local: dict[str, np.ndarray] = {}
     pairs = {kind: np.full((len(LABELS), len(LABELS)), 0.0) for kind in ("chain", "skip")}
+    # Sums of doubles depend on their order in the last digits; those are cut.
     for row in rows:
+        n = round(row["n"], _DIGITS)
         if row["what"] in pairs:
-            pairs[row["what"]][row["a"], row["b"]] += row["n"]
-            pairs[row["what"]][row["b"], row["a"]] += row["n"]
+            pairs[row["what"]][row["a"], row["b"]] += n
+            pairs[row["what"]][row["b"], row["a"]] += n
         else:
             seen = local.setdefault(row["what"].removeprefix("local "), prior.copy())
-            seen[row["a"]] += row["n"]
+            seen[row["a"]] += n
     return Potentials(
         {k: np.log(n / n.sum()) for k, n in local.items()},
         np.log(prior / prior.sum()),
@@ -326,21 +372,25 @@ def fit(docs: DataFrame) -> Potentials:
 
 
 def _chain(pairs: np.ndarray) -> np.ndarray:
-    """Log ratio of a pair's frequency to that of its labels on their own. Weak
-    by its bounds, as neighbours in the text tell little."""
+    """Log ratio of a pair's frequency to that of its labels on their own."""
     joint = (pairs + PRIOR) / (pairs + PRIOR).sum()
     own = joint.sum(1)
-    return np.clip(np.log(joint / np.outer(own, own)), -0.5, 0.5)
+    return np.clip(np.log(joint / np.outer(own, own)), -MOST_CHAIN, MOST_CHAIN)
 
 
 def _skip(pairs: np.ndarray) -> np.ndarray:
-    """Similar tokens agree, the more surely the more often base spans did.
+    """Log odds that a token similar to one of a kind is of that kind, by how
+    often similar tokens were of one kind or of two.
 
-    Where they differ in the sample it is because patterns know no context,
-    which is what the field is to mend; so only agreement counts.
+    Pairs of a kind and other do not count against it: they are there because
+    patterns know no context, which is what the field is to mend. Tokens that
+    are other agree as kinds do in the middle.
     """
-    agreeing = pairs.trace() - pairs[OTHER, OTHER]
-    return np.eye(len(pairs)) * min(8.0, 5.0 + math.log1p(agreeing))
+    kinds = pairs[:OTHER, :OTHER]
+    agree = np.diag(kinds)
+    odds = np.log((agree + 1) / (kinds.sum(1) - agree + math.exp(-AGREE)))
+    odds = np.clip(odds, 0.0, MOST_AGREE)
+    return np.diag(np.append(odds, np.median(odds)))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

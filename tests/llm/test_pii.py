@@ -132,3 +132,74 @@ def test_overlapping_spans_leave_nothing():
 
 def test_empty_table(spark):
     assert pii.personal_data(documents(spark, [])).collect() == []
+
+
+def dotted(i):
+    return f"{200 + i % 700}.555.{1000 + i * 37 % 9000}"
+
+
+def test_another_sample_gives_other_spans(spark):
+    """Where dotted numbers often repeat known phone numbers, one on its own is
+    found too; where they stand alone, it is not."""
+    alone = (9000, "Reach us at 212.555.9182 any time.", None)
+    phones = [(i, f"call +1 {dotted(i).replace('.', ' ')} or {dotted(i)}", None) for i in range(200)]
+    parts = [(i, f"part {dotted(i)} in stock", None) for i in range(200)]
+    results = []
+    for rows in (phones, parts):
+        found = pii.personal_data(documents(spark, [*rows, alone])).collect()
+        results.append({r.doc_id: r for r in found})
+    learned, plain = results
+    assert learned[9000].spans == "phone:12:24" and plain[9000].spans == ""
+    assert all(learned[i].n_added == 1 and plain[i].n_added == 0 for i in range(200))
+
+
+def test_agreement_follows_from_the_counts():
+    """Tokens that come in two kinds part the kinds; others hold together."""
+    none = np.diag(pii._skip(np.zeros((5, 5))))
+    assert np.allclose(none, pii.AGREE)
+    pairs = np.zeros((5, 5))
+    pairs[3, 3], pairs[2, 2] = 200, 50
+    pairs[2, 3] = pairs[3, 2] = 50
+    got = np.diag(pii._skip(pairs))
+    assert got[2] == pytest.approx(np.log(51 / (50 + np.exp(-5)))) and got[3] > got[2]
+    pairs[:4, 4] = pairs[4, :4] = 1000  # with other ones
+    assert np.allclose(np.diag(pii._skip(pairs)), got)
+
+
+def test_fitted_counts_equal_those_of_a_loop(spark, monkeypatch):
+    """Shapes, chain and skip pairs of the first pass, text by text."""
+    monkeypatch.setattr(pii, "PASSES", 1)
+    from collections import Counter
+
+    counts = Counter()
+    for _, text, _ in rows():
+        nodes = pii.nodes_of(text or "", pii.base_spans(text or ""))
+        labels = [pii.OTHER if n.label is None else n.label for n in nodes]
+        for n, k in zip(nodes, labels, strict=True):
+            counts["local " + n.feature, k, 0] += 1
+        for kind, links in zip(("chain", "skip"), pii._links(nodes), strict=True):
+            for i, j in links:
+                counts[kind, labels[i], labels[j]] += 1
+    want = pii._potentials([{"what": w, "a": a, "b": b, "n": n} for (w, a, b), n in counts.items()])
+    got = pii.fit(documents(spark, rows()))
+    assert got.local.keys() == want.local.keys()
+    assert all(np.allclose(got.local[k], want.local[k]) for k in want.local)
+    assert np.allclose(got.chain, want.chain) and np.allclose(got.skip, want.skip)
+
+
+def test_a_hot_text_is_sampled_in_part(spark, monkeypatch):
+    """Copies of one text enter by their ids, not all or none."""
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 60)
+    hot = [(i, "call +1 743 555 3824", None) for i in range(300)]
+    counted = []
+    real = pii._potentials
+    monkeypatch.setattr(pii, "_potentials", lambda rows: counted.append(rows) or real(rows))
+    pii.fit(documents(spark, hot))
+    (n,) = {round(r["n"]) for r in counted[0] if r["what"].startswith("local")}
+    assert 30 < n < 100
+
+
+def test_shapes_are_few():
+    rng = random.Random(3)
+    tokens = ("".join(rng.choices("0123456789+()-. /@_:aZ", k=rng.randint(7, 30))) for _ in range(100_000))
+    assert len({pii._shape(t) for t in tokens}) < 8_000
