@@ -18,10 +18,11 @@ from hashlib import sha256
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import new_folder, removed, stored
+from ..operators.places import placed
+from ..storage import new_folder, stored
 from .shipping import ship
 
 ARITY = 3
@@ -238,39 +239,6 @@ def _descend(passes: list[DataFrame], tops: DataFrame, folder: str) -> DataFrame
     return above
 
 
-def _placed(rows: DataFrame, order: list[str], folder: str) -> DataFrame:
-    """`rows` with pos, their place in grp from 0 in the given order, and n, the
-    number of rows in grp; stored.
-
-    Rows are range partitioned, so a group of any size is spread over tasks;
-    just its counts in each of them meet. Rows equal in `order` follow the place
-    they are read at, which parts any number of them.
-    """
-    spark = rows.sparkSession
-    rows = stored(rows.withColumn("_tie", F.monotonically_increasing_id()), f"{folder}-rows")
-    keys = ["grp", *order, "_tie"]
-    spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
-    spread = stored(spread.withColumn("_at", F.monotonically_increasing_id()), f"{folder}-spread")
-    removed(spark, f"{folder}-rows")
-    part = F.shiftright("_at", 33).alias("_part")  # as the numbers are defined
-    counts = spread.groupBy("grp", part).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    counts = stored(counts, f"{folder}-counts")
-    earlier = Window.partitionBy("grp").orderBy("_part")
-    in_group = Window.partitionBy("grp")
-    starts = counts.select(
-        "grp",
-        "_part",
-        (F.sum("_n").over(earlier) - F.col("_n") - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(in_group).alias("n"),
-    )
-    placed = spread.withColumn("_part", part).join(starts, ["grp", "_part"])
-    placed = placed.withColumn("pos", F.col("_at") + F.col("_shift"))
-    placed = stored(placed.drop("_part", "_at", "_shift"), f"{folder}-placed")
-    removed(spark, f"{folder}-spread")
-    removed(spark, f"{folder}-counts")
-    return placed
-
-
 def proofs(
     rows: DataFrame, group: str, order: list[str], digest: str
 ) -> tuple[DataFrame, str | None]:
@@ -293,11 +261,11 @@ def proofs(
     by = [F.col(c).alias(f"_by{i}") for i, c in enumerate(order)]
     names = [f"_by{i}" for i in range(len(order))]
     leaves = rows.select(key, F.col(digest).alias("digest"), *by, F.struct("*").alias("row"))
-    leaves = _placed(leaves, [*names, "digest"], f"{folder}/leaves").drop(*names)
+    leaves = placed(leaves, "grp", [F.col(c) for c in (*names, "digest")], f"{folder}/leaves").drop(*names)
     passes = _climb(leaves, f"{folder}/up")
 
     subroots = passes[-1].select(F.lit("").alias("grp"), "digest", F.col("grp").alias("of"))
-    subroots = _placed(subroots, ["of"], f"{folder}/subroots")
+    subroots = placed(subroots, "grp", [F.col("of")], f"{folder}/subroots")
     tree = _climb(subroots, f"{folder}/tree")
     root = tree[-1].first()
     whole = spark.range(1).select(

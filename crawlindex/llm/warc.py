@@ -39,6 +39,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from ..sources.gzip_records import opened
 from ..storage import new_folder
 from .shipping import ship
 
@@ -66,10 +67,8 @@ _DATE = "1970-01-01T00:00:00Z"  # captures carry no time here; equal runs give e
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI, or of a local path."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    """File system and path of a Hadoop location, as `spark.checkpoint.dir` has it."""
+    return opened(path)
 
 
 def digest_of(payload: bytes) -> str:

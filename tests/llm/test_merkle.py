@@ -129,7 +129,7 @@ def test_proofs_lead_to_the_root(spark):
 def test_hot_source_is_spread(spark):
     """Range partitions hold a share of a source each; places have no gap."""
     rows = spark.range(20_000).selectExpr("'hot' AS grp", "(id * 7919) % 20011 AS k", "hex(id) AS digest")
-    placed = merkle._placed(rows, ["k"], merkle.new_folder(spark, "test"))
+    placed = merkle.placed(rows, "grp", [merkle.F.col("k")], merkle.new_folder(spark, "test"))
     places = [r.pos for r in placed.orderBy("k").select("pos").collect()]
     assert places == list(range(20_000))
     assert {r.n for r in placed.select("n").distinct().collect()} == {20_000}

@@ -120,3 +120,18 @@ def test_large_files_are_read_in_shares(spark, monkeypatch):
     read = warc.read_warc(spark, path)
     assert read.rdd.getNumPartitions() == 2
     assert read.agg(F.count("*")).first()[0] == len(rows())
+
+
+def test_locations_of_a_cluster(monkeypatch):
+    """The usual form of spark.checkpoint.dir on S3 is known."""
+    from crawlindex.sources import gzip_records
+
+    asked = []
+
+    class Stores:
+        class FileSystem:
+            from_uri = asked.append
+
+    monkeypatch.setattr(gzip_records, "fs", Stores)
+    warc._open("s3a://bucket/shared/warc-1")
+    assert asked == ["s3://bucket/shared/warc-1"]
