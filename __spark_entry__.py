@@ -32,6 +32,7 @@ except ImportError as missing:
     llm_queries = None
 
 ROUNDS = 20  # of the ranks all queries but page_rank_tol use
+EARLY_ROUNDS = 3  # of an earlier version of the ranks
 WORD = "en"
 BLOCK_ROWS = 400  # of the array forms, so that frequent keywords have several blocks
 LINK_BLOCK_ROWS = 50
@@ -323,6 +324,38 @@ def search_replaced(spark, sf_dir):
     return top.select("query", "uri", _rounded("score"), "total")
 
 
+def _numbered_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """An index without ranks, and two versions of ranks beside it: after few
+    rounds, and those that all queries use."""
+
+    def make() -> tuple[str, str]:
+        versions, path = new_folder(spark, "versions"), new_folder(spark, "index")
+        early = ci.domain_ranks(_wat(spark, sf_dir), tol=None, max_iter=EARLY_ROUNDS)
+        ci.write_ranks(early, versions)
+        domains = ci.read_domains(spark, versions)
+        ci.write_index(ci.numbered_postings(_wet(spark, sf_dir), domains), path, buckets=16)
+        ci.write_ranks(_ranks(spark, sf_dir), versions)
+        return path, versions
+
+    path, versions = _once(spark, sf_dir, "numbered", make)
+    return ci.read_index(spark, path), versions
+
+
+def search_renewed_ranks(spark, sf_dir):
+    """The same index files, with the ranks of the later version."""
+    index, versions = _numbered_index(spark, sf_dir)
+    index = ci.with_ranks(index, ci.read_ranks(spark, versions))
+    top = ci.search(index, _batch(spark, sf_dir), normalize=True)
+    return top.select("query", "uri", _rounded("score"))
+
+
+def search_earlier_ranks(spark, sf_dir):
+    index, versions = _numbered_index(spark, sf_dir)
+    index = ci.with_ranks(index, ci.read_ranks(spark, versions, 0))
+    top = ci.search(index, _batch(spark, sf_dir), normalize=True)
+    return top.select("query", "uri", _rounded("score"))
+
+
 def index_stats(spark, sf_dir):
     return ci.index_stats(ci.wet_pages(_wet(spark, sf_dir)), _index(spark, sf_dir))
 
@@ -424,7 +457,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             page_rank, page_rank_tol, page_rank_residual, top_domains, rank_names, ranked_pages,
             tokens, term_counts, page_keywords,
             index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
-            index_replaced, index_compacted, search_replaced, index_stats,
+            index_replaced, index_compacted, search_replaced,
+            search_renewed_ranks, search_earlier_ranks, index_stats,
             keyword_lookup, search_scores, search_top20, search_formatted,
             search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
             search_early_stop, search_early_stop_batch,
@@ -517,8 +551,13 @@ steps(step, domain, rank) AS (
 
 _SCALED = """domain, rank * count(*) OVER () / sum(rank) OVER () AS "pageRank" FROM steps"""
 
-_RANKS = f"""{_rank_ctes(ROUNDS)},
-ranks AS (SELECT {_SCALED} WHERE step = {ROUNDS})"""
+def _ranks_after(rounds: int) -> str:
+    return f"""{_rank_ctes(rounds)},
+ranks AS (SELECT {_SCALED} WHERE step = {rounds})"""
+
+
+_RANKS = _ranks_after(ROUNDS)
+_EARLY_RANKS = _ranks_after(EARLY_ROUNDS)
 
 _INDEX = f"""{_RANKS},{_TOKENS},
 postings AS (
@@ -593,6 +632,9 @@ def _totals(hits: str, index: str = _INDEX) -> str:
     return _search(hits, index=index).replace("AS score FROM placed", "AS score, total FROM placed")
 
 
+_BATCH_SCORES = f"""SELECT query, uri, occurences * page_rank AS score
+FROM batch JOIN postings ON keyword = {_keyword('query')}"""
+
 _BATCH_HITS = f"""SELECT query, uri, occurences * page_rank AS score,
     count(*) OVER (PARTITION BY query) AS total
 FROM batch JOIN postings ON keyword = {_keyword('query')}"""
@@ -701,6 +743,10 @@ def oracle_sql() -> dict[str, str]:
         "index_table": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
         "index_replaced": f"WITH RECURSIVE {_REPLACED} SELECT {posting} FROM live",
         "index_compacted": f"WITH RECURSIVE {_REPLACED} SELECT {posting} FROM live",
+        "search_renewed_ranks": _search(_BATCH_SCORES),
+        "search_earlier_ranks": _search(
+            _BATCH_SCORES, index=_INDEX.replace(_RANKS, _EARLY_RANKS)
+        ),
         "search_replaced": _totals(
             _BATCH_HITS.replace("JOIN postings", "JOIN live"), _REPLACED
         ),
@@ -717,10 +763,7 @@ def oracle_sql() -> dict[str, str]:
         "search_formatted": _search(
             f"SELECT * FROM ({_SCORED}) WHERE query IN ({_WORD_LIST})"
         ).replace("round(score, 6) AS score", "printf('%.4f', score) AS score_text"),
-        "search_batch": _search(
-            f"""SELECT query, uri, occurences * page_rank AS score
-            FROM batch JOIN postings ON keyword = {_keyword('query')}"""
-        ),
+        "search_batch": _search(_BATCH_SCORES),
         "search_hit_counts": f"""WITH RECURSIVE {_INDEX}
             SELECT query, count(uri) AS hits
             FROM batch LEFT JOIN postings ON keyword = query GROUP BY query""",

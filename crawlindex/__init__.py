@@ -45,11 +45,19 @@ from .operators.search import (
 from .plans.jobs import (
     build_index,
     domain_ranks,
+    numbered_postings,
     ranked_postings,
     unranked_postings,
 )
 from .sources.impact_store import ImpactIndex, read_impact_index, write_impact_index
 from .sources.index_store import create_index_table, read_index, write_index
+from .sources.rank_store import (
+    rank_versions,
+    read_domains,
+    read_ranks,
+    with_ranks,
+    write_ranks,
+)
 from .sources.segment_store import (
     append_segment,
     compact_segments,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.fixed_values import STOP_WORDS
 from ..functions.urls import url_host
@@ -47,6 +48,23 @@ def ranked_postings(
     return postings(term_counts(pages, stop_words))
 
 
+def numbered_postings(
+    wet_records: DataFrame,
+    domains: DataFrame,
+    domain: Callable[[Column], Column] = url_host,
+    stop_words: Sequence[str] = STOP_WORDS,
+) -> DataFrame:
+    """`keyword, uri, occurences, domain_index` of the pages whose domain has a
+    number in `domains` (index, domain): an index of them is given its ranks at
+    look-up, by `with_ranks`. Pass stored domains, as `read_domains` does."""
+    numbers = domains.select(F.col("index").alias("domain_index"), "domain")
+    pages = wet_pages(wet_records, domain).join(numbers, "domain")
+    counts = term_counts(pages.select("uri", "domain_index", "text"), stop_words)
+    return counts.select(
+        "keyword", "uri", F.col("keyword_weight").alias("occurences"), "domain_index"
+    )
+
+
 def unranked_postings(
     wet_records: DataFrame, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:

@@ -17,34 +17,20 @@ from pyspark.sql import functions as F
 
 from ..storage import new_folder, removed, stored
 from .index_store import FILE_ROWS, bucket_count, marked, write_index
+from .marks import BASE, complete, marked_numbers
 
 _PAGES, _POSTINGS, _REPLACED = KINDS = "pages", "postings", "replaced"
-_BASE = ".base"  # ends the mark of a compacted segment, which all earlier ones are in
 
 
 def _folder(path: str, kind: str, segment: int) -> str:
     return f"{path}/{kind}/segment={segment}"
 
 
-def _matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the files and folders a glob finds."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    store = found.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in store.globStatus(found) or []]
-
-
-def _complete(spark: SparkSession, path: str, segment: int, base: bool = False) -> None:
-    """Let a segment count: one empty file, which is there at once or not at all."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/complete/{segment}{_BASE if base else ''}")
-    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark).close()
-
-
 def segments(spark: SparkSession, path: str) -> list[int]:
     """The segments that count, oldest first: from the last compacted one on."""
-    marks = _matching(spark, f"{path}/complete/*")
-    numbers = sorted(int(m.removesuffix(_BASE)) for m in marks)
-    base = max((int(m.removesuffix(_BASE)) for m in marks if m.endswith(_BASE)), default=0)
-    return [n for n in numbers if n >= base]
+    marks = marked_numbers(spark, f"{path}/complete")
+    base = max((number for number, is_base in marks if is_base), default=0)
+    return [number for number, _ in marks if number >= base]
 
 
 def append_segment(
@@ -76,7 +62,7 @@ def append_segment(
         replaced = earlier.join(uris, "uri", "left_semi")
         replaced = replaced.select("uri", F.col("segment").alias("of"))
         replaced.write.parquet(_folder(path, _REPLACED, segment))
-    _complete(spark, path, segment)
+    complete(spark, f"{path}/complete", segment)
     return segment
 
 
@@ -149,10 +135,10 @@ def compact_segments(spark: SparkSession, path: str, file_rows: int = FILE_ROWS)
     postings = live.drop("bucket")
     _write_postings(postings, _folder(path, _POSTINGS, segment), bucket_count(live), file_rows)
     read_pages(spark, path).select("uri").write.parquet(_folder(path, _PAGES, segment))
-    _complete(spark, path, segment, base=True)
+    complete(spark, f"{path}/complete", segment, base=True)
     for old in there:
         for kind in KINDS:
             removed(spark, _folder(path, kind, old))
-        for mark in (f"{old}", f"{old}{_BASE}"):
+        for mark in (f"{old}", f"{old}{BASE}"):
             removed(spark, f"{path}/complete/{mark}")
     return segment

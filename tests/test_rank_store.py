@@ -1,0 +1,82 @@
+"""Versions of ranks beside an index that stays as it is."""
+
+from pathlib import Path
+
+import pytest
+
+from crawlindex import (
+    keyword_lookup,
+    numbered_postings,
+    rank_versions,
+    read_domains,
+    read_index,
+    read_ranks,
+    search,
+    with_ranks,
+    write_index,
+    write_ranks,
+)
+from crawlindex.sources import rank_store
+from test_warc import records, wet_record
+
+
+def ranks(spark, **values):
+    return spark.createDataFrame(list(values.items()), "domain string, pageRank double")
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def files(path):
+    return sorted((str(p), p.stat().st_mtime_ns) for p in Path(path).rglob("*") if p.is_file())
+
+
+def test_renewed_ranks_change_no_index_file(spark, tmp_path):
+    path, index_path = str(tmp_path / "ranks"), str(tmp_path / "index")
+    assert write_ranks(ranks(spark, a=1.0, b=2.0, c=0.5), path) == 0
+    crawl = records(
+        spark,
+        wet_record("http://a/1", "spark spark"),
+        wet_record("http://b/1", "spark"),
+        wet_record("http://c/1", "spark"),
+        wet_record("http://none/1", "spark"),
+    )
+    write_index(numbered_postings(crawl, read_domains(spark, path)), index_path, buckets=2)
+    index, before = read_index(spark, index_path), files(index_path)
+
+    def found(version=None):
+        return [(r.uri, r.score) for r in search(with_ranks(index, read_ranks(spark, path, version)), "spark").collect()]
+
+    assert found() == [("http://a/1", 2.0), ("http://b/1", 2.0), ("http://c/1", 0.5)]
+    # b falls, c is gone, d is new: numbers stay.
+    old = dict(map(reversed, rows(read_domains(spark, path))))
+    assert write_ranks(ranks(spark, a=1.5, b=0.25, d=9.0), path) == 1
+    new = dict(map(reversed, rows(read_domains(spark, path))))
+    assert {d: new[d] for d in old} == old and new["d"] == 3
+    assert found() == [("http://a/1", 3.0), ("http://b/1", 0.25)]
+    assert found(0) == [("http://a/1", 2.0), ("http://b/1", 2.0), ("http://c/1", 0.5)]
+    assert files(index_path) == before and rank_versions(spark, path) == [0, 1]
+
+
+def test_look_ups_prune_below_the_join(spark, tmp_path):
+    path = str(tmp_path / "ranks")
+    write_ranks(ranks(spark, a=1.0), path)
+    crawl = records(spark, wet_record("http://a/1", "spark join"))
+    write_index(numbered_postings(crawl, read_domains(spark, path)), str(tmp_path / "index"), buckets=2)
+    index = with_ranks(read_index(spark, str(tmp_path / "index")), read_ranks(spark, path))
+    plan = keyword_lookup(index, "spark")._jdf.queryExecution().toString()
+    assert "EqualTo(keyword,spark)" in plan and "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_a_failed_version_is_not_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ranks")
+    with pytest.raises(FileNotFoundError):
+        read_ranks(spark, path)
+    write_ranks(ranks(spark, a=1.0), path)
+    with monkeypatch.context() as patch:
+        patch.setattr(rank_store, "complete", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write_ranks(ranks(spark, a=2.0, b=1.0), path)
+    assert rows(read_ranks(spark, path)) == [(0, 1.0)]
+    assert write_ranks(ranks(spark, a=3.0), path) == 1 and rows(read_ranks(spark, path)) == [(0, 3.0)]

@@ -85,14 +85,14 @@ def test_a_failed_write_changes_nothing(spark, tmp_path, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(segment_store, "_complete", fail)
+        patch.setattr(segment_store, "complete", fail)
         with pytest.raises(OSError, match="lost"):
             append_segment(newer, newer_pages, path)
     assert rows_of(read_segments(spark, path)) == sorted(rows)
     append_segment(newer, newer_pages, path)
     live = rows_of(read_segments(spark, path))
     with monkeypatch.context() as patch:
-        patch.setattr(segment_store, "_complete", fail)
+        patch.setattr(segment_store, "complete", fail)
         with pytest.raises(OSError, match="lost"):
             compact_segments(spark, path)
     assert rows_of(read_segments(spark, path)) == live and segments(spark, path) == [0, 1]
