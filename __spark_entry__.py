@@ -193,6 +193,35 @@ def edge_multiplicity(spark, sf_dir):
     return ci.edge_multiplicity(ci.link_edges(_links(spark, sf_dir)))
 
 
+def _updated_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts after two crawls. In the first, pages with an even number have the
+    links of the next page; the second holds these pages as they are."""
+
+    def make() -> str:
+        path = new_folder(spark, "graph")
+        numbers = spark.read.parquet(f"{sf_dir}/pages.parquet")
+        numbers = numbers.select("page_id", F.col("url").alias("uri"))
+        pages = stored(ci.wat_pages(_wat(spark, sf_dir)).join(numbers, "uri"), f"{path}/wat")
+        even = F.col("page_id") % 2 == 0
+        following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("metadata").alias("next"))
+        metadata = F.when(even, F.coalesce("next", "metadata")).otherwise(F.col("metadata"))
+        first = pages.join(following, "page_id", "left").withColumn("metadata", metadata)
+        for crawl in (first, pages.where(even)):
+            ci.update_link_graph(crawl, path)
+        return path
+
+    return ci.read_link_graph(spark, _once(spark, sf_dir, "graph", make))
+
+
+def graph_updated(spark, sf_dir):
+    counts = _updated_graph(spark, sf_dir)
+    return ci.edges_of(counts, ci.vertices_of(counts))
+
+
+def vertices_updated(spark, sf_dir):
+    return ci.vertices_of(_updated_graph(spark, sf_dir))
+
+
 def out_degree(spark, sf_dir):
     counts = ci.host_counts(_links(spark, sf_dir))
     return ci.out_degree(ci.edges_of(counts, ci.vertices_of(counts)))
@@ -453,7 +482,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             scan_wet, scan_wat, scan_gzip_wet, scan_gzip_wat, warc_headers, wet_pages, wat_pages,
             url_host, domain_pattern, top_level_domain, absolute_links,
             page_links, link_hosts, domain_link_lists, domain_index,
-            link_edges, link_vertices, edge_multiplicity, out_degree,
+            link_edges, link_vertices, edge_multiplicity, graph_updated, vertices_updated,
+            out_degree,
             page_rank, page_rank_tol, page_rank_residual, top_domains, rank_names, ranked_pages,
             tokens, term_counts, page_keywords,
             index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
@@ -697,6 +727,9 @@ def oracle_sql() -> dict[str, str]:
         "link_vertices": f"WITH {_LINKS} SELECT domain FROM vertices",
         "edge_multiplicity": f"""WITH {_LINKS}
             SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst""",
+        "graph_updated": f"""WITH {_LINKS}
+            SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst""",
+        "vertices_updated": f"WITH {_LINKS} SELECT domain FROM vertices",
         "out_degree": f"""WITH {_LINKS}
             SELECT src, count(*) AS out_degree FROM edges GROUP BY src""",
         "page_rank": f"""WITH RECURSIVE {_RANKS}
