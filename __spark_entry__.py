@@ -389,6 +389,24 @@ def index_stats(spark, sf_dir):
     return ci.index_stats(ci.wet_pages(_wet(spark, sf_dir)), _index(spark, sf_dir))
 
 
+def index_estimates(spark, sf_dir):
+    """Sketches of two writes, merged; told by the exact numbers whether the
+    estimates are within the error they are given with."""
+    index, path = _index(spark, sf_dir), new_folder(spark, "sketches")
+    second = F.md5("uri") >= "8"
+    for part in (~second, second):
+        ci.add_sketches(index.where(part), path)
+    exact = index.agg(
+        F.count("*").alias("keywords_total"),
+        F.count_distinct("keyword").alias("keywords_distinct"),
+        F.count_distinct("uri").alias("uris_distinct"),
+    )
+    exact = exact.unpivot([], exact.columns, "metric", "exact")
+    close = F.abs(F.col("value") - F.col("exact")) <= F.col("exact") * ci.SKETCH_ERROR
+    found = ci.estimated_stats(spark, path).join(exact, "metric")
+    return found.select("metric", "exact", close.alias("within_error"))
+
+
 # --- search ------------------------------------------------------------------
 
 
@@ -421,6 +439,18 @@ def search_batch(spark, sf_dir):
     return top.select("query", "uri", _rounded("score"))
 
 
+def hit_counts_bloom(spark, sf_dir):
+    """Words, some of which miss, on files with Bloom filters."""
+
+    def make() -> str:
+        path = new_folder(spark, "bloom")
+        ci.write_index(_index(spark, sf_dir).drop("bucket"), path, buckets=16, bloom=True)
+        return path
+
+    index = ci.read_index(spark, _once(spark, sf_dir, "bloom", make))
+    return ci.hit_counts(index, WORDS)
+
+
 def search_hit_counts(spark, sf_dir):
     return ci.hit_counts(_index(spark, sf_dir), _batch(spark, sf_dir))
 
@@ -488,10 +518,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             tokens, term_counts, page_keywords,
             index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
             index_replaced, index_compacted, search_replaced,
-            search_renewed_ranks, search_earlier_ranks, index_stats,
+            search_renewed_ranks, search_earlier_ranks, index_stats, index_estimates,
             keyword_lookup, search_scores, search_top20, search_formatted,
             search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
-            search_early_stop, search_early_stop_batch,
+            search_early_stop, search_early_stop_batch, hit_counts_bloom,
         )
     }
     if llm_queries is None:
@@ -787,6 +817,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'records' AS metric, count(*) AS value FROM captures
             UNION ALL SELECT 'keywords_total', count(*) FROM postings
             UNION ALL SELECT 'keywords_distinct', count(DISTINCT keyword) FROM postings""",
+        "index_estimates": f"""WITH RECURSIVE {_INDEX}
+            SELECT 'keywords_total' AS metric, count(*) AS exact, true AS within_error
+            FROM postings
+            UNION ALL SELECT 'keywords_distinct', count(DISTINCT keyword), true FROM postings
+            UNION ALL SELECT 'uris_distinct', count(DISTINCT uri), true FROM postings""",
+        "hit_counts_bloom": f"""WITH RECURSIVE {_INDEX}
+            SELECT query, count(uri) AS hits FROM (SELECT unnest([{_WORD_LIST}]) AS query)
+            LEFT JOIN postings ON keyword = query GROUP BY query""",
         "keyword_lookup": f"""WITH RECURSIVE {_INDEX}
             SELECT {posting} FROM postings WHERE keyword = '{WORD}'""",
         "search_scores": f"""WITH RECURSIVE {_INDEX}

@@ -66,6 +66,8 @@ from .sources.segment_store import (
     read_segments,
     segments,
 )
+from .sources.sketch_store import ERROR as SKETCH_ERROR
+from .sources.sketch_store import add_sketches, estimated_stats, merged_sketches
 from .sources.warc import (
     header_field,
     header_fields,

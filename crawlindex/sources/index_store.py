@@ -36,6 +36,7 @@ def write_index(
     buckets: int | None = None,
     mode: str = "errorifexists",
     file_rows: int = FILE_ROWS,
+    bloom: bool = False,
 ) -> None:
     """Write postings, ranked or not, for look-up by keyword.
 
@@ -49,6 +50,10 @@ def write_index(
     would miss what lies in other buckets. The number is in the Parquet schema,
     where readers find it.
 
+    With `bloom` files carry Bloom filters of their keywords: a look-up of a few
+    words skips the row groups that lack them, also where a missing word lies
+    between the words that are there.
+
     The postings are written to the shared folder first, so that counting them
     and finding the ranges does not work them out anew.
     """
@@ -65,11 +70,13 @@ def write_index(
     keyword = marked("keyword", buckets)
     others = [c for c in postings.columns if c != "keyword"]
     files = max(buckets, -(-rows // file_rows))
+    filters = {"parquet.bloom.filter.enabled#keyword": "true"} if bloom else {}
     (
         table.select(keyword, *others, bucket_of("keyword", buckets).alias("bucket"))
         .repartitionByRange(files, "bucket", "keyword", F.xxhash64("uri"))
         .sortWithinPartitions("bucket", "keyword")
         .write.mode(mode)
+        .options(**filters)
         .partitionBy("bucket")
         .parquet(path)
     )

@@ -1,0 +1,57 @@
+"""Sketches of distinct counts, and Bloom filters of keywords."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawlindex import SKETCH_ERROR, add_sketches, estimated_stats, hit_counts, keyword_lookup, merged_sketches, read_index, write_index
+from test_impact import scanned
+
+
+def postings(spark, start, end, words):
+    return spark.range(start, end).selectExpr(
+        f"concat('w', id % {words}) AS keyword", "concat('u', id div 10) AS uri", "1 AS occurences", "1.0D AS page_rank"
+    )
+
+
+def values(spark, path):
+    return {r.metric: r.value for r in estimated_stats(spark, path).collect()}
+
+
+@pytest.mark.parametrize("words", [3, 1000, 70_000])
+def test_estimates_over_writes_that_overlap(spark, tmp_path, words):
+    path = str(tmp_path / "s")
+    parts = [postings(spark, 0, 60_000, words), postings(spark, 40_000, 100_000, words)]
+    for part in parts:
+        add_sketches(part, path, buckets=4)
+    both = parts[0].union(parts[1])
+    found = values(spark, path)
+    assert found["keywords_total"] == 120_000
+    for name, column in (("keywords_distinct", "keyword"), ("uris_distinct", "uri")):
+        exact = both.select(column).distinct().count()
+        assert abs(found[name] - exact) <= SKETCH_ERROR * exact
+    merged = merged_sketches(spark, path).collect()
+    assert len(merged) == min(4, len(merged)) and sum(r.n for r in merged) == 120_000
+    assert SKETCH_ERROR < 0.05
+
+
+def test_sketches_of_nothing(spark, tmp_path):
+    add_sketches(postings(spark, 0, 0, 1), str(tmp_path / "s"))
+    assert values(spark, str(tmp_path / "s")) == {"keywords_total": 0, "keywords_distinct": 0, "uris_distinct": 0}
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    """A missing word between those that are there is looked up without reading
+    a row, where words are too many for Parquet's dictionary; look-ups find the
+    same."""
+    many = postings(spark, 0, 200_000, 200_000)
+    missing = ["w100000x", "w150000x", "w50000x"]
+    rows = {}
+    for bloom in (False, True):
+        path = str(tmp_path / str(bloom))
+        write_index(many, path, buckets=1, bloom=bloom)
+        index = read_index(spark, path)
+        rows[bloom] = scanned(keyword_lookup(index, missing), str(bloom))
+        counts = {r.query: r.hits for r in hit_counts(index, ["w1", "w199999", *missing]).collect()}
+        assert counts == {"w1": 1, "w199999": 1} | dict.fromkeys(missing, 0)
+        assert index.agg(F.count("*")).first()[0] == 200_000
+    assert rows[True] == 0 < rows[False]
