@@ -36,6 +36,7 @@ EARLY_ROUNDS = 3  # of an earlier version of the ranks
 WORD = "en"
 BLOCK_ROWS = 400  # of the array forms, so that frequent keywords have several blocks
 LINK_BLOCK_ROWS = 50
+PACKED_ROWS = 128
 GZIP_BYTES = 20_000  # a task, so that the small files have many ranges
 IMPACT_ROWS = 64  # of the impact-ordered index, so that results come from several blocks
 FIXED_POINT_ROUNDS = 200  # of the oracle; what is left then is below 1e-13
@@ -389,6 +390,27 @@ def index_stats(spark, sf_dir):
     return ci.index_stats(ci.wet_pages(_wet(spark, sf_dir)), _index(spark, sf_dir))
 
 
+def _packed_index(spark: SparkSession, sf_dir: str):
+    def make() -> str:
+        path = new_folder(spark, "packed")
+        postings = _index(spark, sf_dir).drop("bucket")
+        ci.write_packed_index(postings, path, buckets=16, block_rows=PACKED_ROWS)
+        return path
+
+    return ci.read_packed_index(spark, _once(spark, sf_dir, "packed", make))
+
+
+def index_packed(spark, sf_dir):
+    """All postings, coded and decoded."""
+    index = ci.unpacked(_packed_index(spark, sf_dir))
+    return index.select("keyword", "uri", "occurences", _rounded("page_rank"))
+
+
+def lookup_packed(spark, sf_dir):
+    hits = ci.unpacked(_packed_index(spark, sf_dir), WORDS)
+    return hits.select("keyword", "uri", "occurences", _rounded("page_rank"))
+
+
 def index_estimates(spark, sf_dir):
     """Sketches of two writes, merged; told by the exact numbers whether the
     estimates are within the error they are given with."""
@@ -519,6 +541,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             index_unranked, index_ranked, postings_by_position, index_roundtrip, index_table,
             index_replaced, index_compacted, search_replaced,
             search_renewed_ranks, search_earlier_ranks, index_stats, index_estimates,
+            index_packed, lookup_packed,
             keyword_lookup, search_scores, search_top20, search_formatted,
             search_batch, search_hit_counts, search_multi, search_totals, search_multi_batch,
             search_early_stop, search_early_stop_batch, hit_counts_bloom,
@@ -817,6 +840,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'records' AS metric, count(*) AS value FROM captures
             UNION ALL SELECT 'keywords_total', count(*) FROM postings
             UNION ALL SELECT 'keywords_distinct', count(DISTINCT keyword) FROM postings""",
+        "index_packed": f"WITH RECURSIVE {_INDEX} SELECT {posting} FROM postings",
+        "lookup_packed": f"""WITH RECURSIVE {_INDEX}
+            SELECT {posting} FROM postings WHERE keyword IN ({_WORD_LIST})""",
         "index_estimates": f"""WITH RECURSIVE {_INDEX}
             SELECT 'keywords_total' AS metric, count(*) AS exact, true AS within_error
             FROM postings

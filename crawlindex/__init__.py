@@ -52,6 +52,7 @@ from .plans.jobs import (
 from .sources.graph_store import crawls, page_host_counts, read_link_graph, update_link_graph
 from .sources.impact_store import ImpactIndex, read_impact_index, write_impact_index
 from .sources.index_store import create_index_table, read_index, write_index
+from .sources.packed_store import read_packed_index, unpacked, write_packed_index
 from .sources.rank_store import (
     rank_versions,
     read_domains,
