@@ -275,15 +275,21 @@ def fit(docs: DataFrame) -> Models:
         "lang string, share long, spares boolean",
     )
     mixed = F.xxhash64("doc_id", F.lit(3))
-    sample = usable.join(F.broadcast(shares), "lang").where(F.pmod(mixed, F.lit(parts)) < F.col("share"))
     calibrates = F.col("spares") & (F.pmod(F.shiftright(mixed, 31), F.lit(CALIBRATION)) == 0)
+    folder = new_folder(spark, "language")
+    sample = stored(  # what all further passes read
+        usable.join(F.broadcast(shares), "lang")
+        .where(F.pmod(mixed, F.lit(parts)) < F.col("share"))
+        .select("lang", "text", calibrates.alias("calibrates")),
+        f"{folder}/sample",
+    )
     counts = stored(
-        sample.where(~calibrates)
+        sample.where(~F.col("calibrates"))
         .select("lang", "text")
         .mapInArrow(_count, "lang string, key long, n long")
         .groupBy("lang", "key")
         .agg(F.sum("n").alias("n")),
-        folder := new_folder(spark, "language"),
+        f"{folder}/counts",
     )
     groups = grouped({r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()})
     models = Models([], {})
@@ -299,14 +305,14 @@ def fit(docs: DataFrame) -> Models:
             order = np.argsort(keys)
             own[language] = keys[order], mine["n"].to_numpy()[order]
         models.groups.append(_group(own, characters))
-    removed(spark, folder)
     limits = (
-        sample.where(calibrates)
+        sample.where("calibrates")
         .select("lang", _entropies(models)("lang", "text").alias("e"))
         .groupBy("lang")
         .agg(F.percentile("e", F.lit(QUANTILE)).alias("e"))
         .collect()
     )
+    removed(spark, folder)
     models.limits = {r["lang"]: r["e"] + MARGIN for r in limits if r["e"] is not None}
     widest = max(models.limits.values(), default=np.inf)
     models.limits = dict.fromkeys(models.languages, widest) | models.limits
