@@ -1,3 +1,5 @@
+import random
+
 from llm_data import documents, prose, texts
 
 from crawlindex.llm import licenses
@@ -43,3 +45,80 @@ def test_every_row(spark):
         (True, "MIT", 2, 32, True),
     ]
     assert licenses.license_notices(documents(spark, [])).collect() == []
+
+
+def test_enough_templates_and_whole_texts():
+    assert len(licenses.TEMPLATES) >= 35
+    assert sum(len(w.split()) > 60 for w, _ in licenses.TEMPLATES.values()) >= 5
+    assert max(len(w.split()) for w, _ in licenses.TEMPLATES.values()) < licenses.WIDE[1]
+
+
+def test_wordings_beyond_the_usual_words():
+    """Notices in other words, spellings and versions than the templates'."""
+    for text, name in {
+        "All rights are reserved by Foo.": "all rights reserved",
+        "It is governed by the Apache 2.0 licence.": "Apache-2.0 short",
+        "See the GNU Lesser General Public License, v2.1 here.": "LGPL-2.1",
+        "Under GNU Affero General Public Licence v3": "AGPL-3.0",
+        "Parts come with the ISC licence": "ISC name",
+    }.items():
+        assert [n for n, *_ in found(text)] == [name], text
+    both = found("ISC License and GNU Lesser General Public License v2.1")
+    assert [n for n, *_ in both] == ["ISC name", "LGPL-2.1"]
+    for text in ("A lesser general of the public", "all the rights we had", "an apache helicopter license plate"):
+        assert found(text) == []
+
+
+def test_whole_text_with_changes_in_prose():
+    """A license text of 170 words with a few words changed is one finding."""
+    wording = licenses.TEMPLATES["MIT text"][0].replace("persons", "people").replace("OR COPYRIGHT HOLDERS", "OR THE HOLDERS")
+    text = f"{prose(1, 2000)} {wording} {prose(2, 2000)}"
+    [(name, where, missing, added)] = found(text)
+    assert name == "MIT text" and where.startswith("Permission is") and where.endswith("IN THE SOFTWARE")
+    assert set(missing.split()) == {"persons", "copyright"} and set(added.split()) == {"people", "the"}
+
+
+def lcs(a, b):
+    """Length of the longest common subsequence, by its definition."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_findings_against_a_brute_force_aligner():
+    """Notices with random changes, put into prose: those that keep enough words
+    by a full alignment are found, and what is found keeps enough."""
+    rng = random.Random(7)
+    kept = lost = 0
+    for round_ in range(40):
+        parts, planted = [prose(1000 + round_, 40)], []
+        for name in rng.sample(list(licenses.TEMPLATES), 3):
+            words = licenses.TEMPLATES[name][0].split()
+            rate = rng.choice([0, 0, 0.05, 0.4])
+            changed = [w for w in words if rng.random() >= rate]
+            plain = [w.plain for w in licenses.words_of(" ".join(changed))]
+            template = [w.plain for w in licenses.words_of(" ".join(words))]
+            needed = {w.plain for w in licenses.words_of(licenses.TEMPLATES[name][1])}
+            share = lcs(template, plain) / len(template)
+            planted.append((name, " ".join(changed), share, needed <= set(plain)))
+            parts += [" ".join(changed), prose(2000 + round_, 40)]
+        text = " ".join(parts)
+        findings = licenses.scan(text)
+        for f in findings:
+            template = [w.plain for w in licenses.words_of(licenses.TEMPLATES[f.name][0])]
+            block = [w.plain for w in licenses.words_of(text[f.start : f.end])]
+            assert lcs(template, block) >= licenses.MIN_MATCHED * len(template)
+            assert len(block) - lcs(template, block) <= max(1, licenses.MAX_ADDED * len(template))
+        covered = [(f.start, f.end) for f in findings]
+        for name, wording, share, whole in planted:
+            at = text.index(wording) if wording else 0
+            hit = any(a < at + len(wording) and b > at for a, b in covered)
+            if share == 1:
+                assert hit, (name, wording)
+                kept += 1
+            elif share < 0.5 or not whole:
+                lost += 1
+    assert kept > 40 and lost > 5
