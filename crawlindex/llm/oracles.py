@@ -152,9 +152,97 @@ SELECT doc_id, leaf, subroot, root,
     folded_root, folded_root = root AS verified
 FROM folded"""
 
+_WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+_STATE = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR, m VARCHAR)"
+
+
+def _edited(state: str, cost: str, edit: str, role: str = "", text: str = "''") -> str:
+    """A state's best edits and one more, null where the state is out of reach."""
+    made = f"{role} || ':' || {text}"
+    after = f"concat_ws(chr(10), {state}.m, {made})" if role else f"{state}.m"
+    initials = f"{state}.r || left({role}, 1)" if role else f"{state}.r"
+    return f"""CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost},
+        'a': {state}.a || '{edit}', 'r': {initials}, 'm': {after}}} END"""
+
+
+def _turn(state: str, role: str, new: str) -> list[str]:
+    """Keep a turn whose role has the initial, or give it the new role."""
+    keep = _edited(state, "late", "K", "role", "text")
+    rerole = _edited(state, "3 + late", "R", f"'{new}'", "text")
+    return [
+        f"CASE WHEN NOT bad AND left(role, 1) = '{role}' THEN {keep} END",
+        f"CASE WHEN NOT bad THEN {rerole} END",
+    ]
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _insert(state: str, role: str) -> str:
+    return _edited(state, "3", "I", f"'{role}'")
+
+
+_KEPT_SYSTEM = _turn("s0", "s", "user")[0]
+_TURNS = f"""
+{_edited('s0', '4', 'D')} AS t0,
+{_least(_edited('s1', '4', 'D'), _KEPT_SYSTEM)} AS t1,
+{_least(_edited('s2', '4', 'D'), *(x for s in ('s0', 's1', 's3') for x in _turn(s, 'u', 'user')))} AS t2,
+{_least(_edited('s3', '4', 'D'), *_turn('s2', 'a', 'assistant'))} AS t3"""
+_AFTER_USER = _least("t2", *(_insert(t, "user") for t in ("t0", "t1", "t3")))
+
+CONVERSATIONS = f"""
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+            ELSE text END AS text
+    FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM given WHERE kind <> 0)),
+marked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS copy,
+        rtrim(text, {_WHITE}) AS core
+    FROM damaged),
+turns AS (
+    SELECT *, row_number() OVER turns AS i, coalesce(lag(left(role, 1)) OVER turns
+            || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal,
+        core = '' AS blank, core <> '' AND copy > 1 AS duplicate, core = '' OR copy > 1 AS bad,
+        core <> '' AND copy = 1 AND right(core, 1) NOT IN ('.', '!', '?') AS truncated
+    FROM marked WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+steps(conv_id, i, s0, s1, s2, s3) AS (
+    SELECT DISTINCT conv_id, 0::BIGINT,
+        {{'c': 0, 'a': '', 'r': '', 'm': NULL}}::{_STATE}, NULL::{_STATE},
+        {{'c': 3, 'a': 'I', 'r': 'u', 'm': 'user:'}}::{_STATE},
+        {{'c': 6, 'a': 'II', 'r': 'ua', 'm': 'user:' || chr(10) || 'assistant:'}}::{_STATE}
+    FROM conversations
+    UNION ALL
+    SELECT conv_id, i, t0, t1, u2, {_least('t3', _insert('u2', 'assistant'))}
+    FROM (
+        SELECT *, {_AFTER_USER} AS u2
+        FROM (
+            SELECT s.conv_id, t.i, {_TURNS}
+            FROM steps s JOIN (SELECT *, CASE WHEN truncated THEN 3 ELSE 0 END AS late FROM turns) t
+            ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = s.i + 1))),
+best AS (
+    SELECT conv_id, {_least('s0', 's3')} AS b
+    FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS last FROM steps) WHERE i = last),
+counts AS (
+    SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM turns GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, b.b.c AS cost, b.b.a AS audit, b.b.r AS roles,
+    sha256(coalesce(b.b.m, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLES = {
     "op2_exact_top_k": TOP_K,
     "op9_warc": WARC,
     "op11_decontamination": DECONTAMINATION,
+    "op12_conversation_repair": CONVERSATIONS,
     "op13_merkle_manifest": MERKLE,
 }
