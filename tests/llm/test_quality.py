@@ -1,6 +1,9 @@
+import math
 import re
 from collections import Counter
 
+import pytest
+import xxhash
 from llm_data import documents, prose, texts
 
 from crawlindex.llm import quality
@@ -68,3 +71,43 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = documents(spark, texts())
     quality.quality_rules(docs, spark.createDataFrame([(4, 1, 0, 5)], LABELS)).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def brute_buckets(text):
+    """Spark hashes several values by seeding each with the one before."""
+    own = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+
+    def signed(n):
+        return n - (1 << 64) if n >> 63 else n
+
+    single = [xxhash.xxh64_intdigest(w, 42) for w in own]
+    pairs = [xxhash.xxh64_intdigest(b, a) for a, b in zip(single, own[1:], strict=False)]
+    return [signed(h) % quality.BUCKETS for h in single + pairs]
+
+
+def test_likelihood_ratio_against_brute_force(spark):
+    good, junk = corpus()
+    rows = good + junk + texts()
+    docs = documents(spark, rows)
+    trusted = {i for i, _, _ in good[:30]} | {12}  # id 12 comes twice
+    labels = spark.createDataFrame([(i, 1, 0, 5) for i in trusted], LABELS)
+    raw, target = Counter(), Counter()
+    for i, text, _ in rows:
+        raw.update(brute_buckets(text))
+        if i in trusted:
+            target.update(brute_buckets(text))
+    share = target.total() / raw.total()
+
+    def weight(b):
+        return round(math.log((target[b] + quality.PRIOR) / (raw[b] * share + quality.PRIOR)), 4)
+
+    want = []
+    for i, text, _ in rows:
+        grams = brute_buckets(text)
+        want.append((i, sum(map(weight, grams)) / (len(grams) + quality.SHORT)))
+    got = [(r.doc_id, r.score) for r in quality.quality_rules(docs, labels).collect()]
+    key = lambda x: (x[0] is not None, x[0] or 0)
+    got, want = sorted(got, key=key), sorted(want, key=key)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-9)
+    assert len({round(s, 3) for _, s in got}) > 20
