@@ -104,6 +104,7 @@ def write_impact_index(
         table.repartitionByRange(files, *keys)
         .sortWithinPartitions(*keys)
         .write.mode("append")
+        .option("parquet.page.row.count.limit", block_rows)  # what a reader skips by
         .partitionBy("segment", "tier", "bucket")
         .parquet(f"{path}/postings")
     )
