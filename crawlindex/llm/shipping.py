@@ -15,7 +15,7 @@ _BATCH_ROWS = "1000"  # of whole texts that a worker holds at once
 
 def ship(spark: SparkSession) -> None:
     """Add the package to the session as a Python file, once an application,
-    and keep the batches that workers get small.
+    and keep the batches that workers get small, for the rest of the session.
 
     Workers import what a function refers to. Where the driver merely put a
     folder on its own path, they would not find it.
