@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,32 +38,40 @@ _WARCINFO = (
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Write the crawl of the tables in `sf_dir`; the WET and the WAT path."""
+    """Write the crawl of the tables in `sf_dir`; the WET and the WAT path.
+
+    Each task writes the records it has rendered: readers split plain files
+    anyhow, so texts are not dealt out once more.
+    """
     folder = new_folder(spark, "crawl")
-    files = spark.sparkContext.defaultParallelism
-    write_records(wet_records(spark, sf_dir).repartition(files), f"{folder}/wet")
-    write_records(wat_records(spark, sf_dir).repartition(files), f"{folder}/wat")
+    write_records(wet_records(spark, sf_dir), f"{folder}/wet")
+    write_records(wat_records(spark, sf_dir), f"{folder}/wat")
     return f"{folder}/wet", f"{folder}/wat"
 
 
-def gzip_crawl(spark: SparkSession, sf_dir: str, files: int = 2) -> tuple[str, str]:
-    """As `crawl`, in .gz files of one member for each record."""
+def gzip_crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """As `crawl`, in .gz files of one member for each record: a file for each
+    task that renders records, so there are more files of a larger crawl."""
     folder = new_folder(spark, "crawl")
     ship(spark)
     for name, records in (("wet", wet_records(spark, sf_dir)), ("wat", wat_records(spark, sf_dir))):
-        rows = records.repartition(files).mapInArrow(_member_writer(f"{folder}/{name}"), "n long")
+        rows = records.mapInArrow(_member_writer(f"{folder}/{name}"), "n long")
         rows.agg(F.sum("n")).collect()
     return f"{folder}/wet", f"{folder}/wat"
 
 
 def _member_writer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = (batch for batch in batches if batch.num_rows)
+        first = next(batches, None)
+        if first is None:  # no file for a task without records
+            return
         store, path = opened(folder)
         store.create_dir(path, recursive=True)
         name = f"{path}/part-{TaskContext.get().partitionId():05d}.gz"
         n = 0
         with store.open_output_stream(name, compression=None) as file:
-            for batch in batches:
+            for batch in chain([first], batches):
                 for value in batch["value"].to_pylist():
                     file.write(gzip.compress((RECORD_SEPARATOR + value).encode(), 6, mtime=0))
                     n += 1
@@ -111,14 +120,14 @@ def wat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target", (F.col("page_id") * F.col("k") * 7 + F.col("k")) % n_pages
     )
     urls = pages.select(F.col("page_id").alias("target"), F.col("url").alias("link"))
+    # Links are taken out of the HTML before the join, which then moves them alone.
+    found = F.regexp_extract_all("html", F.lit(_HREF), F.lit(1)).alias("found")
     absolute = (
         targets.join(urls, "target")
         .groupBy("page_id")
         .agg(F.sort_array(F.collect_list(F.struct("k", "link"))).alias("absolute"))
     )
-    links = F.concat(
-        F.col("absolute.link"), F.regexp_extract_all("html", F.lit(_HREF), F.lit(1))
-    )
+    links = F.concat(F.col("absolute.link"), F.col("found"))
     # "url" comes before the other keys, and a text holds brackets and commas.
     entries = F.transform(
         links,
@@ -137,7 +146,7 @@ def wat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("Envelope")
         )
     )
-    rendered = pages.join(absolute, "page_id").select(
+    rendered = pages.select("page_id", "url", found).join(absolute, "page_id").select(
         F.concat(
             F.lit("\r\nWARC-Type: metadata\r\nWARC-Target-URI: "),
             F.col("url"),
