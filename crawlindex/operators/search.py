@@ -14,6 +14,7 @@ from ..storage import new_folder, stored
 
 Queries = str | Sequence[str] | DataFrame
 SUM_DECIMALS = 9  # of scores that are added up
+TASK_HITS = 2_000_000  # of queries of several words, about, added up by a task
 SHARES = 64  # of the pages, in which the hits of a query are cut first
 
 
@@ -126,15 +127,32 @@ def search_multi_batch(
     Queries are split at white space; a word that comes again counts once.
     `normalize` cleans each word the way texts were cleaned.
     """
+    spark = index.sparkSession
+    # Numbered, so that no hit carries the text of its query.
+    numbered = queries.select("query").distinct()
+    numbered = numbered.withColumn("_number", F.monotonically_increasing_id())
+    numbered = stored(numbered, new_folder(spark, "queries"))
     word = F.explode(F.split("query", r"\s+")).alias("_word")
-    words = queries.select("query").distinct().select("query", word).filter("_word <> ''")
+    words = numbered.select("_number", word).filter("_word <> ''")
     keyword = as_keyword("_word") if normalize else F.col("_word")
-    asked = words.select("query", keyword.alias("keyword")).filter("keyword <> ''").distinct()
-    hits = _scored(_matches(index, _stored_queries(index, asked)))
-    pages = hits.groupBy("query", "uri").agg(
-        F.count_distinct("keyword").alias("matched"), _sum("score").alias("score")
+    asked = words.select("_number", keyword.alias("keyword")).filter("keyword <> ''").distinct()
+    asked = stored(asked, new_folder(spark, "queries"))
+    lookups = _stored_queries(index, asked.groupBy("keyword").agg(F.count("*").alias("_queries")))
+    found = _matches(index, lookups)
+    # Read from the keyword column; the tasks follow from what they will hold.
+    hits = found.agg(F.coalesce(F.sum("_queries"), F.lit(0))).first()[0]
+    tasks = max(1, -(-hits // TASK_HITS))
+    # A posting moves once, to its page, however many queries ask for it. There
+    # it meets its queries, and their pages are added up and cut where they are.
+    of_page = _scored(found).select("uri", "keyword", "score").repartition(tasks, "uri")
+    of_page = of_page.groupBy("uri", "keyword").agg(F.sum("score").alias("score"))
+    pages = of_page.join(asked, "keyword").groupBy("_number", "uri").agg(
+        F.count("*").alias("matched"), _sum("score").alias("score")
     )
-    return _best_of_shares(pages.withColumn("_share", _share("uri")), k).drop("_share")
+    # Shares are of the tasks, so a task sends k rows a query.
+    share = (F.spark_partition_id() % SHARES).alias("_share")
+    top = _best_of_shares(pages.select("*", share), k, "_number")
+    return top.join(numbered, "_number").select("query", "uri", "matched", "score")
 
 
 def _best() -> list[Column]:
@@ -150,9 +168,9 @@ def _share(uri: str) -> Column:
     return F.pmod(F.xxhash64(uri), F.lit(SHARES)).cast("int")
 
 
-def _best_of_shares(hits: DataFrame, k: int) -> DataFrame:
+def _best_of_shares(hits: DataFrame, k: int, query: str = "query") -> DataFrame:
     """The k best rows of each query, in two steps by its shares."""
-    for keys in (["query", "_share"], ["query"]):
+    for keys in ([query, "_share"], [query]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_best()))
         hits = hits.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
     return hits

@@ -1,5 +1,8 @@
 """Index forms, storage, look-ups, and how they take hot keys."""
 
+import random
+import re
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -168,6 +171,30 @@ def test_tables_of_several_word_queries(spark, index):
     assert rows(clean.filter("query = 'Join. spark'").select("matched")) == [(1,), (2,)]
 
 
+def test_a_posting_moves_once_for_all_queries_of_several_words(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("crawlindex.operators.search.TASK_HITS", 500, raising=False)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(12)]
+    data = [(rng.choice(words), f"u{rng.randrange(30)}", rng.randint(1, 9), rng.choice([0.5, 2.0])) for _ in range(600)]
+    queries = [" ".join(rng.choices([*words, "none"], k=rng.randint(1, 8))) for _ in range(40)]
+    write_index(spark.createDataFrame(data, SCHEMA), f"{tmp_path}/i", buckets=3)
+    asked = spark.createDataFrame([(q,) for q in [*queries, queries[0], " "]], "query string")
+    top = search_multi_batch(read_index(spark, f"{tmp_path}/i"), asked, k=3)
+    want = []
+    for query in set(queries):
+        pages = {}
+        for keyword, uri, n, rank in data:
+            if keyword in query.split():
+                pages.setdefault(uri, []).append((keyword, n * rank))
+        best = sorted((-sum(s for _, s in hits), uri, len({w for w, _ in hits})) for uri, hits in pages.items())
+        want += [(query, uri, matched, -score) for score, uri, matched in best[:3]]
+    assert rows(top) == sorted(want)
+    final = top._jdf.queryExecution().executedPlan().toString()
+    # Pages are added up where their postings are: no exchange by query and page.
+    assert "hashpartitioning(uri#" in final
+    assert not re.search(r"hashpartitioning\((query|_number)#\w+, uri#", final)
+
+
 def test_a_table_of_queries_prunes_the_index(spark, index):
     asked = spark.createDataFrame([("join",)], "query string")
     assert "dynamicpruning" in plan(scores(index, asked))
