@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import removed, stored
+from ..storage import REPEATED, removed, stored
 
 
 def placed(rows: DataFrame, group: str, order: list[Column], folder: str) -> DataFrame:
@@ -20,10 +20,10 @@ def placed(rows: DataFrame, group: str, order: list[Column], folder: str) -> Dat
     spark = rows.sparkSession
     keys = [F.col(group), *order, F.col("_tie")]
     # Stored, as range partitioning reads its input twice.
-    rows = stored(rows.withColumn("_tie", F.monotonically_increasing_id()), f"{folder}/rows")
+    rows = stored(rows.withColumn("_tie", F.monotonically_increasing_id()), f"{folder}/rows", **REPEATED)
     spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
     spread = spread.withColumn("_at", F.monotonically_increasing_id())
-    spread = stored(spread, f"{folder}/spread")
+    spread = stored(spread, f"{folder}/spread", **REPEATED)
     removed(spark, f"{folder}/rows")
     part = F.shiftright("_at", 33).alias("_part")  # as these numbers are defined
     counts = spread.groupBy(group, part).agg(
@@ -38,7 +38,7 @@ def placed(rows: DataFrame, group: str, order: list[Column], folder: str) -> Dat
     )
     result = spread.withColumn("_part", part).join(starts, [group, "_part"])
     result = result.withColumn("pos", F.col("_at") + F.col("_shift"))
-    result = stored(result.drop("_part", "_at", "_shift"), f"{folder}/placed")
+    result = stored(result.drop("_part", "_at", "_shift"), f"{folder}/placed", **REPEATED)
     removed(spark, f"{folder}/spread")
     removed(spark, f"{folder}/counts")
     return result

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.places import placed
 from ..shipping import ship
-from ..storage import new_folder, removed, stored
+from ..storage import REPEATED, new_folder, removed, stored
 from .index_store import BUCKET_FILES, FILE_ROWS, MOST_BUCKETS, bucket_count, bucket_of, marked
 
 BLOCK_ROWS = 4_096
@@ -150,6 +150,7 @@ def write_packed_index(
     table = stored(
         postings.select("keyword", "uri", "occurences", "page_rank").where("keyword IS NOT NULL"),
         f"{folder}/postings",
+        **REPEATED,
     )
     rows = table.count()  # of file footers
     if buckets is None:

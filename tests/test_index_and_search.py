@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -195,6 +196,26 @@ def test_a_posting_moves_once_for_all_queries_of_several_words(spark, tmp_path,
     assert not re.search(r"hashpartitioning\((query|_number)#\w+, uri#", final)
 
 
+def test_tasks_of_a_write_hold_rows_they_can_sort(spark, tmp_path):
+    many = spark.range(3_900_000).selectExpr("concat('w', id % 900) AS keyword", "concat('u', id) AS uri")
+    write_index(many, f"{tmp_path}/i", buckets=1)
+    files = read_index(spark, f"{tmp_path}/i").groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in files) < 3_000_000
+
+
+def test_a_posting_is_no_larger_in_an_index_of_many_pages(spark, tmp_path):
+    sizes = []
+    for pages in (5_000, 60_000):
+        many = spark.range(300_000).selectExpr(
+            "concat('w', id % 50) AS keyword", "1 AS occurences",
+            f"concat('https://www.example.org/en/', xxhash64(id * 7919 % {pages}), '?page=2') AS uri",
+        )
+        write_index(many, f"{tmp_path}/{pages}", buckets=1)
+        files = Path(f"{tmp_path}/{pages}").rglob("*.parquet")
+        sizes.append(sum(f.stat().st_size for f in files) - pages * 35)  # without the dictionary
+    assert sizes[1] < 2 * sizes[0]
+
+
 def test_a_table_of_queries_prunes_the_index(spark, index):
     asked = spark.createDataFrame([("join",)], "query string")
     assert "dynamicpruning" in plan(scores(index, asked))
