@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from ..functions.fixed_values import STOP_WORDS
 from ..functions.text import by_weight, count_words, is_keyword, words
+from ..functions.word_counts import counter
+from ..shipping import ship
 
 
 def tokens(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -29,8 +32,13 @@ def page_keywords(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> D
 def term_counts(pages: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """The pages' columns but `text`, and `keyword, keyword_weight` in long form.
 
-    A page's words are counted inside its row, so nothing is shuffled, and two
-    captures of one URI stay two sets of rows.
+    A page's words are counted where it is, so nothing is shuffled, and two
+    captures of one URI stay two sets of rows. Tasks count in Arrow batches, of
+    which each gives its rows in the order of `uri` and keyword.
     """
+    ship(pages.sparkSession)
     kept = [c for c in pages.columns if c != "text"]
-    return pages.select(*kept, F.inline(count_words("text", stop_words)))
+    schema = StructType([pages.schema[c] for c in kept])
+    schema = schema.add("keyword", StringType()).add("keyword_weight", IntegerType())
+    first = "uri" if "uri" in kept else None
+    return pages.mapInArrow(counter("text", first, tuple(stop_words)), schema)
