@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.best_rows import best_rows
 from ..functions.fixed_values import RESULTS_PER_PAGE, SCORE_FORMAT
 from ..functions.text import as_keyword
+from ..shipping import ship
 from ..sources.index_store import bucket_count, bucket_of
 from ..storage import new_folder, stored
 
@@ -54,8 +56,8 @@ def search(
     """`query, uri, score, score_text`: the k best pages per query.
 
     Highest score first, ties by uri. The hits of a query are first cut to k in
-    each of SHARES shares of the pages, whatever k is, so a query that hits a
-    third of all pages is no burden on one task.
+    the tasks that read them, and then in each of SHARES shares of the pages,
+    whatever k is, so a query that hits a third of all pages is no burden on one task.
     """
     hits = scores(index, queries, normalize)
     if isinstance(queries, str):
@@ -74,8 +76,8 @@ def search_with_totals(
     """`query, uri, score, score_text, total`: as `search`, with the number of
     all hits of the query in each row; a query without hits has no row.
 
-    Both halves shrink before they move: results to k in each share of the
-    pages, totals to a count in each task. The second half reads keywords only.
+    Both halves shrink before they move: results to k in each task, totals to a
+    count in each task. The second half reads keywords only.
     """
     asked = _asked(index, queries, normalize)
     hits = _scores(index, asked).withColumn("_share", _share("uri"))
@@ -169,7 +171,10 @@ def _share(uri: str) -> Column:
 
 
 def _best_of_shares(hits: DataFrame, k: int, query: str = "query") -> DataFrame:
-    """The k best rows of each query, in two steps by its shares."""
+    """The k best rows of each query: of a task first, without sorting all its hits,
+    then in two steps by its shares."""
+    ship(hits.sparkSession)
+    hits = hits.mapInArrow(best_rows(query, k), hits.schema)
     for keys in ([query, "_share"], [query]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_best()))
         hits = hits.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")

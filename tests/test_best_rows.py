@@ -1,0 +1,67 @@
+"""Top results are picked in the tasks that read the hits, not by sorting them."""
+
+import math
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from crawlindex import read_index, search, search_multi_batch, search_with_totals, write_index
+from crawlindex.functions.best_rows import best_rows
+
+QUERIES = ["a", "b", None]
+URIS = [None, "u", "v", "ü", "w1", "w2"]
+SCORES = [None, math.nan, 0.0, -0.0, 1.5, 2.0, -3.0, math.inf]
+
+
+def order(row):
+    """Of Spark's `score DESC, uri ASC`."""
+    _, uri, score = row
+    by_score = (2, 0) if score is None else (0, 0) if math.isnan(score) else (1, -score)
+    return by_score, (uri is not None, uri or "")
+
+
+def batches(data, size):
+    schema = pa.schema([("query", pa.string()), ("uri", pa.string()), ("score", pa.float64())])
+    for at in range(0, len(data), size):
+        columns = zip(*data[at : at + size])
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+@pytest.mark.parametrize("k", [0, 1, 3, 40])
+@pytest.mark.parametrize("held_rows", [1, 60, 100_000])
+def test_none_of_the_best_is_lost(k, held_rows):
+    rng = random.Random(k)
+    for n in (0, 1, 500):
+        data = [tuple(rng.choice(v) for v in (QUERIES, URIS, SCORES)) for _ in range(n)]
+        found = [b.to_pylist() for b in best_rows("query", k, held_rows)(batches(data, 37))]
+        found = [tuple(row.values()) for rows in found for row in rows]
+        for query in QUERIES:
+            best = sorted(order(r) for r in data if r[0] == query)[:k]
+            got = sorted(order(r) for r in found if r[0] == query)
+            assert got[:k] == best
+            assert held_rows < 100_000 or len(got) == len(best)
+
+
+def test_a_task_holds_and_hands_on_few_rows():
+    data = [("a", f"u{i}", float(i % 50)) for i in range(20_000)]
+    assert sum(len(b) for b in best_rows("query", 5, 200)(batches(data, 100))) == 5
+
+
+def test_sorts_get_the_best_rows_of_tasks_alone(spark, tmp_path):
+    hits = spark.range(60_000).selectExpr(
+        "concat('w', id % 3) AS keyword", "concat('u', id) AS uri",
+        "cast(id % 7 AS int) AS occurences", "cast(id % 11 AS double) AS page_rank",
+    )
+    write_index(hits, f"{tmp_path}/i", buckets=2)
+    index = read_index(spark, f"{tmp_path}/i")
+    asked = spark.createDataFrame([("w0",), ("w1",), ("none",)], "query string")
+    uris = sorted((-(i % 7) * (i % 11), f"u{i}") for i in range(0, 60_000, 3))
+    for top in (search(index, asked, k=4), search_with_totals(index, asked, k=4), search_multi_batch(index, asked, k=4)):
+        found = top.where("query = 'w0'").orderBy(F.desc("score"), "uri").collect()
+        assert [(-r.score, r.uri) for r in found] == uris[:4]
+        plan = top._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.rindex("WindowGroupLimit") :]
+        # Below the last sort of the plan the rows come out of the task's cut.
+        assert "MapInArrow" in below[: below.index("Scan parquet")]
