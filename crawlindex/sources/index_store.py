@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import REPEATED, new_folder, removed, stored
+from ..storage import REPEATED, SMALL_GROUPS, new_folder, removed, small_splits, stored
 
 _BUCKETS = "keyword_buckets"
 FILE_ROWS = 2_000_000  # which a task can sort in memory
@@ -67,10 +67,18 @@ def write_index(
             raise ValueError(f"the index has {there} buckets, {buckets} do not fit in")
         buckets = there
     folder = new_folder(spark, "postings")
-    write_stored_index(stored(postings, folder), path, buckets, mode, file_rows, bloom)
+    table = stored_postings(postings, folder)
+    write_stored_index(table, path, buckets, mode, file_rows, bloom)
     removed(spark, folder)
 
 
+def stored_postings(postings: DataFrame, folder: str) -> DataFrame:
+    """Postings in files as `write_stored_index` reads them best: in row groups of a
+    few million rows at most, so that no task has more to deal out, and with each URI
+    of a row group once."""
+    return stored(postings, folder, **REPEATED, **SMALL_GROUPS)
+
+
 def write_stored_index(
     table: DataFrame,
     path: str,
@@ -79,8 +87,8 @@ def write_stored_index(
     file_rows: int = FILE_ROWS,
     bloom: bool = False,
 ) -> None:
-    """`write_index` of postings that are in files already. It does not look for
-    an index in `path`."""
+    """`write_index` of postings that are in files already, by `stored_postings`. It
+    does not look for an index in `path`."""
     rows = table.count()  # of file footers
     if buckets is None:
         buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
@@ -88,17 +96,15 @@ def write_stored_index(
     others = [c for c in table.columns if c != "keyword"]
     files = max(buckets, -(-rows // file_rows))
     filters = {"parquet.bloom.filter.enabled#keyword": "true"} if bloom else {}
-    (
-        table.repartitionByRange(
-            files, bucket_of("keyword", buckets), "keyword", F.xxhash64("uri")
-        )
-        .select(keyword, *others, bucket_of("keyword", buckets).alias("bucket"))
-        .sortWithinPartitions("bucket", "keyword", "uri")
-        .write.mode(mode)
-        .options(**REPEATED, **_FRONT_CODED, **filters)
-        .partitionBy("bucket")
-        .parquet(path)
+    ranged = table.repartitionByRange(
+        files, bucket_of("keyword", buckets), "keyword", F.xxhash64("uri")
     )
+    ordered = ranged.select(
+        keyword, *others, bucket_of("keyword", buckets).alias("bucket")
+    ).sortWithinPartitions("bucket", "keyword", "uri")
+    writer = ordered.write.mode(mode).options(**REPEATED, **_FRONT_CODED, **filters)
+    with small_splits(table.sparkSession):
+        writer.partitionBy("bucket").parquet(path)
 
 
 def _stored_buckets(spark: SparkSession, path: str) -> int | None:

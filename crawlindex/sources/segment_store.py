@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_folder, removed, stored
-from .index_store import FILE_ROWS, bucket_count, marked, write_stored_index
+from .index_store import FILE_ROWS, bucket_count, marked, stored_postings, write_stored_index
 from .marks import BASE, complete, marked_numbers
 
 _PAGES, _POSTINGS, _REPLACED = KINDS = "pages", "postings", "replaced"
@@ -81,7 +81,7 @@ def _write_postings(
     could not be read; look-ups never find it."""
     spark = postings.sparkSession
     copy = new_folder(spark, "segment")
-    table = stored(postings, copy)
+    table = stored_postings(postings, copy)
     if table.isEmpty():
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
         table = spark.range(1).select(*nulls)

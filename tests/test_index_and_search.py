@@ -29,7 +29,7 @@ from crawlindex import (
     unranked_postings,
     write_index,
 )
-from crawlindex.storage import new_folder, stored
+from crawlindex.storage import new_folder, small_splits, stored
 from test_warc import WARCINFO, records, wat_body, wat_record, wet_record
 
 POSTINGS = [
@@ -203,6 +203,21 @@ def test_tasks_of_a_write_hold_rows_they_can_sort(spark, tmp_path):
     assert max(r["count"] for r in files) < 3_000_000
 
 
+def test_tasks_of_a_write_deal_out_rows_they_can_hold(spark, tmp_path, monkeypatch):
+    """Postings of one task, which an index of more than 200 files sorts in memory."""
+    most = []
+
+    def write(table, *_):
+        with small_splits(spark):
+            tasks = table.groupBy(F.spark_partition_id()).count()
+            most.append(tasks.agg(F.max("count")).first()[0])
+
+    monkeypatch.setattr("crawlindex.sources.index_store.write_stored_index", write)
+    many = spark.range(0, 6_000_000, 1, 1).selectExpr("concat('w', xxhash64(id) % 3000) AS keyword", "concat('u', id div 200) AS uri")
+    write_index(many, f"{tmp_path}/i", buckets=1)
+    assert 0 < most[0] < 5_000_000
+
+
 def test_a_posting_is_no_larger_in_an_index_of_many_pages(spark, tmp_path):
     sizes = []
     for pages in (5_000, 60_000):

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from crawlindex.storage import new_folder, shared_folder, stored
+from crawlindex.storage import new_folder, shared_folder, small_splits, stored
 
 
 def session(master, setting=None):
@@ -31,3 +31,14 @@ def test_stored_tables_keep_their_schema(spark):
     again = stored(table, new_folder(spark, "table"))
     assert again.dtypes == table.dtypes
     assert again.count() == 3
+
+
+def test_small_splits_leave_the_setting_of_the_session(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    for own, inside in ((None, 8 << 20), ("64m", 8 << 20), ("1m", 1 << 20)):
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+        with pytest.raises(ZeroDivisionError), small_splits(spark):
+            assert int(spark.conf.get(name)) == inside
+            1 / 0
+        assert spark.conf.get(name, None) == own
+    spark.conf.unset(name)
