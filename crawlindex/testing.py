@@ -5,8 +5,8 @@ i mod n, so a page is captured several times, each time with other text. Every
 page becomes a metadata record with six absolute links, from a formula over
 page ids, followed by the links found in its HTML.
 
-`crawl` writes both kinds of records to the shared folder as crawl files, which
-are what the queries read.
+`wet_crawl` and `wat_crawl` write a kind of records each to the shared folder as
+crawl files, which are what the queries read; `crawl` writes both.
 """
 
 from __future__ import annotations
@@ -38,15 +38,26 @@ _WARCINFO = (
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Write the crawl of the tables in `sf_dir`; the WET and the WAT path.
+    """Write the crawl of the tables in `sf_dir`; the WET and the WAT path."""
+    return wet_crawl(spark, sf_dir), wat_crawl(spark, sf_dir)
+
+
+def wet_crawl(spark: SparkSession, sf_dir: str) -> str:
+    """Write the text records of all documents; their path.
 
     Each task writes the records it has rendered: readers split plain files
     anyhow, so texts are not dealt out once more.
     """
-    folder = new_folder(spark, "crawl")
-    write_records(wet_records(spark, sf_dir), f"{folder}/wet")
-    write_records(wat_records(spark, sf_dir), f"{folder}/wat")
-    return f"{folder}/wet", f"{folder}/wat"
+    path = f"{new_folder(spark, 'crawl')}/wet"
+    write_records(wet_records(spark, sf_dir), path)
+    return path
+
+
+def wat_crawl(spark: SparkSession, sf_dir: str) -> str:
+    """Write the metadata records of all pages, as `wet_crawl` does; their path."""
+    path = f"{new_folder(spark, 'crawl')}/wat"
+    write_records(wat_records(spark, sf_dir), path)
+    return path
 
 
 def gzip_crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+import __spark_entry__ as entry_module
 from crawlindex import read_records, testing
 
 
@@ -42,3 +43,22 @@ def test_a_larger_crawl_has_more_gzip_files(spark, tables):
     for folder, records in ((wet, testing.wet_records(spark, tables)), (wat, testing.wat_records(spark, tables))):
         got = sorted(r[0] for r in read_records(spark, folder, split_bytes=100).collect())
         assert got == sorted(r[0] for r in records.collect())
+
+
+def test_texts_are_not_moved_for_the_link_graph(spark, tables, monkeypatch):
+    rendered = []
+    for kind in ("wet_records", "wat_records"):
+        render = getattr(testing, kind)
+        monkeypatch.setattr(
+            testing, kind, lambda *of, kind=kind, render=render: rendered.append(kind) or render(*of)
+        )
+    vertices = entry_module.vertices_updated(spark, tables)
+    assert sorted(r[0] for r in vertices.collect()) == ["h0", "h1", "h2"]
+    assert rendered == ["wat_records"]
+    for _ in range(2):
+        texts = entry_module.scan_wet(spark, tables)
+        metadata = entry_module.scan_wat(spark, tables)
+    assert rendered == ["wat_records", "wet_records"]
+    for got, records in ((texts, testing.wet_records), (metadata, testing.wat_records)):
+        want = sorted(r[0] for r in records(spark, tables).collect())
+        assert sorted(r[0] for r in got.collect()) == want
