@@ -6,6 +6,9 @@ first member in it that begins with a record, over its end up to the next such
 member; what lies before belongs to the range before. Members that begin inside
 a record, as where a file was cut and packed anew, go with the one before them,
 and a file of a single member is read whole by its first range.
+
+A range is a task, but where there are very many small ones a task reads several
+that follow each other: the driver keeps a record of each task.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from ..functions.fixed_values import BLANK_LINE, LINE_BREAK, RECORD_SEPARATOR
 from ..shipping import ship
 
 SPLIT_BYTES = 64 << 20  # of a file that one task gets, compressed
+MANY_RANGES = 1_000  # from which on small ranges share a task
+TASK_BYTES = 4 << 20  # of a file, which ranges that share a task have at most
 _READ_BYTES = 1 << 20
 _SLICE_BYTES = 1 << 13
 _BATCH_BYTES = 8 << 20
@@ -35,10 +40,13 @@ _END = BLANK_LINE.encode() + _MARK
 
 
 @dataclass
-class _Range(InputPartition):
+class _Ranges(InputPartition):
+    """Ranges of `split` bytes that follow each other in a file, the last to `end`."""
+
     path: str
     start: int
     end: int
+    split: int
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -140,25 +148,30 @@ class _Reader(DataSourceReader):
         self._split = int(options["splitBytes"])
 
     def partitions(self) -> list[InputPartition]:
+        step = self._split
+        if sum(-(-size // step) for _, size in self._files) > MANY_RANGES:
+            step *= max(1, TASK_BYTES // step)
         return [
-            _Range(path, start, min(start + self._split, size))
+            _Ranges(path, start, min(start + step, size), self._split)
             for path, size in self._files
-            for start in range(0, size, self._split)
+            for start in range(0, size, step)
         ]
 
-    def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Ranges | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no files
             return
         store, path = opened(partition.path)
         size = store.get_file_info(path).size
         rows, held = [], 0
         with store.open_input_file(path) as file:
-            for record in records_of(file, size, partition.start, partition.end):
-                rows.append(record)
-                held += len(record)
-                if len(rows) >= _BATCH_ROWS or held >= _BATCH_BYTES:
-                    yield pa.record_batch([pa.array(rows, pa.binary())], ["value"])
-                    rows, held = [], 0
+            for start in range(partition.start, partition.end, partition.split):
+                end = min(start + partition.split, partition.end)
+                for record in records_of(file, size, start, end):
+                    rows.append(record)
+                    held += len(record)
+                    if len(rows) >= _BATCH_ROWS or held >= _BATCH_BYTES:
+                        yield pa.record_batch([pa.array(rows, pa.binary())], ["value"])
+                        rows, held = [], 0
         if rows:
             yield pa.record_batch([pa.array(rows, pa.binary())], ["value"])
 

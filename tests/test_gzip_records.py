@@ -86,6 +86,30 @@ def test_same_rows_as_the_plain_reader(spark, tmp_path, monkeypatch):
     assert rows(read_records(spark, str(tmp_path), split_bytes=10**9)) == rows(plain)
 
 
+def test_very_many_small_ranges_share_tasks(spark, tmp_path, monkeypatch):
+    """The driver keeps a record of each task, so their number is bounded by the
+    bytes, however small the ranges; each record comes once."""
+    texts = [record(i, b) for i, b in enumerate(bodies(5, 300))]
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.warc.gz").write_bytes(members(texts))
+    size = (tmp_path / "a.warc.gz").stat().st_size
+    split = read_records(spark, str(tmp_path), split_bytes=100)
+    assert 2 * size // 100 > gz.MANY_RANGES
+    assert split.rdd.getNumPartitions() == 2
+    plain = read_records(spark, f"{tmp_path}/*.gz")
+    found, wanted = (sorted(bytes(r.v) for r in f.selectExpr("cast(value AS binary) AS v").collect()) for f in (split, plain))
+    assert found == wanted
+    monkeypatch.setattr(gz, "TASK_BYTES", 30_000)
+    for step, file_bytes in ((100, 10**6), (7, 29_999), (40_000, 10**8), (100, 500)):
+        reader = gz._Reader({"files": f'[["a", {file_bytes}], ["b", {file_bytes}]]', "splitBytes": str(step)})
+        tasks = reader.partitions()
+        assert [(t.path, t.start) for t in tasks[1:]] == [
+            ("b", 0) if t.end == file_bytes else (t.path, t.end) for t in tasks[:-1]
+        ]
+        assert all(t.split == step and t.start % step == 0 for t in tasks)
+        assert max(t.end - t.start for t in tasks) <= max(step, 30_000)
+
+
 def test_wrong_files(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"x")
     with pytest.raises(ValueError, match="no .gz file"):
