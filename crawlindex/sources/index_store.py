@@ -32,6 +32,13 @@ def bucket_count(index: DataFrame) -> int | None:
     return index.schema["keyword"].metadata.get(_BUCKETS)
 
 
+def dealt_buckets(postings: DataFrame) -> int | None:
+    """Number of buckets of postings as `read_index` gives them, with their column
+    `bucket`; None for any other table. Each file of an index holds a range of a
+    bucket's keywords, so such postings are written anew where they are read."""
+    return bucket_count(postings) if "bucket" in postings.columns else None
+
+
 def write_index(
     postings: DataFrame,
     path: str,
@@ -59,15 +66,20 @@ def write_index(
     between the words that are there.
 
     The postings are written to the shared folder first, so that counting them
-    and finding the ranges does not work them out anew.
+    and finding the ranges does not work them out anew. Those of a stored index
+    that come with their `bucket`, and keep the number of buckets, are neither
+    written there nor dealt out: files are written as they are read.
     """
     spark = postings.sparkSession
     if mode == "append" and (there := _stored_buckets(spark, path)):
         if buckets not in (None, there):
             raise ValueError(f"the index has {there} buckets, {buckets} do not fit in")
         buckets = there
+    dealt = dealt_buckets(postings)
+    if dealt and buckets in (None, dealt):
+        return _write_files(postings.drop("bucket"), path, dealt, mode, bloom)
     folder = new_folder(spark, "postings")
-    table = stored_postings(postings, folder)
+    table = stored_postings(postings.drop("bucket"), folder)
     write_stored_index(table, path, buckets, mode, file_rows, bloom)
     removed(spark, folder)
 
@@ -92,14 +104,19 @@ def write_stored_index(
     rows = table.count()  # of file footers
     if buckets is None:
         buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
-    keyword = marked("keyword", buckets)
-    others = [c for c in table.columns if c != "keyword"]
     files = max(buckets, -(-rows // file_rows))
-    filters = {"parquet.bloom.filter.enabled#keyword": "true"} if bloom else {}
     ranged = table.repartitionByRange(
         files, bucket_of("keyword", buckets), "keyword", F.xxhash64("uri")
     )
-    ordered = ranged.select(
+    _write_files(ranged, path, buckets, mode, bloom)
+
+
+def _write_files(table: DataFrame, path: str, buckets: int, mode: str, bloom: bool) -> None:
+    """Each task writes the rows it has, sorted, by bucket."""
+    keyword = marked("keyword", buckets)
+    others = [c for c in table.columns if c != "keyword"]
+    filters = {"parquet.bloom.filter.enabled#keyword": "true"} if bloom else {}
+    ordered = table.select(
         keyword, *others, bucket_of("keyword", buckets).alias("bucket")
     ).sortWithinPartitions("bucket", "keyword", "uri")
     writer = ordered.write.mode(mode).options(**REPEATED, **_FRONT_CODED, **filters)
