@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,3 +47,33 @@ def placed(rows: DataFrame, group: str, order: list[Column], folder: str) -> Dat
     removed(spark, f"{folder}/spread")
     removed(spark, f"{folder}/counts")
     return result
+
+
+def places_in_task(group: str) -> Callable:
+    """For `mapInArrow`, on rows that are sorted by `group` in each task: the rows
+    with `pos`, their place from 0 among those of the group in the task. Groups
+    must not be null."""
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n = None, 0  # the group of the row before, and its rows so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            groups = batch[group]
+            pos, first = runs(groups)
+            if groups[0].as_py() == last:
+                pos[:first] += n
+            last, n = groups[-1].as_py(), int(pos[-1]) + 1
+            yield pa.record_batch([*batch.columns, pa.array(pos)], [*batch.schema.names, "pos"])
+
+    return numbered
+
+
+def runs(groups: pa.Array) -> tuple[np.ndarray, int]:
+    """Of sorted values the place of each among equal ones, and how many equal the
+    first. There is one value at least."""
+    new = np.ones(len(groups), dtype=bool)
+    new[1:] = pc.not_equal(groups[1:], groups[:-1]).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.r_[starts, len(groups)])
+    return np.arange(len(groups)) - np.repeat(starts, sizes), int(sizes[0])
