@@ -10,20 +10,30 @@ coded and decoded at once, as arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.places import placed
+from ..operators.places import placed, runs
 from ..shipping import ship
-from ..storage import REPEATED, new_folder, removed, stored
-from .index_store import BUCKET_FILES, FILE_ROWS, MOST_BUCKETS, bucket_count, bucket_of, marked
+from ..storage import REPEATED, SMALL_GROUPS, new_folder, removed, small_splits, stored
+from .index_store import (
+    BUCKET_FILES,
+    FILE_ROWS,
+    MOST_BUCKETS,
+    bucket_count,
+    bucket_of,
+    dealt_buckets,
+    marked,
+)
 
 BLOCK_ROWS = 4_096
+BROADCAST_PAGES = 2_000_000  # whose numbers, 16 bytes a page, go to all executors
 _BLOCKS = "bucket int, keyword string, block long, n long, pages binary, occurences binary"
 
 
@@ -63,15 +73,14 @@ def _binaries(codes: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> pa.Ar
     )
 
 
-def _packed(table: pa.Table) -> pa.RecordBatch:
-    """Rows (bucket, keyword, block, page, occurences) of whole blocks, sorted."""
-    table = table.combine_chunks()
+def _packed(table: pa.Table, block: np.ndarray) -> pa.RecordBatch:
+    """Rows (bucket, keyword, page, occurences) of whole blocks, sorted."""
+    table = table.append_column("block", pa.array(block)).combine_chunks()
     page = table["page"].to_numpy().astype(np.int64)
     words = table["keyword"].combine_chunks().dictionary_encode()
     if isinstance(words, pa.ChunkedArray):
         words = words.combine_chunks()
     keyword = words.indices.to_numpy()
-    block = table["block"].to_numpy()
     new = np.r_[True, (keyword[1:] != keyword[:-1]) | (block[1:] != block[:-1])]
     starts = np.flatnonzero(new)
     step = np.where(new, page, page - np.r_[0, page[:-1]])
@@ -83,23 +92,31 @@ def _packed(table: pa.Table) -> pa.RecordBatch:
     return pa.record_batch(columns, names)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block that goes on in the next batch is held back."""
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        last = [table[c][-1] for c in ("keyword", "block")]
-        cut = table.num_rows - 1
-        while cut and [table[c][cut - 1] for c in ("keyword", "block")] == last:
-            cut -= 1
-        if cut:
-            yield _packed(table.slice(0, cut))
-        held = table.slice(cut)
-    if held is not None:
-        yield _packed(held)
+def _packer(block_rows: int) -> Callable:
+    """For `mapInArrow`: rows (bucket, keyword, page, occurences) that are sorted in
+    each task to its blocks of `block_rows`."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # a block that may go on in the next batch
+        before = 0  # rows of its keyword that lie before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            table = table.combine_chunks()
+            words = table["keyword"]
+            place, first = runs(words.combine_chunks() if words.num_chunks != 1 else words.chunk(0))
+            place[:first] += before
+            block = place // block_rows
+            cut = int(np.flatnonzero(place % block_rows == 0)[-1])
+            if cut:
+                yield _packed(table.slice(0, cut), block[:cut])
+            held, before = table.slice(cut), int(place[cut])
+        if held is not None:
+            yield _packed(held, np.full(len(held), before // block_rows))
+
+    return pack
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,47 +160,65 @@ def write_packed_index(
 ) -> None:
     """Write ranked postings (keyword, uri, occurences, page_rank) in blocks of
     `block_rows`, in directories by bucket. Occurrences are not negative. Hot
-    keywords and the pages are ordered by range partitioning."""
+    keywords and the pages are ordered by range partitioning; a task numbers the
+    blocks of the keywords it holds.
+
+    Postings of a stored index that come with their `bucket`, whose number is taken
+    over unless another one is asked for, are read as they are stored. They are not
+    dealt out either where the numbers of the pages can go to all executors.
+    """
     spark = postings.sparkSession
     ship(spark)
     folder = new_folder(spark, "packed")
-    table = stored(
-        postings.select("keyword", "uri", "occurences", "page_rank").where("keyword IS NOT NULL"),
-        f"{folder}/postings",
-        **REPEATED,
-    )
-    rows = table.count()  # of file footers
+    dealt = dealt_buckets(postings)
+    buckets = buckets or dealt
+    table = postings.select("keyword", "uri", "occurences", "page_rank").where("keyword IS NOT NULL")
+    if not dealt or dealt != buckets:
+        table, dealt = stored(table, f"{folder}/postings", **REPEATED), None
+    rows = table.count()
     if buckets is None:
         buckets = max(1, min(MOST_BUCKETS, rows // (BUCKET_FILES * file_rows)))
     pages = table.select("uri", "page_rank").distinct().withColumn("_all", F.lit(0))
     pages = placed(pages, "_all", [F.col("uri"), F.col("page_rank")], f"{folder}/pages")
     pages = pages.select(F.col("pos").alias("page"), "uri", "page_rank")
     pages = stored(pages.sortWithinPartitions("page"), f"{path}/pages")
-    same = table["uri"].eqNullSafe(pages["uri"]) & table["page_rank"].eqNullSafe(pages["page_rank"])
-    numbered = table.join(pages, same).select("keyword", "page", "occurences")
-    order = [F.col("page"), F.col("occurences")]
-    numbered = placed(numbered, "keyword", order, f"{folder}/numbered")
-    block = F.floor(F.col("pos") / block_rows)
-    keys = ["bucket", "keyword", "block"]
-    files = max(buckets, -(-rows // file_rows))
-    (
-        numbered.select(
-            bucket_of("keyword", buckets).alias("bucket"),
-            "keyword",
-            block.alias("block"),
-            "page",
-            "occurences",
-        )
-        .repartitionByRange(files, *keys)
-        .sortWithinPartitions(*keys, "page", "occurences")
-        .mapInArrow(_pack, _BLOCKS)
+    n_pages = pages.count()
+    key = _page_key(pages, n_pages)
+    numbers = stored(pages.select(key, "page"), f"{folder}/numbers")
+    few = n_pages <= BROADCAST_PAGES
+    numbered = table.select("keyword", key, "occurences")
+    numbered = numbered.join(F.broadcast(numbers) if few else numbers, "_key").drop("_key")
+    if not (dealt and few):
+        numbered = stored(numbered, f"{folder}/numbered", **SMALL_GROUPS)
+    numbered = numbered.select(
+        bucket_of("keyword", buckets).alias("bucket"), "keyword", "page", "occurences"
+    )
+    keys = ["bucket", "keyword", "page", "occurences"]
+    if not (dealt and few):
+        # Rows that are equal in all else are parted by where they were read.
+        files = max(buckets, -(-rows // file_rows))
+        numbered = numbered.withColumn("_read", F.spark_partition_id())
+        numbered = numbered.repartitionByRange(files, *keys, "_read").drop("_read")
+    blocks = (
+        numbered.sortWithinPartitions(*keys)
+        .mapInArrow(_packer(block_rows), _BLOCKS)
         .withColumn("keyword", marked("keyword", buckets))
-        .write.partitionBy("bucket")
-        .parquet(f"{path}/blocks")
     )
+    with small_splits(spark):
+        blocks.write.partitionBy("bucket").parquet(f"{path}/blocks")
     removed(spark, folder)
 
 
+def _page_key(pages: DataFrame, n_pages: int) -> Column:
+    """`_key`: a number that no two of the pages (uri, page_rank) share, so that it
+    stands for them in a join."""
+    missing = [F.col(c).isNull() for c in ("uri", "page_rank")]
+    for seed in count():
+        key = F.xxhash64(F.lit(seed), "uri", "page_rank", *missing).alias("_key")
+        if pages.select(key).distinct().count() == n_pages:
+            return key
+
+
 def read_packed_index(spark: SparkSession, path: str) -> PackedIndex:
     """A stored compressed index."""
     ship(spark)
