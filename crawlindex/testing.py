@@ -62,7 +62,8 @@ def wat_crawl(spark: SparkSession, sf_dir: str) -> str:
 
 def gzip_crawl(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """As `crawl`, in .gz files of one member for each record: a file for each
-    task that renders records, so there are more files of a larger crawl."""
+    task that renders records, so there are more files of a larger crawl. What has no
+    text or URL has no record."""
     folder = new_folder(spark, "crawl")
     ship(spark)
     for name, records in (("wet", wet_records(spark, sf_dir)), ("wat", wat_records(spark, sf_dir))):
@@ -83,7 +84,7 @@ def _member_writer(folder: str):
         n = 0
         with store.open_output_stream(name, compression=None) as file:
             for batch in chain([first], batches):
-                for value in batch["value"].to_pylist():
+                for value in batch["value"].drop_null().to_pylist():
                     file.write(gzip.compress((RECORD_SEPARATOR + value).encode(), 6, mtime=0))
                     n += 1
         yield pa.record_batch([pa.array([n])], ["n"])

@@ -45,6 +45,14 @@ def test_a_larger_crawl_has_more_gzip_files(spark, tables):
         assert got == sorted(r[0] for r in records.collect())
 
 
+def test_documents_without_a_text_have_no_gzip_record(spark, tmp_path):
+    spark.createDataFrame([(i, None if i % 3 == 0 else f"text {i}") for i in range(9)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, f"http://h/{i}" if i else None, "") for i in range(4)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    for folder, records in zip(testing.gzip_crawl(spark, str(tmp_path)), (testing.wet_records, testing.wat_records)):
+        want = sorted(r[0] for r in records(spark, str(tmp_path)).where("value IS NOT NULL").collect())
+        assert sorted(r[0] for r in read_records(spark, folder, split_bytes=100).collect()) == want
+
+
 def test_texts_are_not_moved_for_the_link_graph(spark, tables, monkeypatch):
     rendered = []
     for kind in ("wet_records", "wat_records"):
