@@ -24,14 +24,12 @@ LENGTH = 2048
 END_ID = 1
 RANKED_ROWS = 200_000  # rests of one length ranked in a task, about
 
-_PIECES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("start", T.LongType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("ids_crc32", T.LongType()),
-        ]
-    )
+_PIECE = T.StructType(
+    [
+        T.StructField("start", T.LongType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("ids_crc32", T.LongType()),
+    ]
 )
 
 
@@ -80,13 +78,17 @@ def slots(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def _pieces_of(size: int, end_id: int):
-    @F.arrow_udf(_PIECES)
+def _pieces_of(size: int, end_id: int, ids: bool):
+    kind = T.StructType([*_PIECE, T.StructField("ids", T.BinaryType())]) if ids else _PIECE
+    fields = [(name, pa.int64()) for name in _PIECE.names]
+    with_ids = [("ids", pa.binary())] if ids else []
+
+    @F.arrow_udf(T.ArrayType(kind))
     def pieces(column: pa.Array) -> pa.Array:
         end = np.array([end_id], "<u4").tobytes()
         out = []
         for raw in column:
-            ids = raw.as_py() + end
+            whole = raw.as_py() + end
             out.append(
                 [
                     {
@@ -94,18 +96,22 @@ def _pieces_of(size: int, end_id: int):
                         "length": len(part) // 4,
                         "ids_crc32": zlib.crc32(part),
                     }
-                    for at in range(0, len(ids), 4 * size)
-                    for part in (ids[at : at + 4 * size],)
+                    | ({"ids": part} if ids else {})
+                    for at in range(0, len(whole), 4 * size)
+                    for part in (whole[at : at + 4 * size],)
                 ]
             )
-        return pa.array(out, pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "ids_crc32")])))
+        return pa.array(out, pa.list_(pa.struct(fields + with_ids)))
 
     return pieces
 
 
-def packed(docs: DataFrame, size: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+def packed(
+    docs: DataFrame, size: int = LENGTH, end_id: int = END_ID, ids: bool = False
+) -> DataFrame:
     """One row per piece of every document: doc_id, start, length, ids_crc32,
-    doc_tokens, sequence_id, offset.
+    doc_tokens, sequence_id, offset; and with `ids` the piece itself, its ids as
+    little-endian unsigned 32-bit integers. Places are found without them.
 
     A document's ids end in `end_id`; null and empty texts have that id alone.
     Documents longer than `size` are cut into full sequences and a rest.
@@ -119,11 +125,15 @@ def packed(docs: DataFrame, size: int = LENGTH, end_id: int = END_ID) -> DataFra
         .select(
             "doc_id",
             (F.length("ids") / 4 + 1).cast("long").alias("doc_tokens"),
-            F.explode(_pieces_of(size, end_id)("ids")).alias("p"),
+            F.explode(_pieces_of(size, end_id, ids)("ids")).alias("p"),
         )
         .select("doc_id", "doc_tokens", "p.*")
     )
-    cut = stored(cut, new_folder(spark, "packing"))
+    numbered = ["_row"] if ids else []
+    if ids:
+        cut = cut.withColumn("_row", F.monotonically_increasing_id())
+    cut = whole = stored(cut, new_folder(spark, "packing"))
+    cut = cut.drop("ids")
     # Rests of one length are ranked in shares, so that no length is one task.
     shares = 1 + cut.count() // RANKED_ROWS
     share = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shares)).alias("share")
@@ -159,7 +169,7 @@ def packed(docs: DataFrame, size: int = LENGTH, end_id: int = END_ID) -> DataFra
     place = F.expr(
         "filter(places, p -> rank >= p.first AND rank < p.first + p.count * p.times)[0]"
     )
-    return (
+    found = (
         placed.withColumn("place", place)
         .withColumn("turn", F.col("rank") - F.col("place.first"))
         .select(
@@ -170,5 +180,8 @@ def packed(docs: DataFrame, size: int = LENGTH, end_id: int = END_ID) -> DataFra
             "doc_tokens",
             (F.col("place.sequence") + F.expr("turn % place.count")).alias("sequence_id"),
             (F.col("place.at") + F.expr("turn div place.count") * F.col("length")).alias("offset"),
+            *numbered,
         )
     )
+    # The row numbers are those stored, so each piece meets its own ids.
+    return found.join(whole.select("_row", "ids"), "_row").drop("_row") if ids else found

@@ -69,6 +69,25 @@ def test_pipeline_against_brute_force(spark):
         assert at == len(tokens[i]) == parts[0].doc_tokens
 
 
+def test_pipeline_gives_whole_training_sequences(spark):
+    """The ids of all pieces, which fill the sequences at their places."""
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    sequences, documents_ = defaultdict(dict), defaultdict(dict)
+    for r in rows:
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        sequences[r.sequence_id][r.offset] = r.ids
+        documents_[r.doc_id][r.start] = r.ids
+    for parts in sequences.values():
+        at = 0
+        for offset in sorted(parts):
+            assert offset == at
+            at += len(parts[offset]) // 4
+        assert at <= 2048
+    for parts in documents_.values():
+        assert b"".join(parts[k] for k in sorted(parts))[-4:] == (1).to_bytes(4, "little")
+    assert sum(r.length for r in rows) == sum({r.doc_id: r.doc_tokens for r in rows}.values())
+
+
 def test_stages_keep_the_columns_and_bear_odd_rows(spark):
     """Nulls, empty and long texts, repeated rows, clashing names; no rows."""
     for docs in (documents(spark), documents(spark, [])):
